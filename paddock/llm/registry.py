@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import decontam, exact_dedup, line_dedup
+from . import bpe, decontam, exact_dedup, line_dedup, token_files, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op5_bpe": bpe.op5_bpe,
+    "op8_warc": warc.op8_warc,
+    "op9_token_files": token_files.op9_token_files,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 SQL = {
     "op1_decontaminate": decontam.SQL,
     "op2_line_dedup": line_dedup.SQL,
+    "op8_warc": warc.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
