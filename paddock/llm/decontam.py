@@ -46,7 +46,8 @@ def anchored_windows(words: DataFrame, windows: DataFrame) -> DataFrame:
     the corpus lacks can't occur and go."""
     terms = windows.select("terms", "items", F.posexplode("terms").alias("offset", "term"))
     vocabulary = stage(terms.select("term").distinct(), "vocabulary")
-    counts = words.select(F.explode("words").alias("term")).join(sized_broadcast(vocabulary, MAX_BROADCAST_ROWS), "term").groupBy("term").count()
+    # the outer form: the filter that Spark infers from explode() splits every text several times
+    counts = words.select(F.explode_outer("words").alias("term")).join(sized_broadcast(vocabulary, MAX_BROADCAST_ROWS), "term").groupBy("term").count()
     rarest = terms.join(counts, "term", "left").groupBy("terms").agg(
         F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "term", "offset")).alias("a"), F.first("items").alias("items")
     )

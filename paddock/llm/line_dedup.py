@@ -39,7 +39,7 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if keep not in ("none", "first"):
         raise ValueError(f"keep: {keep}")
     spark = docs.sparkSession
-    lines = keyed_docs(docs, id_col, text_col).select("_id", "_k", F.posexplode(F.split("_t", "\n")).alias("pos", "line"))
+    lines = keyed_docs(docs, id_col, text_col).select("_id", "_k", F.posexplode_outer(F.split("_t", "\n")).alias("pos", "line"))
     key = line_key(F.col("line"))
     lines = lines.select("_id", "_k", "pos", key.alias("key")).where(F.char_length("key") >= min_chars)
     lines = stage(lines.select("_id", "_k", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")), "lines")

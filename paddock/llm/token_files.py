@@ -23,8 +23,8 @@ END_ID = 1
 #: Ids after which a shard file is closed; a document is never divided.
 SHARD_IDS = 4_000_000
 #: A pair that occurs less often isn't replaced.
-MIN_COUNT = 32
-CACHE_WORDS = 500_000
+MIN_COUNT = 256
+CACHE_WORDS = 600_000
 MAGIC = b"PDKTOK1\0"
 
 
@@ -46,6 +46,32 @@ class WordTokenizer:
         self.memory = Memory()
         self.data, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _encode_words(self, words: list[str]):
+        """(ids of all words in one array, how many each has). The library cuts a text at its
+        special tokens before anything else, so one of them keeps the words of a call apart."""
+        import numpy as np
+
+        marks = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        mark, mark_id = marks[0] if marks else ("", -1)
+        plain = [not mark or any(m in w for m, _ in marks) for w in words]
+        joined = [w for w, p in zip(words, plain, strict=True) if not p]
+        size, parts = np.zeros(len(words), np.int64), []
+        texts = [mark.join(joined[at : at + 200]) + mark for at in range(0, len(joined), 200)]
+        for at in range(0, len(texts), 50):
+            parts += [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts[at : at + 50], add_special_tokens=False)]
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        cuts = np.flatnonzero(flat == mark_id)
+        plain = np.array(plain, bool)
+        size[~plain] = np.diff(cuts, prepend=-1) - 1
+        flat = flat[flat != mark_id]
+        if plain.any():
+            alone = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if p], add_special_tokens=False)]
+            size[plain] = [len(x) for x in alone]
+            out, owner = np.zeros(int(size.sum()), np.uint32), np.repeat(plain, size)
+            out[~owner], out[owner] = flat, np.concatenate(alone)
+            flat = out
+        return flat, size
+
     def encode(self, texts: list[str]) -> list:
         import numpy as np
 
@@ -57,11 +83,9 @@ class WordTokenizer:
             words = text.replace("\n", " ").split(" ")
             rows.append(np.fromiter(map(number, words), np.uint32, len(words)))
         if new := self.memory.pending:
-            found = [x.ids for at in range(0, len(new), 10_000) for x in self.tokenizer.encode_batch(new[at : at + 10_000], add_special_tokens=False)]
-            size = np.array([len(x) for x in found], np.int64)
+            data, size = self._encode_words(new)
             self.start = np.concatenate((self.start, np.cumsum(size) - size + len(self.data)))
-            self.size = np.concatenate((self.size, size))
-            self.data = np.concatenate((self.data, np.array([i for x in found for i in x], np.uint32)))
+            self.size, self.data = np.concatenate((self.size, size)), np.concatenate((self.data, data))
             self.memory.pending = []
         return [gather(self.data, self.start, self.size, row) for row in rows]
 
@@ -73,43 +97,47 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
     """Re-Pair over a shard.
 
     ``ids``: all ids; ``ends``: True at each document's last id; nonterminals count from ``base``.
-    Returns (sequence, ends of the sequence, rules as an array of pairs). Each round counts all
-    pairs and replaces those whose count is within a factor of the most frequent one's, most
-    frequent first where they overlap."""
+    Returns (sequence, ends of the sequence, rules as an array of pairs). A round counts all pairs
+    by hash, then exactly in the slots that are frequent, and replaces every pair whose count is
+    near the most frequent one's, the more frequent first where two overlap. It ends when no pair
+    occurs ``min_count`` times."""
     import numpy as np
 
-    seq, last, rules = ids.astype(np.int64), ends.copy(), []
-    n_rules, bits = 0, 22
-    while len(seq) > 1:
-        inner = ~last[:-1]
-        key = seq[:-1] << 32 | seq[1:]
-        slot = ((key * 0x5851F42D4C957F2D) & 0x7FFFFFFFFFFFFFFF) >> (63 - bits)
-        slot[~inner] = 1 << bits
-        count = np.bincount(slot, minlength=(1 << bits) + 1)
-        count[-1] = 0
-        if (most := int(count.max())) < min_count:
+    none, slots = np.iinfo(np.int32).max, 1 << 20
+    seq, last, rules, n_rules, low, missed, turn = ids.astype(np.uint32), ends.copy(), [], 0, None, 0, 0
+    while len(seq) > 1 and missed < 3:
+        turn += 1
+        slot = seq[:-1] * np.uint32(0x9E3779B1 + 2 * turn) + seq[1:] * np.uint32(0x85EBCA77 - 4 * turn)
+        slot = (slot ^ (slot >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(12)
+        slot[last[:-1]] = slots
+        count = np.bincount(slot, minlength=slots + 1)
+        count[slots] = 0
+        most = int(count.max())
+        if most < min_count:
             break
-        low = max(min_count, most // 8)
-        often = np.flatnonzero(count[slot] >= low)  # a slot may hold several pairs
-        pairs, which, exact = np.unique(key[often], return_inverse=True, return_counts=True)
-        good = exact >= low
-        if not good.any():
-            if low == min_count:
-                break
-            good = exact >= max(min_count, int(exact.max()))
-            if not good.any():
-                break
-        rank = np.full(len(pairs), np.iinfo(np.int32).max, np.int64)
-        order = np.flatnonzero(good)[np.argsort(-exact[good], kind="stable")]
-        rank[order] = np.arange(len(order))
-        place = np.full(len(seq) + 1, np.iinfo(np.int32).max, np.int64)
-        place[often + 1] = rank[which]  # shifted by one, with a border at either side
-        here = place[1:]
-        before, after = place[:-1], np.append(place[2:], np.iinfo(np.int32).max)
-        take = np.flatnonzero((here < np.iinfo(np.int32).max) & (here < before) & (here <= after))
+        low = max(min_count, min(most // 8, most if low is None else low // 3))
+        often = np.flatnonzero((count >= low)[slot])
+        key, at = seq[often].astype(np.uint64) << np.uint64(32) | seq[often + 1], slot[often]
+        held = np.zeros(slots, np.uint64)
+        held[at] = key  # one pair for each slot; what else fell there is met again under another hash
+        same = held[at] == key
+        often, at = often[same], at[same]
+        count = np.bincount(at, minlength=slots)
+        order = np.flatnonzero(count >= low)
+        if not len(order):  # slots of several rarer pairs
+            missed += low == min_count
+            continue
+        order = order[np.argsort(-count[order], kind="stable")]
+        rank = np.full(slots, none, np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        place = np.full(len(seq) + 2, none, np.int32)  # shifted by one, with a border at either side
+        place[often + 1] = rank[at]
+        here = place[1:-1]
+        take = np.flatnonzero((here < none) & (here < place[:-2]) & (here <= place[2:]))
         used, rule = np.unique(here[take], return_inverse=True)
-        rules.append(np.stack((pairs[order[used]] >> 32, pairs[order[used]] & 0xFFFFFFFF), 1))
-        seq[take] = base + n_rules + rule
+        pairs = held[order[used]]
+        rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)), 1).astype(np.int64))
+        seq[take] = (base + n_rules + rule).astype(np.uint32)
         n_rules += len(used)
         last[take] = last[take + 1]
         keep = np.ones(len(seq), bool)
@@ -122,12 +150,10 @@ def expansion_sizes(rules, base: int):
     """Ids that each rule expands to. A rule names earlier rules only."""
     import numpy as np
 
-    size = np.ones(len(rules), np.int64)
-    depth = np.zeros(len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):
-        size[i] = (size[a - base] if a >= base else 1) + (size[b - base] if b >= base else 1)
-        depth[i] = 1 + max(depth[a - base] if a >= base else 0, depth[b - base] if b >= base else 0)
-    return size, depth
+    size: list[int] = []
+    for a, b in rules.tolist():
+        size.append((size[a - base] if a >= base else 1) + (size[b - base] if b >= base else 1))
+    return np.array(size, np.int64)
 
 
 def pack_shard(doc_ids: list, ids: list, base: int, min_count: int = MIN_COUNT) -> bytes:
@@ -141,7 +167,7 @@ def pack_shard(doc_ids: list, ids: list, base: int, min_count: int = MIN_COUNT)
     ends[np.cumsum(n) - 1] = True  # every document has its end id at least
     seq, last, rules = repair(flat, ends, base, min_count)
     place = np.concatenate(([0], np.flatnonzero(last) + 1))
-    size, _ = expansion_sizes(rules, base)
+    size = expansion_sizes(rules, base)
     kind = "<u2" if base + len(rules) <= 1 << 16 else "<u4"
     null = np.array([x is None for x in doc_ids], np.uint8)
     numbers = np.array([0 if x is None else x for x in doc_ids], "<i8")
