@@ -28,51 +28,74 @@ CACHE_WORDS = 600_000
 MAGIC = b"PDKTOK1\0"
 
 
+#: Stands between words in one call of the library; a word that holds it is encoded alone.
+MARK = "\x01"
+
+
 class WordTokenizer:
-    """A tokenizer of the ``tokenizers`` library that drops white space, applied word by word.
+    """A lower-casing tokenizer of the ``tokenizers`` library that drops white space and tells
+    letters from other signs before its merges, applied word by word.
 
     Words between blanks and line feeds are encoded by the library once and remembered: no rule
-    of such a tokenizer looks beyond white space."""
+    of such a tokenizer looks beyond white space. A comma or full stop after a letter is split
+    off, and Latin letters are lower-cased, as the library's own first steps do."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self.forget()
 
     def forget(self) -> None:
         import numpy as np
 
-        self.memory = Memory()
+        self.memory, self.parts = Memory(), Memory()
         self.data, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.first, self.second = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.parts[""]  # number 0: nothing
 
-    def _encode_words(self, words: list[str]):
-        """(ids of all words in one array, how many each has). The library cuts a text at its
-        special tokens before anything else, so one of them keeps the words of a call apart."""
+    def _encode_parts(self, parts: list[str]) -> None:
         import numpy as np
 
-        marks = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
-        mark, mark_id = marks[0] if marks else ("", -1)
-        plain = [not mark or any(m in w for m, _ in marks) for w in words]
-        joined = [w for w, p in zip(words, plain, strict=True) if not p]
-        size, parts = np.zeros(len(words), np.int64), []
-        texts = [mark.join(joined[at : at + 200]) + mark for at in range(0, len(joined), 200)]
-        for at in range(0, len(texts), 50):
-            parts += [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts[at : at + 50], add_special_tokens=False)]
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        cuts = np.flatnonzero(flat == mark_id)
-        plain = np.array(plain, bool)
-        size[~plain] = np.diff(cuts, prepend=-1) - 1
-        flat = flat[flat != mark_id]
-        if plain.any():
-            alone = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if p], add_special_tokens=False)]
-            size[plain] = [len(x) for x in alone]
-            out, owner = np.zeros(int(size.sum()), np.uint32), np.repeat(plain, size)
-            out[~owner], out[owner] = flat, np.concatenate(alone)
-            flat = out
-        return flat, size
+        found, sizes = [], []
+        for at in range(0, len(parts), 1000):
+            some = parts[at : at + 1000]
+            text = f" {MARK} ".join([*some, ""])
+            if self.mark is not None and text.count(MARK) == len(some):
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+                cuts = ids == self.mark
+                sizes.append(np.diff(np.flatnonzero(cuts), prepend=-1) - 1)
+                found.append(ids[~cuts])
+            else:
+                alone = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                sizes.append(np.array([len(x) for x in alone], np.int64))
+                found.append(np.array([i for x in alone for i in x], np.uint32))
+        size = np.concatenate(sizes)
+        self.start = np.concatenate((self.start, np.cumsum(size) - size + len(self.data)))
+        self.size, self.data = np.concatenate((self.size, size)), np.concatenate((self.data, *found))
+
+    def _learn(self, words: list[str]) -> None:
+        import numpy as np
+
+        number, first, second = self.parts.__getitem__, [], []
+        for word in words:
+            tail = 0
+            if "<|" not in word:
+                if word.isascii():
+                    word = word.lower()
+                if len(word) > 1 and word[-1] in ",." and word[-2].isalpha():
+                    tail, word = number(word[-1]), word[:-1]
+            first.append(number(word))
+            second.append(tail)
+        if self.parts.pending:
+            self._encode_parts(self.parts.pending)
+            self.parts.pending = []
+        self.first, self.second = np.concatenate((self.first, first)), np.concatenate((self.second, second))
 
     def encode(self, texts: list[str]) -> list:
+        """Ids of each text as numpy arrays."""
         import numpy as np
 
         if len(self.memory) > CACHE_WORDS or len(self.data) > 16 * CACHE_WORDS:
@@ -82,12 +105,11 @@ class WordTokenizer:
         for text in texts:
             words = text.replace("\n", " ").split(" ")
             rows.append(np.fromiter(map(number, words), np.uint32, len(words)))
-        if new := self.memory.pending:
-            data, size = self._encode_words(new)
-            self.start = np.concatenate((self.start, np.cumsum(size) - size + len(self.data)))
-            self.size, self.data = np.concatenate((self.size, size)), np.concatenate((self.data, data))
+        if self.memory.pending:
+            self._learn(self.memory.pending)
             self.memory.pending = []
-        return [gather(self.data, self.start, self.size, row) for row in rows]
+        both = lambda row: np.stack((self.first[row], self.second[row]), 1).ravel()
+        return [gather(self.data, self.start, self.size, both(row)) for row in rows]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -100,7 +122,7 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
     Returns (sequence, ends of the sequence, rules as an array of pairs). A round counts all pairs
     by hash, then exactly in the slots that are frequent, and replaces every pair whose count is
     near the most frequent one's, the more frequent first where two overlap. It ends when no pair
-    occurs ``min_count`` times."""
+    occurs ``min_count`` times, or a round saves less than a thousandth."""
     import numpy as np
 
     none, slots = np.iinfo(np.int32).max, 1 << 20
@@ -133,7 +155,11 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
         place = np.full(len(seq) + 2, none, np.int32)  # shifted by one, with a border at either side
         place[often + 1] = rank[at]
         here = place[1:-1]
-        take = np.flatnonzero((here < none) & (here < place[:-2]) & (here <= place[2:]))
+        least = np.flatnonzero((here < none) & (here <= place[:-2]) & (here <= place[2:]))
+        lead = np.ones(len(least), bool)  # of a run such as aaaa every other place is taken
+        lead[1:] = (np.diff(least) > 1) | (here[least[1:]] != here[least[:-1]])
+        step = np.arange(len(least))
+        take = least[(step - np.maximum.accumulate(np.where(lead, step, 0))) % 2 == 0]
         used, rule = np.unique(here[take], return_inverse=True)
         pairs = held[order[used]]
         rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)), 1).astype(np.int64))
@@ -143,6 +169,8 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
         keep = np.ones(len(seq), bool)
         keep[take + 1] = False
         seq, last = seq[keep], last[keep]
+        if low == min_count and len(take) * 1000 < len(seq):
+            break
     return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 

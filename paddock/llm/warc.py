@@ -45,13 +45,16 @@ def decide(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     return joined.select("page_id", "url", "payload", "payload_digest", F.when(F.col("page_id") != F.col("first"), F.col("first")).alias("refers_to"))
 
 
-def build_dictionary(pages: DataFrame, html_col: str = "html", records: int = SAMPLE_RECORDS, size: int = DICTIONARY_BYTES) -> bytes:
+def build_dictionary(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", records: int = SAMPLE_RECORDS, size: int = DICTIONARY_BYTES) -> bytes:
     """A dictionary from at most ``records`` pages, the first SAMPLE_BYTES characters of each (a
     model of the data, no data: every record is archived whole). Empty if there is too little."""
     import zstandard
 
-    html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    sample = pages.select(F.substring(html, 1, SAMPLE_BYTES).alias("h")).where("h <> ''").orderBy(F.xxhash64("h")).limit(records)
+    order = F.xxhash64(F.col(id_col))
+    last = pages.select(order.alias("o")).orderBy("o").limit(records).agg(F.max("o")).first()[0]  # page ids alone are read
+    if last is None:
+        return b""
+    sample = pages.where(order <= last).select(F.substring(F.col(html_col).cast("string"), 1, SAMPLE_BYTES).alias("h")).where("h <> ''").limit(records)
     texts = [r[0].encode() for r in sample.collect()]
     if sum(map(len, texts)) < 8 * 1024 or len(texts) < 8:
         return b""
@@ -172,7 +175,7 @@ def archive(pages: DataFrame, folder: str | None = None, id_col: str = "page_id"
     """Write all pages to ``folder`` (a new shared one unless given) and return the manifest. No
     pages give no files."""
     folder = folder or shared_dir(pages.sparkSession, "warc")
-    return stage(write_archives(decide(pages, id_col, url_col, html_col), folder, build_dictionary(pages, html_col)), "warc-manifest")
+    return stage(write_archives(decide(pages, id_col, url_col, html_col), folder, build_dictionary(pages, id_col, html_col)), "warc-manifest")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
