@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, exact_dedup, line_dedup, near_dedup, token_files, warc
+from . import bpe, decontam, exact_dedup, line_dedup, near_dedup, quality, token_files, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op4_quality": quality.op4_quality,
     "op5_bpe": bpe.op5_bpe,
     "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_warc": warc.op8_warc,
     "op9_token_files": token_files.op9_token_files,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,

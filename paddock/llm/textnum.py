@@ -59,12 +59,12 @@ def chunks(offsets: np.ndarray):
         i = j
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = SPACED, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, number of words of each text). Words are maximal runs of the bytes in
-    ``is_word``; with ``lower``, A-Z count as a-z."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start of each word, end of each word, number of words of each text). Words are maximal runs
+    of the bytes in ``is_word``."""
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
     inside = is_word[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -75,15 +75,25 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = SPA
     edge = offsets[1:][offsets[1:] > 0] - 1
     final[edge] = inside[edge]
     start, end = np.flatnonzero(first), np.flatnonzero(final) + 1
+    return start, end, np.diff(np.searchsorted(start, offsets))
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = LOWER) -> np.ndarray:
+    """A hash of each span of bytes, each byte read through ``table``."""
+    n = len(data)
     powers, inverse = _tables(n + 1)
-    value = (LOWER[data] if lower else data).astype(np.uint64)
+    value = table[data].astype(np.uint64)
     value += np.uint64(1)
     value *= powers[:n]
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(value, out=total[1:])
-    words = mix((total[end] - total[start]) * inverse[start])
-    counts = np.diff(np.searchsorted(start, offsets))
-    return words, counts
+    return mix((total[end] - total[start]) * inverse[start])
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word between white space, A-Z as a-z; number of words of each text)."""
+    start, end, counts = word_spans(data, offsets)
+    return span_hashes(data, start, end), counts
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
