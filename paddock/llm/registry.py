@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, exact_dedup, line_dedup, near_dedup, quality, token_files, toxicity, warc
+from . import bpe, decontam, exact_dedup, language_model, line_dedup, near_dedup, quality, token_files, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_language_model": language_model.op3_language_model,
     "op4_quality": quality.op4_quality,
     "op5_bpe": bpe.op5_bpe,
     "op6_near_dedup": near_dedup.op6_near_dedup,

@@ -18,7 +18,7 @@ from .labelled import bucket, labelled_sample
 SAMPLE_ROWS = 20_000
 BITS = 20
 EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 1.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 1.0
 THRESHOLD = 0.3
 
 
