@@ -65,27 +65,21 @@ def dropped_positions(keep_words: Column) -> Column:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with _kept (the text of the lines that stay, joined by
-    line feeds), _n_lines and _n_dropped."""
+    """For each row of ``docs``: row (all its columns, as a struct, whatever their names), kept_text
+    (the lines that stay, joined by line feeds), n_lines, n_dropped."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    left = docs.withColumn("_id", F.col(id_col)).withColumn("_t", text).withColumn("_k", row_key("_id", F.col("_t")))
-    joined = left.join(bitmaps, same_row(left, bitmaps), "left").drop(bitmaps["_id"]).drop(bitmaps["_k"]).drop("_id", "_k")
-    lines = joined.withColumn("_lines", F.split("_t", "\n"))
+    left = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), text.alias("_t")).withColumn("_k", row_key("_id", F.col("_t")))
+    joined = left.join(bitmaps, same_row(left, bitmaps), "left").select("row", "_t", "keep_words", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), F.split("_t", "\n").alias("_lines"))
     n = F.size("_lines")
     stays = F.array_except(F.sequence(F.lit(0), n - 1), dropped_positions(F.col("keep_words")))
     kept = F.array_join(F.transform(stays, lambda i: F.get(F.col("_lines"), i)), "\n")
-    return (
-        lines.withColumn("_n_lines", n.cast("long"))
-        .withColumn("_n_dropped", F.coalesce("n_dropped", F.lit(0)).cast("long"))
-        .withColumn("_kept", F.when(F.col("keep_words").isNull(), F.col("_t")).otherwise(kept))
-        .drop("_lines", "_t", "keep_words", "n_dropped")
-    )
+    return joined.select("row", F.when(F.col("keep_words").isNull(), F.col("_t")).otherwise(kept).alias("kept_text"), n.cast("long").alias("n_lines"), "n_dropped")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = apply_bitmaps(docs, line_bitmaps(docs))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 SQL = r"""

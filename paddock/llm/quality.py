@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import table
 from .labelled import labelled_sample
@@ -111,8 +112,9 @@ def fit(sample: DataFrame, grades: int, bits: int = BITS, epochs: int = EPOCHS)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """All columns of ``docs`` with _expected_grade and _tail (probability of the upper half of the
-    grades), from whole texts. Null and empty texts have no features."""
+    """For each row of ``docs``: row (all its columns, as a struct, whatever their names),
+    expected_grade and tail (probability of the upper half of the grades), from whole texts. Null
+    and empty texts have no features."""
     import numpy as np
 
     theta = np.array(model.thresholds)
@@ -125,7 +127,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         w = weights.value
         for batch in batches:
             total = np.zeros(batch.num_rows)
-            for first, n, number, owner, value in features(batch.column(batch.num_columns - 1), bits):
+            for first, n, number, owner, value in features(batch.column(1), bits):
                 cell = owner << bits | number
                 order = np.argsort(cell, kind="stable")
                 cell, value = cell[order], value[order]
@@ -134,12 +136,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 cell = cell[head]
                 total[first : first + n] += np.bincount(cell >> bits, weights=value * w[cell & ((1 << bits) - 1)], minlength=n)
             above = 1 - 1 / (1 + np.exp(-np.clip(theta - total[:, None], -35, 35)))  # P(grade > g)
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(above.sum(axis=1)), pa.array(above[:, upper])], [*names, "_expected_grade", "_tail"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(above.sum(axis=1)), pa.array(above[:, upper])], ["row", "expected_grade", "tail"])
 
-    rows = docs.select("*", F.col(text_col).cast("string").alias("_t"))
-    names = docs.columns
-    schema = docs.schema.add("_expected_grade", "double").add("_tail", "double")
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("_t"))
+    schema = StructType([rows.schema["row"], StructField("expected_grade", DoubleType()), StructField("tail", DoubleType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -154,4 +154,4 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", F.col("_expected_grade").alias("expected_grade"), F.col("_tail").alias("tail_probability"), (F.col("_tail") >= MIN_TAIL).alias("kept"))
+    return scored.select("row.doc_id", "expected_grade", F.col("tail").alias("tail_probability"), (F.col("tail") >= MIN_TAIL).alias("kept"))
