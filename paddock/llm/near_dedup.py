@@ -21,16 +21,16 @@ from .common import row_key, shuffle_partitions, stage, table
 REGISTERS = 256
 MANTISSA_BITS = 10
 BAND = 5
-#: Estimates this far below the threshold are ruled out: eight standard deviations.
-MARGIN = 0.2
-#: Smaller sets are always compared in full.
-SURE_SIZE = 128
+#: Estimates so many standard deviations below the threshold are ruled out.
+DEVIATIONS = 6
 #: A hub's members go to tasks of about so many.
 MEMBERS_PER_TASK = 1_000
-#: Rounds with one hub for each bucket, before all remaining pairs of a bucket are compared.
-HUB_ROUNDS = 6
-#: Pairs for each member of a bucket below which they are all compared at once.
-PAIRS_PER_MEMBER = 16
+#: Members outside a bucket's main component: up to FEW they are paired at once; up to MANY their
+#: sketches meet the others' in blocks of BLOCK rows; beyond it they meet one hub in each round,
+#: and what HUB_ROUNDS rounds leave goes to blocks.
+FEW, MANY, BLOCK, HUB_ROUNDS = 16, 8_192, 256, 6
+#: Stands for a null id.
+NO_ID = -(1 << 63)
 
 
 def _sets(array, k: int):
@@ -141,24 +141,99 @@ def bands(sets: DataFrame) -> DataFrame:
     return sets.select("c", "sketch").mapInArrow(run, "b long, c long")
 
 
+def close_enough(estimates, left, right, threshold: float):
+    """Whether an estimate leaves a chance of reaching the threshold, and set sizes allow it. A
+    sketch is worth as many independent registers as its set has elements, about 0.7 x 256 at most."""
+    import numpy as np
+
+    small, large = np.minimum(left, right), np.maximum(left, right)
+    deviation = np.sqrt(threshold * (1 - threshold) / (0.7 * np.minimum(small, REGISTERS)))
+    return (estimates >= threshold - DEVIATIONS * deviation) & (small >= threshold * large - 1e-9)
+
+
+def _registers(column):
+    import numpy as np
+
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+
+
 def likely(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (x, y) those whose estimate isn't far below the threshold, or whose sets are small."""
+    """Of pairs (x, y) those that estimates and set sizes don't rule out."""
     s = sets.select("c", "n", "sketch")
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            both = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (3, 5)]
-            nx, ny = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            good = (estimate(*both) >= threshold - MARGIN) | (np.minimum(nx, ny) < SURE_SIZE)
+            estimates = estimate(_registers(batch.column(3)), _registers(batch.column(5)))
+            good = close_enough(estimates, batch.column(2).to_numpy(), batch.column(4).to_numpy(), threshold)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(good))
 
     one = pairs.join(s.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("sx")), "x")
     two = one.join(s.select(F.col("c").alias("y"), F.col("n").alias("ny"), F.col("sketch").alias("sy")), "y")
-    near = two.where(F.least("nx", "ny") >= F.lit(threshold) * F.greatest("nx", "ny") - 1e-9)
-    return near.select("x", "y", "nx", "sx", "ny", "sy").mapInArrow(run, "x long, y long")
+    return two.select("x", "y", "nx", "sx", "ny", "sy").mapInArrow(run, "x long, y long")
+
+
+def with_text(rows: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``rows`` (c and others) with _t, the text of one document of the set."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("_t")).withColumn("_k", row_key("_id", F.col("_t")))
+    texts = texts.select(F.coalesce("_id", F.lit(NO_ID)).alias("_i"), "_k", "_t")
+    return rows.join(sets.select("c", "_i", "_k"), "c").join(texts, ["_i", "_k"]).drop("_i", "_k")
+
+
+def _common(full, runs, sizes):
+    """How many of each set's hashes ``full`` holds."""
+    import numpy as np
+
+    at = np.searchsorted(full, runs)
+    at[at == len(full)] = len(full) - 1
+    return np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full[at] == runs], minlength=len(sizes))
+
+
+def links_in_blocks(members: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Links (x, y) between different components of a bucket.
+
+    ``members``: b, c, label, main, outside (members that aren't in the main component). Those
+    outside form blocks; each block meets all members of its bucket as they stream by. Estimates rule
+    out most pairs, full sets decide on the others, and only links are written."""
+    spark = members.sparkSession
+    blocks = F.ceil(F.col("outside") / BLOCK).cast("int")
+    own = members.where("label <> main").select("b", F.pmod(F.xxhash64("c"), blocks).cast("int").alias("block"), F.lit(0).alias("kind"), "c", "label")
+    every = members.select("b", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("kind"), "c", "label")
+    rows = with_text(own.unionByName(every), sets, docs, id_col, text_col).select("b", "block", "kind", "c", "label", "_t")
+    dealt = rows.repartition(shuffle_partitions(spark), "b", "block").sortWithinPartitions("b", "block", "kind", "c")
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        key, held, block = None, [], None
+        for batch in batches:
+            x, y = [], []
+            b, part, kind, c, label = (batch.column(i).to_pylist() for i in range(5))
+            for i, runs, sizes in _sets(batch.column(5), k):
+                registers, ends = sketch(runs, sizes), np.cumsum(sizes)
+                for j in range(len(sizes)):
+                    one, r = runs[ends[j] - sizes[j] : ends[j]], i + j
+                    if key != (b[r], part[r]):
+                        key, held, block = (b[r], part[r]), [], None
+                    if kind[r] == 0:
+                        held.append((c[r], label[r], one.copy(), registers[j]))
+                        continue
+                    if block is None:
+                        names, labels = np.array([h[0] for h in held]), np.array([h[1] for h in held])
+                        block = names, labels, np.array([len(h[2]) for h in held]), np.stack([h[3] for h in held])
+                    names, labels, counts, sketches = block
+                    good = np.flatnonzero((labels != label[r]) & close_enough(estimate(sketches, registers[j]), counts, len(one), percent / 100))
+                    if len(good):
+                        common = _common(one, np.concatenate([held[g][2] for g in good]), counts[good])
+                        linked = good[100 * common >= percent * (counts[good] + len(one) - common)]
+                        x += np.minimum(names[linked], c[r]).tolist()
+                        y += np.maximum(names[linked], c[r]).tolist()
+            yield pa.RecordBatch.from_pydict({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
+
+    return dealt.mapInArrow(run, "x long, y long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -170,10 +245,7 @@ def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent:
     hubs = pairs.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_TASK).cast("int").alias("parts"))
     members = pairs.join(hubs, "x").select(F.col("y").alias("c"), F.col("x").alias("hub"), F.pmod(F.xxhash64("y"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"))
     heads = hubs.select(F.col("x").alias("c"), F.col("x").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
-    asked = members.unionByName(heads).join(sets.select("c", "_id", "_k"), "c")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("_t")).withColumn("_k", row_key("_id", F.col("_t"))).select(F.coalesce("_id", F.lit(-1)).alias("_id"), "_k", "_t")
-    asked = asked.withColumn("_id", F.coalesce("_id", F.lit(-1))).join(texts, ["_id", "_k"]).select("hub", "part", "kind", "c", "_t")
+    asked = with_text(members.unionByName(heads), sets, docs, id_col, text_col).select("hub", "part", "kind", "c", "_t")
     dealt = asked.repartition(shuffle_partitions(spark), "hub", "part").sortWithinPartitions("hub", "part", "kind", "c")
 
     def run(batches: Iterator) -> Iterator:
@@ -192,9 +264,7 @@ def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent:
                         continue
                     if heads[j] != hub:
                         raise ValueError("a member came before its hub")
-                    at = np.searchsorted(full, runs[a:b])
-                    at[at == len(full)] = len(full) - 1
-                    common = int((full[at] == runs[a:b]).sum())
+                    common = int(_common(full, runs[a:b], np.array([b - a]))[0])
                     if 100 * common >= percent * (len(full) + b - a - common):
                         x.append(hub)
                         y.append(names[j])
@@ -229,34 +299,36 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     threshold = percent / 100
     rows = stage(fingerprints(docs, k, id_col, text_col), "fingerprints")
     some = rows.where("n > 0")
-    first = some.groupBy("c").agg(F.min(F.struct(F.col("_id").isNull().alias("no"), "_id", "_k")).alias("r")).select("c", F.col("r._id").alias("_id"), F.col("r._k").alias("_k"))
-    chosen = first.withColumn("_i", F.coalesce("_id", F.lit(-1))).drop("_id")
-    sets = some.withColumn("_i", F.coalesce("_id", F.lit(-1))).drop("_id")
-    sets = stage(sets.join(chosen, ["c", "_i", "_k"]).select("c", "_k", F.when(F.col("_i") >= 0, F.col("_i")).alias("_id"), "n", "sketch").dropDuplicates(["c"]), "sets")
+    some = some.select("c", F.coalesce("_id", F.lit(NO_ID)).alias("_i"), "_k", "n", "sketch")
+    first = some.groupBy("c").agg(F.max(F.struct("_i", "_k")).alias("r")).select("c", "r.*")
+    sets = stage(some.join(first, ["c", "_i", "_k"]).dropDuplicates(["c"]), "sets")
     all_bands = bands(sets)
     shared = all_bands.groupBy("b").agg(F.min("c").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
     held = stage(all_bands.join(shared, "b"), "buckets")
-    done = stage(held.where("c <> hub").select(F.col("hub").alias("x"), F.col("c").alias("y")).distinct(), "pairs")
-    links = stage(verify(stage(likely(done, sets, threshold), "likely"), sets, docs, k, percent, id_col, text_col), "links")
+    done = stage(held.where("c <> hub").select(F.col("hub").alias("x"), F.col("c").alias("y")).distinct(), "first-pairs")
+    links = stage(verify(stage(likely(done, sets, threshold), "pairs"), sets, docs, k, percent, id_col, text_col), "links")
     for turn in range(1, HUB_ROUNDS + 2):
         labels = components(links)
         left = held.where("size > 2").join(labels, "c", "left").select("b", "c", F.coalesce("label", "c").alias("label"))
         counts = left.groupBy("b", "label").agg(F.count(F.lit(1)).alias("m"))
-        mixed = counts.groupBy("b").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.sum("m").alias("size"), F.max("m").alias("most")).where("size > most")
+        mixed = counts.groupBy("b").agg(F.max_by("label", F.struct("m", "label")).alias("main"), (F.sum("m") - F.max("m")).alias("outside")).where("outside > 0")
         left = stage(left.join(mixed, "b"), "mixed")
-        all_pairs = F.lit(turn > HUB_ROUNDS) | ((F.col("size") - F.col("most")) <= PAIRS_PER_MEMBER)
-        few = left.where(all_pairs)
+        few = left.where(F.col("outside") <= FEW)
         odd = few.where("label <> main").select("b", F.col("c").alias("x"), F.col("label").alias("lx"), "main")
         cross = odd.join(few.select("b", F.col("c").alias("y"), F.col("label").alias("ly")), "b").where("lx <> ly and (ly = main or x < y)")
-        many = left.where(~all_pairs)
+        large = (F.col("outside") > MANY) & F.lit(turn <= HUB_ROUNDS)
+        many = left.where(large)
         heads = many.groupBy("b").agg(F.min_by(F.struct("c", "label"), F.xxhash64(F.col("c"), F.lit(turn))).alias("h")).select("b", F.col("h.c").alias("x"), F.col("h.label").alias("lx"))
         star = many.select("b", F.col("c").alias("y"), F.col("label").alias("ly")).join(heads, "b").where("lx <> ly")
-        pairs = cross.select("x", "y").union(star.select("x", "y")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        pairs = stage(pairs.join(done, ["x", "y"], "left_anti"), "pairs")
-        if not pairs.limit(1).count() and not many.limit(1).count():
+        pairs = cross.select("x", "y").union(star.select("x", "y")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().join(done, ["x", "y"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        found = verify(stage(likely(pairs, sets, threshold), "likely"), sets, docs, k, percent, id_col, text_col)
+        found = found.union(links_in_blocks(left.where((F.col("outside") > FEW) & ~large), sets, docs, k, percent, id_col, text_col)).distinct()
+        links, done = links.unionByName(stage(found, "links")), done.unionByName(pairs)
+        held = stage(held.join(many.select("b").distinct(), "b", "left_semi"), "buckets")
+        if not held.limit(1).count():
+            labels = components(links)
             break
-        found = stage(verify(stage(likely(pairs, sets, threshold), "likely"), sets, docs, k, percent, id_col, text_col), "links")
-        done, links = done.unionByName(pairs), links.unionByName(found)
     else:
         labels = components(links)
     names = rows.where("n > 0").groupBy("c").agg(F.min("_id").alias("_id")).join(labels, "c", "left").select("c", "_id", F.coalesce("label", "c").alias("label"))

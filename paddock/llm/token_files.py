@@ -30,6 +30,8 @@ MAGIC = b"PDKTOK1\0"
 
 #: Stands between words in one call of the library; a word that holds it is encoded alone.
 MARK = "\x01"
+#: How a pre-tokenizer that keeps runs of letters together says so, in JSON.
+LETTERS = r"[\\p{L}]+"
 
 
 class WordTokenizer:
@@ -37,31 +39,46 @@ class WordTokenizer:
     letters from other signs before its merges, applied word by word.
 
     Words between blanks and line feeds are encoded by the library once and remembered: no rule
-    of such a tokenizer looks beyond white space. A comma or full stop after a letter is split
-    off, and Latin letters are lower-cased, as the library's own first steps do."""
+    of such a tokenizer looks beyond white space. For words of Latin letters, perhaps with a comma or
+    full stop at the end, the library's first steps are known to do nothing but lower-case them and
+    split the sign off, and are left out."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import json
+
+        import numpy as np
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        config = json.loads(self.tokenizer.to_str())
+        suffix = config["model"].get("end_of_word_suffix")
+        self.fast = None
+        if suffix and "Lowercase" in json.dumps(config["normalizer"]) and LETTERS in json.dumps(config["pre_tokenizer"]):
+            self.fast = Tokenizer.from_file(path)
+            self.fast.normalizer = normalizers.Sequence([])
+            self.fast.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            if hasattr(self.fast.model, "_resize_cache"):
+                self.fast.model._resize_cache(0)  # every word comes once
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.final = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.final[[i for x, i in vocabulary.items() if x.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
         import numpy as np
 
-        self.memory, self.parts = Memory(), Memory()
+        self.memory = Memory()
         self.data, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.first, self.second = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.parts[""]  # number 0: nothing
 
-    def _encode_parts(self, parts: list[str]) -> None:
+    def _plain(self, words: list[str]):
+        """(ids, how many each word has), by the library's own steps. A mark stands between words."""
         import numpy as np
 
-        found, sizes = [], []
-        for at in range(0, len(parts), 1000):
-            some = parts[at : at + 1000]
+        found, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
             text = f" {MARK} ".join([*some, ""])
             if self.mark is not None and text.count(MARK) == len(some):
                 ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -72,27 +89,44 @@ class WordTokenizer:
                 alone = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
                 sizes.append(np.array([len(x) for x in alone], np.int64))
                 found.append(np.array([i for x in alone for i in x], np.uint32))
-        size = np.concatenate(sizes)
-        self.start = np.concatenate((self.start, np.cumsum(size) - size + len(self.data)))
-        self.size, self.data = np.concatenate((self.size, size)), np.concatenate((self.data, *found))
+        return np.concatenate(found), np.concatenate(sizes)
+
+    def _letters(self, pieces: list[str], signs):
+        """The same for words of letters; ``signs`` is 1 where a blank and a sign follow. The last id
+        of each piece ends a word."""
+        import numpy as np
+
+        found = [np.zeros(0, np.uint32)]
+        for at in range(0, len(pieces), 2000):
+            found.append(np.array(self.fast.encode_batch_fast([" ".join(pieces[at : at + 2000])], add_special_tokens=False)[0].ids, np.uint32))
+        ids = np.concatenate(found)
+        ends = np.flatnonzero(self.final[ids]) + 1
+        return ids, np.diff(ends[np.cumsum(signs + 1) - 1], prepend=0)
 
     def _learn(self, words: list[str]) -> None:
         import numpy as np
 
-        number, first, second = self.parts.__getitem__, [], []
+        pieces, signs, kind, others = [], [], [], []
         for word in words:
-            tail = 0
-            if "<|" not in word:
-                if word.isascii():
-                    word = word.lower()
-                if len(word) > 1 and word[-1] in ",." and word[-2].isalpha():
-                    tail, word = number(word[-1]), word[:-1]
-            first.append(number(word))
-            second.append(tail)
-        if self.parts.pending:
-            self._encode_parts(self.parts.pending)
-            self.parts.pending = []
-        self.first, self.second = np.concatenate((self.first, first)), np.concatenate((self.second, second))
+            low = word.lower() if self.fast is not None and (word.isascii() or max(word) <= "\xff") else ""
+            if low.isalpha():
+                pieces.append(low)
+                signs.append(0)
+                kind.append(True)
+            elif low and low[-1] in ",." and low[:-1].isalpha():
+                pieces.append(f"{low[:-1]} {low[-1]}")
+                signs.append(1)
+                kind.append(True)
+            else:
+                others.append(word)
+                kind.append(False)
+        kind, size = np.array(kind, bool), np.zeros(len(words), np.int64)
+        plain, size[~kind] = self._plain(others)
+        letters, size[kind] = self._letters(pieces, np.array(signs, np.int64)) if pieces else (np.zeros(0, np.uint32), 0)
+        data, owner = np.zeros(int(size.sum()), np.uint32), np.repeat(kind, size)
+        data[owner], data[~owner] = letters, plain
+        self.start = np.concatenate((self.start, np.cumsum(size) - size + len(self.data)))
+        self.size, self.data = np.concatenate((self.size, size)), np.concatenate((self.data, data))
 
     def encode(self, texts: list[str]) -> list:
         """Ids of each text as numpy arrays."""
@@ -108,8 +142,7 @@ class WordTokenizer:
         if self.memory.pending:
             self._learn(self.memory.pending)
             self.memory.pending = []
-        both = lambda row: np.stack((self.first[row], self.second[row]), 1).ravel()
-        return [gather(self.data, self.start, self.size, both(row)) for row in rows]
+        return [gather(self.data, self.start, self.size, row) for row in rows]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -137,7 +170,7 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
         most = int(count.max())
         if most < min_count:
             break
-        low = max(min_count, min(most // 8, most if low is None else low // 3))
+        low = max(min_count, min(most // 16, most if low is None else low // 4))
         often = np.flatnonzero((count >= low)[slot])
         key, at = seq[often].astype(np.uint64) << np.uint64(32) | seq[often + 1], slot[often]
         held = np.zeros(slots, np.uint64)
