@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, only: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """text, label of at most ``rows`` labelled documents, those with the smallest id hashes.
+    """text, label of about ``rows`` labelled documents at most, chosen by a hash of their ids.
 
     Rows without an id or a label, and those that ``only`` (a condition on the id) excludes, are
     left out. The sample is taken over ids alone; texts are read for its rows only."""
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
     if only is not None:
         known = known.where(only)
-    chosen = known.select(F.col(id_col), F.col(label).cast("int").alias("label")).dropDuplicates([id_col]).orderBy(F.xxhash64(id_col)).limit(rows)
+    known = known.select(F.col(id_col), F.col(label).cast("int").alias("label")).dropDuplicates([id_col])
+    share = min(1.0, 0.95 * rows / max(1, known.count()))  # the count keeps what is broadcast below the bound
+    chosen = known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) if share < 1 else 1 << 30))
     return docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), id_col).select("text", "label")
 
 
