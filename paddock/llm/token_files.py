@@ -91,17 +91,22 @@ class WordTokenizer:
                 found.append(np.array([i for x in alone for i in x], np.uint32))
         return np.concatenate(found), np.concatenate(sizes)
 
-    def _letters(self, pieces: list[str], signs):
-        """The same for words of letters; ``signs`` is 1 where a blank and a sign follow. The last id
-        of each piece ends a word."""
+    def _letters(self, words: list[str], signs):
+        """The same for words of lower-case letters, each distinct one encoded once; ``signs`` has the
+        sign that follows, or nothing. The last id of each part ends a word."""
         import numpy as np
 
-        found = [np.zeros(0, np.uint32)]
-        for at in range(0, len(pieces), 2000):
-            found.append(np.array(self.fast.encode_batch_fast([" ".join(pieces[at : at + 2000])], add_special_tokens=False)[0].ids, np.uint32))
+        known: dict[str, int] = {"": 0}
+        first = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+        second = np.array([known.setdefault(s, len(known)) for s in signs], np.int64)
+        parts, found = list(known)[1:], [np.zeros(0, np.uint32)]
+        for at in range(0, len(parts), 2000):
+            found.append(np.array(self.fast.encode_batch_fast([" ".join(parts[at : at + 2000])], add_special_tokens=False)[0].ids, np.uint32))
         ids = np.concatenate(found)
-        ends = np.flatnonzero(self.final[ids]) + 1
-        return ids, np.diff(ends[np.cumsum(signs + 1) - 1], prepend=0)
+        ends = np.concatenate(([0, 0], np.flatnonzero(self.final[ids]) + 1))
+        start, size = ends[:-1], np.diff(ends)
+        both = np.stack((first, second), 1)
+        return gather(ids, start, size, both.ravel()), size[both].sum(axis=1)
 
     def _learn(self, words: list[str]) -> None:
         import numpy as np
@@ -111,18 +116,18 @@ class WordTokenizer:
             low = word.lower() if self.fast is not None and (word.isascii() or max(word) <= "\xff") else ""
             if low.isalpha():
                 pieces.append(low)
-                signs.append(0)
+                signs.append("")
                 kind.append(True)
             elif low and low[-1] in ",." and low[:-1].isalpha():
-                pieces.append(f"{low[:-1]} {low[-1]}")
-                signs.append(1)
+                pieces.append(low[:-1])
+                signs.append(low[-1])
                 kind.append(True)
             else:
                 others.append(word)
                 kind.append(False)
         kind, size = np.array(kind, bool), np.zeros(len(words), np.int64)
         plain, size[~kind] = self._plain(others)
-        letters, size[kind] = self._letters(pieces, np.array(signs, np.int64)) if pieces else (np.zeros(0, np.uint32), 0)
+        letters, size[kind] = self._letters(pieces, signs) if pieces else (np.zeros(0, np.uint32), 0)
         data, owner = np.zeros(int(size.sum()), np.uint32), np.repeat(kind, size)
         data[owner], data[~owner] = letters, plain
         self.start = np.concatenate((self.start, np.cumsum(size) - size + len(self.data)))
@@ -312,8 +317,8 @@ def write_shards(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id"
 
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
                 for doc_id, ids in zip(part.column(0).to_pylist(), tokenizer.encode(part.column(1).to_pylist()), strict=True):
                     held_docs.append(doc_id)
                     held.append(np.concatenate((ids, end)))
