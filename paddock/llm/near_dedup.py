@@ -28,7 +28,7 @@ MEMBERS_PER_TASK = 1_000
 #: Members outside a bucket's main component: up to FEW they are paired at once; up to MANY their
 #: sketches meet the others' in blocks of BLOCK rows; beyond it they meet one hub in each round,
 #: and what HUB_ROUNDS rounds leave goes to blocks.
-FEW, MANY, BLOCK, HUB_ROUNDS = 16, 8_192, 256, 6
+FEW, MANY, BLOCK, HUB_ROUNDS = 16, 8_192, 1_024, 6
 #: Stands for a null id.
 NO_ID = -(1 << 63)
 
