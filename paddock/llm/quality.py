@@ -6,6 +6,7 @@ ascending order. The expected grade and the probability of the upper grades sele
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -108,6 +109,8 @@ def fit(sample: DataFrame, grades: int, bits: int = BITS, epochs: int = EPOCHS)
         yield pa.RecordBatch.from_pydict({"w": pa.array([w.tolist()]), "t": pa.array([theta.tolist()])})
 
     found = sample.orderBy("text").coalesce(1).mapInArrow(run, "w array<double>, t array<double>").first()
+    if found is None:  # nothing to learn from: all grades are as likely
+        return Model([0.0] * (1 << bits), [math.log(g / (grades - g)) for g in range(1, grades)])
     return Model(list(found[0]), list(found[1]))
 
 
