@@ -26,7 +26,7 @@ from .sharedfs import AtomicWriter, read_bytes
 #: Levels of the trie in the registered query.
 ORDER = 2
 #: Tokens that are counted or scored together in a task.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_200_000
 #: Steps of quantised probabilities in a factor of ten.
 STEPS = 4096
 KEY_BITS = 63
