@@ -1,5 +1,6 @@
 """Every registered query of the library itself against its DuckDB SQL."""
 
+import numbers
 import os
 
 import duckdb
@@ -26,7 +27,7 @@ def canonical(frame, columns):
             return ""
         if hasattr(x, "isoformat"):
             return x.isoformat().replace("T00:00:00", "")
-        return f"{float(x):.6f}" if isinstance(x, float) else str(x)
+        return f"{float(x):.6f}" if isinstance(x, numbers.Number) and not isinstance(x, bool) else str(x)
 
     return sorted(tuple(text(v) for v in row) for row in frame[columns].itertuples(index=False))
 
