@@ -322,3 +322,48 @@ query("breeding_multiplier", "SELECT h.sire_id, count(*) FILTER (WHERE position
 query("staleness_by_region", "SELECT region, max(race_date) AS latest, datediff('day', max(race_date), any_value(d))::INT AS age_days FROM races, ended GROUP BY region")(
     lambda v: v.races.groupBy("region").agg(F.max("race_date").alias("latest")).withColumn("age_days", F.datediff(v.as_of, "latest"))
 )
+
+# -- logs, coverage and reports -------------------------------------------------------------------
+
+query("marker_rows_excluded", "SELECT c_custkey FROM customer WHERE c_name NOT LIKE 'Customer#0000001%'", False)(lambda v: v.table("customer").where(~P("c_name").startswith("Customer#0000001")).select("c_custkey"))
+query("run_log_statistics", "SELECT user_id, count(*) AS runs, count(*) FILTER (WHERE event_type <> 'error') AS successes, round(100.0::DOUBLE * count(*) FILTER (WHERE event_type <> 'error') / count(*), 2) AS success_rate FROM events WHERE ts >= TIMESTAMP '2024-01-20' GROUP BY 1", False)(
+    lambda v: v.table("events").where(P("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")).groupBy("user_id").agg(F.count(F.lit(1)).alias("runs"), F.count_if(P("event_type") != "error").alias("successes")).withColumn("success_rate", S.rate(P("successes"), P("runs")))
+)
+query("update_history", "SELECT event_id, user_id, event_type FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id LIMIT 20", False)(
+    lambda v: v.table("events").where("event_type = 'error'").orderBy(F.desc("ts"), "event_id").limit(20).select("event_id", "user_id", "event_type")
+)
+query("result_arrival", "SELECT race_date, count(*) AS runs, count(position) AS results, count(DISTINCT race_id) AS races FROM runs GROUP BY race_date")(
+    lambda v: v.runs.groupBy("race_date").agg(F.count(F.lit(1)).alias("runs"), F.count("position").alias("results"), F.countDistinct("race_id").alias("races"))
+)
+query("feature_quality", "SELECT race_date, count(*) AS rows, count(*) FILTER (WHERE position IS NOT NULL AND sp_decimal > 1) AS complete, round(avg(sp_decimal), 4) AS mean_price, max(position) AS last_position FROM runs GROUP BY race_date")(
+    lambda v: v.runs.groupBy("race_date").agg(F.count(F.lit(1)).alias("rows"), F.count_if(P("position").isNotNull() & (P("sp_decimal") > 1)).alias("complete"), F.round(F.avg("sp_decimal"), 4).alias("mean_price"), F.max("position").cast("long").alias("last_position"))
+)
+query("ancestor_coverage", "SELECT count(DISTINCT damsire_id) AS ancestors, count(DISTINCT damsire_id) FILTER (WHERE damsire_id IN (SELECT CAST(horse_id AS VARCHAR) FROM runs)) AS found FROM horses")(
+    lambda v: v.horses.select("damsire_id").distinct().join(v.runs.select(P("horse_id").cast("string").alias("damsire_id"), F.lit(1).alias("hit")).distinct(), "damsire_id", "left").agg(F.count(F.lit(1)).alias("ancestors"), F.count("hit").alias("found"))
+)
+query("races_without_results", "SELECT race_id FROM runs GROUP BY race_id HAVING count(position) = 0")(lambda v: v.runs.groupBy("race_id").agg(F.count("position").alias("n")).where("n = 0").select("race_id"))
+query("history_text", "SELECT horse_id, string_agg(race_date || ':' || position_raw, ';' ORDER BY race_date DESC, race_id DESC) AS history FROM runs GROUP BY horse_id")(
+    lambda v: v.runs.groupBy("horse_id").agg(F.sort_array(F.collect_list(F.struct("race_date", "race_id", "position_raw")), asc=False).alias("h")).select("horse_id", F.array_join(F.transform("h", lambda x: F.concat(x["race_date"].cast("string"), F.lit(":"), x["position_raw"])), ";").alias("history"))
+)
+query("regions_from_courses", "SELECT region, min(course_id) AS course_id FROM races WHERE region IS NOT NULL GROUP BY region")(lambda v: W.top_by(v.races.where("region is not null").select("region", "course_id"), ["region"], [P("course_id")]))
+query("race_coverage", "SELECT count(*) AS races, count(*) FILTER (WHERE n > 0) AS with_runners, count(*) FILTER (WHERE n = 0) AS without, sum(greatest(3 - n, 0))::BIGINT AS deficit FROM (SELECT race_id, count(horse_id) AS n FROM races LEFT JOIN runs USING (race_id) GROUP BY race_id)")(
+    lambda v: v.races.select("race_id").join(v.runs.select("race_id", "horse_id"), "race_id", "left").groupBy("race_id").agg(F.count("horse_id").alias("n"))
+    .agg(F.count(F.lit(1)).alias("races"), F.count_if(P("n") > 0).alias("with_runners"), F.count_if(P("n") == 0).alias("without"), F.sum(F.greatest(F.lit(3) - P("n"), F.lit(0))).alias("deficit"))
+)
+query("backfill_estimate", "SELECT datediff('day', min(race_date), max(race_date))::INT + 1 AS days, count(*) AS races, round(count(*)::DOUBLE / (datediff('day', min(race_date), max(race_date)) + 1), 4) AS races_per_day FROM races")(
+    lambda v: v.races.agg((F.datediff(F.max("race_date"), F.min("race_date")) + 1).alias("days"), F.count(F.lit(1)).alias("races")).withColumn("races_per_day", F.round(P("races") / P("days"), 4))
+)
+query("row_minimum", "SELECT 'runs' AS table_name, count(*) AS n, CASE WHEN count(*) < 1000 THEN 'fail' WHEN count(*) < 2000 THEN 'warn' ELSE 'pass' END AS state FROM runs")(
+    lambda v: v.runs.agg(F.lit("runs").alias("table_name"), F.count(F.lit(1)).alias("n")).withColumn("state", F.when(P("n") < 1000, "fail").when(P("n") < 2000, "warn").otherwise("pass"))
+)
+RULES = [("position", "post_race"), ("prize_won", "post_race"), ("going", "optional")]
+query("dq_null_categories", f"SELECT coalesce(category, 'unexpected') AS category, count(*) AS columns, sum(missing)::BIGINT AS missing FROM ({POP_SQL}) LEFT JOIN (VALUES ('position', 'post_race'), ('prize_won', 'post_race'), ('going', 'optional')) r(column_name, category) USING (column_name) GROUP BY 1")(
+    lambda v: Q.column_population(v.runs, RUN_COLUMNS).join(F.broadcast(v.spark.createDataFrame(RULES, "column_name string, category string")), "column_name", "left")
+    .groupBy(F.coalesce("category", F.lit("unexpected")).alias("category")).agg(F.count(F.lit(1)).alias("columns"), F.sum("missing").alias("missing"))
+)
+query("position_from_payload", "SELECT event_id, coalesce(CASE WHEN event_id % 3 = 0 THEN event_id::INT END, try_cast(json_extract_string(props, '$.k') AS INT)) AS position FROM events", False)(
+    lambda v: v.table("events").select("event_id", S.coalesced_position([F.when(P("event_id") % 3 == 0, P("event_id"))], P("props"), "$.k").alias("position"))
+)
+query("rolling_form_windows", "SELECT jockey_id, w AS window_start, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins FROM (SELECT jockey_id, position, unnest(generate_series((epoch(race_date)::BIGINT // 864000 - 2) * 864000, (epoch(race_date)::BIGINT // 864000) * 864000, 864000)) AS w FROM runs) GROUP BY ALL")(
+    lambda v: live.rolling_form(v.runs.withColumn("at", P("race_date").cast("timestamp")), "jockey_id", "at", slide="10 days").select("jockey_id", F.unix_timestamp("window_start").alias("window_start"), "runs", "wins")
+)
