@@ -67,9 +67,11 @@ def dropped_positions(keep_words: Column) -> Column:
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row of ``docs``: row (all its columns, as a struct, whatever their names), kept_text
     (the lines that stay, joined by line feeds), n_lines, n_dropped."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    left = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), text.alias("_t")).withColumn("_k", row_key("_id", F.col("_t")))
-    joined = left.join(bitmaps, same_row(left, bitmaps), "left").select("row", "_t", "keep_words", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), F.split("_t", "\n").alias("_lines"))
+    blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    left = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col), blank(F.col(text_col))).alias("_k"))
+    joined = left.join(bitmaps, same_row(left, bitmaps), "left")  # the text travels once, inside the row
+    joined = joined.select("row", blank(F.col("row").getField(text_col)).alias("_t"), "keep_words", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"))
+    joined = joined.select("*", F.split("_t", "\n").alias("_lines"))
     n = F.size("_lines")
     stays = F.array_except(F.sequence(F.lit(0), n - 1), dropped_positions(F.col("keep_words")))
     kept = F.array_join(F.transform(stays, lambda i: F.get(F.col("_lines"), i)), "\n")
