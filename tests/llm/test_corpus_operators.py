@@ -261,12 +261,11 @@ def test_language_model(docs, rows, empty):
     held = [i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows]
     count = Counter(w for t, h in zip(tokens, held) if not h for w in t)
     n, v = sum(count.values()), len(count)
-    pairs, kinds, total = Counter(), Counter(), Counter()
+    pairs, total = Counter(), Counter()
     for t, h in zip(tokens, held):
         if not h:
             pairs.update(zip(["START", *t], t))
     for (a, _), c in pairs.items():
-        kinds[a] += 1
         total[a] += c
     plain = lambda w: (count[w] + 0.5) / (n + 0.5 * (v + 1))
     out = {}
@@ -278,9 +277,10 @@ def test_language_model(docs, rows, empty):
             r = next(r for r in out[order, i] if i is not None or r["n_tokens"] == len(x))
             assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (h, len(x), sum(count[w] > 0 for w in x), n)
             assert r["base_score"] == pytest.approx(sum(math.log10(plain(w)) for w in x), abs=1e-6)
-        # discounts differ between shards, so the bigram score is checked within their bounds
-        low = sum(math.log10((max(pairs[a, w] - 1, 0) + 0 * kinds[a]) / total[a] + 1e-12 if False else plain(w) * 1e-9 + 1e-12) for a, w in zip(["START", *x], x))
-        assert low < next(r for r in out[2, i] if i is not None or r["n_tokens"] == len(x))["score"] <= 1e-6
+        # the discounts follow from each shard's counts; whatever they are, a seen pair has no less than
+        # its count less one, over its context's
+        least = sum(math.log10(max((pairs[a, w] - 1) / total[a] if pairs[a, w] > 1 else 0, 1e-12)) for a, w in zip(["START", *x], x))
+        assert least - 1e-3 * len(x) <= next(r for r in out[2, i] if i is not None or r["n_tokens"] == len(x))["score"] <= 1e-6
     learnt = [r for (order, _), rs in out.items() for r in rs if order == 2 and not r["held_out"]]
     assert sum(r["score"] for r in learnt) > sum(r["base_score"] for r in learnt)
     assert language_model.language_model(empty).count() == 0
