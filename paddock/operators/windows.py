@@ -62,6 +62,24 @@ def runner_record(runs: DataFrame, before_race: bool = False) -> DataFrame:
     return runs.select("race_id", "horse_id", *[v.alias(k) for k, v in out.items()])
 
 
+#: What must be equal for an earlier run to count in a context of ``context_stats``.
+STAT_CONTEXTS = {"course": "course_id", "surface": "surface", "going": "going", "class": "race_class", "jockey": "jockey_id", "trainer": "trainer_id"}
+
+
+def context_stats(runs: DataFrame) -> DataFrame:
+    """Beside every run the same horse's runs of earlier dates: how many, wins, average place, days
+    since the last, and runs and wins in each context. Windows make no pairs of runs."""
+    before = lambda *keys: Window.partitionBy("horse_id", *keys).orderBy(F.unix_date("race_date")).rangeBetween(Window.unboundedPreceding, -1)
+    p, w = P("position"), before()
+    out = {
+        "career_runs": F.count(F.lit(1)).over(w), "career_wins": F.count_if(p == 1).over(w), "avg_finish": F.round(F.avg(p).over(w), 4),
+        "days_since": F.datediff(P("race_date"), F.max("race_date").over(w)),
+    }
+    for name, column in STAT_CONTEXTS.items():
+        out |= {f"{name}_runs": F.count(F.lit(1)).over(before(column)), f"{name}_wins": F.count_if(p == 1).over(before(column))}
+    return runs.select("race_id", "horse_id", *[v.alias(k) for k, v in out.items()])
+
+
 def rolling(runs: DataFrame, key: str, days: int = 365) -> DataFrame:
     """Finished runs and wins of the ``days`` before each run."""
     w = Window.partitionBy(key).orderBy(F.unix_date("race_date")).rangeBetween(-days, -1)

@@ -106,6 +106,9 @@ query("top_at_distance", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION
 query("top_pairs", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id LIMIT 50")(
     lambda v: v.runs.groupBy("jockey_id", "horse_id").agg(F.count(F.lit(1)).alias("runs")).orderBy(F.desc("runs"), "jockey_id", "horse_id").limit(50)
 )
+query("top_pairs_all", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id")(
+    lambda v: v.runs.groupBy("jockey_id", "horse_id").agg(F.count(F.lit(1)).alias("runs")).orderBy(F.desc("runs"), "jockey_id", "horse_id")
+)
 query("distance_bands", "SELECT CASE WHEN y < 1400 THEN 'sprint' WHEN y < 1800 THEN 'mile' WHEN y < 2400 THEN 'middle' ELSE 'staying' END AS band, count(*) AS n FROM (SELECT distance_f * 220 AS y FROM races) GROUP BY 1")(
     lambda v: v.races.select(S.distance_band(S.yards(F.concat(P("distance_f").cast("string"), F.lit("f")))).alias("band")).groupBy("band").agg(F.count(F.lit(1)).alias("n"))
 )
@@ -189,6 +192,9 @@ query("course_coordinates", "SELECT n_nationkey AS course_id, n_name AS name, r_
 query("calendar_gaps", "SELECT day FROM (SELECT unnest(generate_series(min(race_date), max(race_date), INTERVAL 1 DAY))::DATE AS day FROM races WHERE race_id % 7 = 0) WHERE day NOT IN (SELECT race_date FROM races WHERE race_id % 7 = 0)")(
     lambda v: J.calendar_gaps(v.races.where("race_id % 7 = 0"), "race_date")
 )
+query("calendar_gaps_all", "SELECT day FROM (SELECT unnest(generate_series(min(race_date), max(race_date), INTERVAL 1 DAY))::DATE AS day FROM races) WHERE day NOT IN (SELECT race_date FROM races)")(
+    lambda v: J.calendar_gaps(v.races, "race_date")
+)
 query("month_chunks", "SELECT greatest(m, d0)::DATE AS chunk_start, least(last_day(m), d1)::DATE AS chunk_end FROM (SELECT min(race_date) AS d0, max(race_date) AS d1, unnest(generate_series(date_trunc('month', min(race_date)), max(race_date)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM races)")(
     lambda v: (lambda r: J.month_chunks(str(r[0]), str(r[1]), v.spark))(v.races.agg(F.min("race_date"), F.max("race_date")).first())
 )
@@ -247,6 +253,7 @@ query("ml_context_stats", "SELECT a.race_id, a.horse_id, count(b.horse_id) AS ca
         *[x for k, c in CONTEXT_STATS.items() for x in (F.count_if(F.expr(c)).alias(f"{k}_runs"), F.count_if(F.expr(f"{c} and b.position = 1")).alias(f"{k}_wins"))],
     )
 )
+query("ml_context_stats_all", "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id")(lambda v: W.context_stats(v.runs))
 query("upcoming_summary", "SELECT r.race_id, count(*) AS runners, round(avg(w), 4) AS mean_win_rate FROM (SELECT race_id, horse_id FROM runs, ended WHERE race_date = d) r JOIN (SELECT horse_id, 100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*) AS w FROM runs GROUP BY 1) USING (horse_id) GROUP BY r.race_id")(
     lambda v: v.runs.where(P("race_date") == v.as_of).select("race_id", "horse_id").join(v.runs.groupBy("horse_id").agg((F.count_if(P("position") == 1) * 100.0 / F.count(F.lit(1))).alias("w")), "horse_id").groupBy("race_id").agg(F.count(F.lit(1)).alias("runners"), F.round(F.avg("w"), 4).alias("mean_win_rate"))
 )
@@ -316,6 +323,9 @@ query("coverage_union", "SELECT 'sire' AS kind, count(DISTINCT sire_id) AS n FRO
     lambda v: v.horses.agg(F.countDistinct("sire_id").alias("a"), F.countDistinct("dam_id").alias("b"), F.countDistinct("damsire_id").alias("c")).select(F.expr("stack(3, 'sire', a, 'dam', b, 'damsire', c) as (kind, n)"))
 )
 query("run_history", "SELECT race_id, horse_id, race_date, course_id, position FROM runs WHERE horse_id % 10 = 3")(lambda v: v.runs.where("horse_id % 10 = 3").select("race_id", "horse_id", "race_date", "course_id", "position"))
+query("run_history_all", "SELECT race_id, horse_id, race_date, course_id, position FROM runs WHERE position IS NOT NULL ORDER BY horse_id, race_date DESC, race_id DESC")(
+    lambda v: v.runs.where("position is not null").select("race_id", "horse_id", "race_date", "course_id", "position").orderBy("horse_id", F.desc("race_date"), F.desc("race_id"))
+)
 query("breeding_multiplier", "SELECT h.sire_id, count(*) FILTER (WHERE position = 1) AS wins, CASE WHEN count(*) FILTER (WHERE position = 2) > 0 THEN round(count(*) FILTER (WHERE position = 1) / (count(*) FILTER (WHERE position = 2)), 3) END AS multiplier FROM runs JOIN horses h USING (horse_id) GROUP BY 1")(
     lambda v: v.runs.join(v.horses, "horse_id").groupBy("sire_id").agg(F.count_if(P("position") == 1).alias("wins"), F.count_if(P("position") == 2).alias("s")).select("sire_id", "wins", F.round(F.try_divide("wins", "s"), 3).alias("multiplier"))
 )
