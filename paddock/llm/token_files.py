@@ -23,7 +23,7 @@ END_ID = 1
 #: Ids after which a shard file is closed; a document is never divided.
 SHARD_IDS = 4_000_000
 #: A pair that occurs less often isn't replaced.
-MIN_COUNT = 256
+MIN_COUNT = 32
 CACHE_WORDS = 600_000
 MAGIC = b"PDKTOK1\0"
 
@@ -160,12 +160,12 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
     Returns (sequence, ends of the sequence, rules as an array of pairs). A round counts all pairs
     by hash, then exactly in the slots that are frequent, and replaces every pair whose count is
     near the most frequent one's, the more frequent first where two overlap. It ends when no pair
-    occurs ``min_count`` times, or a round saves less than a thousandth."""
+    occurs ``min_count`` times: when no slot is frequent, or a sort finds no frequent pair in those that are."""
     import numpy as np
 
     none, slots = np.iinfo(np.int32).max, 1 << 20
-    seq, last, rules, n_rules, low, missed, turn = ids.astype(np.uint32), ends.copy(), [], 0, None, 0, 0
-    while len(seq) > 1 and missed < 3:
+    seq, last, rules, n_rules, low, turn = ids.astype(np.uint32), ends.copy(), [], 0, None, 0
+    while len(seq) > 1:
         turn += 1
         slot = seq[:-1] * np.uint32(0x9E3779B1 + 2 * turn) + seq[1:] * np.uint32(0x85EBCA77 - 4 * turn)
         slot = (slot ^ (slot >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(12)
@@ -176,7 +176,7 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
         if most < min_count:
             break
         low = max(min_count, min(most // 16, most if low is None else low // 4))
-        often = np.flatnonzero((count >= low)[slot])
+        often = places = np.flatnonzero((count >= low)[slot])
         key, at = seq[often].astype(np.uint64) << np.uint64(32) | seq[often + 1], slot[often]
         held = np.zeros(slots, np.uint64)
         held[at] = key  # one pair for each slot; what else fell there is met again under another hash
@@ -184,9 +184,19 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
         often, at = often[same], at[same]
         count = np.bincount(at, minlength=slots)
         order = np.flatnonzero(count >= low)
-        if not len(order):  # slots of several rarer pairs
-            missed += low == min_count
-            continue
+        if not len(order):  # slots of several pairs, where a rarer one may hide a frequent one
+            if low > min_count:
+                continue
+            pairs, which, exact = np.unique(key, return_inverse=True, return_counts=True)
+            good = np.flatnonzero(exact >= min_count)[:slots]
+            if not len(good):
+                break
+            number = np.full(len(pairs), none, np.int64)
+            number[good] = np.arange(len(good))
+            same = number[which] < none
+            often, at = places[same], number[which[same]]
+            held[: len(good)], count = pairs[good], np.bincount(at, minlength=slots)
+            order = np.arange(len(good))
         order = order[np.argsort(-count[order], kind="stable")]
         rank = np.full(slots, none, np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
@@ -207,8 +217,6 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
         keep = np.ones(len(seq), bool)
         keep[take + 1] = False
         seq, last = seq[keep], last[keep]
-        if low == min_count and len(take) * 1000 < len(seq):
-            break
     return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
