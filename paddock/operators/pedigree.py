@@ -60,6 +60,20 @@ def own_career(runs: DataFrame, key: str = "horse_id") -> DataFrame:
     )
 
 
+def breeding_multiplier(edges: DataFrame, careers: DataFrame, digits: int = 2) -> DataFrame:
+    """Wins of an ancestor's progeny over the wins of its own career, where both have some. Both sides
+    are one row a horse when they meet."""
+    progeny = edges.groupBy("ancestor_id").agg(F.count_if(P("position") == 1).alias("progeny_wins")).where(P("progeny_wins") > 0)
+    own = careers.where(P("own_wins") > 0).select(P("horse_id").cast("string").alias("ancestor_id"), "own_wins")
+    return progeny.join(own, "ancestor_id").withColumn("multiplier", F.round(P("progeny_wins") / P("own_wins"), digits))
+
+
+def inbred(edges: DataFrame) -> DataFrame:
+    """Runners with the same ancestor as sire and as damsire."""
+    one, two = (edges.where(P("relation") == r).select("race_id", "horse_id", "ancestor_id") for r in ("sire", "damsire"))
+    return one.join(two, ["race_id", "horse_id", "ancestor_id"])
+
+
 def expected_index(rows: DataFrame, key: str, expected: Column, digits: int = 3) -> DataFrame:
     """100 x wins over expected wins."""
     value = F.round(F.try_divide(F.count_if(P("position") == 1) * 100.0, F.sum(expected)), digits)

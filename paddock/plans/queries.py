@@ -97,6 +97,11 @@ query(
     "combinations_four",
     f"SELECT jockey_id, trainer_id, course_id, race_class, {COUNTS}, min(race_date) AS first_seen, max(race_date) AS last_seen, {RATES}, concat_ws('|', jockey_id, trainer_id, course_id, race_class) AS combination FROM runs GROUP BY ALL HAVING count(*) >= 2",
 )(lambda v: A.combinations(v.runs, ["jockey_id", "trainer_id", "course_id", "race_class"]))
+FOUR = ["jockey_id", "trainer_id", "owner_id", "horse_id"]
+query(
+    "combinations_four_entities",
+    f"SELECT jockey_id, trainer_id, owner_id, horse_id, {COUNTS}, min(race_date) AS first_seen, max(race_date) AS last_seen, {RATES}, concat_ws('|', jockey_id, trainer_id, owner_id, horse_id) AS combination FROM runs WHERE jockey_id IS NOT NULL AND trainer_id IS NOT NULL AND owner_id IS NOT NULL AND horse_id IS NOT NULL GROUP BY ALL HAVING count(*) >= 2",
+)(lambda v: A.combinations(v.runs.dropna(subset=FOUR), FOUR))
 query("going_breakdown", "SELECT jockey_id, string_agg(going || '=' || n, ';' ORDER BY going) AS breakdown_text FROM (SELECT jockey_id, going, count(*) AS n FROM runs GROUP BY ALL) GROUP BY jockey_id")(
     lambda v: A.breakdown_text(v.runs, ["jockey_id"], "going").drop("breakdown")
 )
@@ -165,6 +170,9 @@ query("popular_sire_runners", "WITH top AS (SELECT ancestor_id FROM lineage WHER
 query("inbred_runners", "SELECT horse_id, a.sire_id AS ancestor FROM horses a JOIN (SELECT DISTINCT damsire_id, horse_id AS h2 FROM horses) b ON a.horse_id = b.h2 WHERE length(a.sire_id) % 50 = CAST(b.damsire_id AS INT)")(
     lambda v: v.horses.alias("a").join(v.horses.select(P("horse_id").alias("h2"), P("damsire_id").alias("d")).distinct().alias("b"), (P("a.horse_id") == P("h2")) & (F.length("a.sire_id") % 50 == P("d").cast("int"))).select("a.horse_id", P("a.sire_id").alias("ancestor"))
 )
+query("inbred_runners_lineage", "SELECT a.race_id, a.horse_id, a.ancestor_id FROM lineage a JOIN lineage b ON a.race_id = b.race_id AND a.horse_id = b.horse_id AND a.ancestor_id = b.ancestor_id WHERE a.relation = 'sire' AND b.relation = 'damsire'")(
+    lambda v: G.inbred(v.lineage)
+)
 query("descendants_of", "SELECT DISTINCT horse_id, relation FROM lineage WHERE relation LIKE '%sire%' AND ancestor_id = '7'")(lambda v: v.lineage.where("relation like '%sire%' and ancestor_id = '7'").select("horse_id", "relation").distinct())
 
 # -- joins and sets -------------------------------------------------------------------------------
@@ -329,6 +337,9 @@ query("run_history_all", "SELECT race_id, horse_id, race_date, course_id, positi
 query("breeding_multiplier", "SELECT h.sire_id, count(*) FILTER (WHERE position = 1) AS wins, CASE WHEN count(*) FILTER (WHERE position = 2) > 0 THEN round(count(*) FILTER (WHERE position = 1) / (count(*) FILTER (WHERE position = 2)), 3) END AS multiplier FROM runs JOIN horses h USING (horse_id) GROUP BY 1")(
     lambda v: v.runs.join(v.horses, "horse_id").groupBy("sire_id").agg(F.count_if(P("position") == 1).alias("wins"), F.count_if(P("position") == 2).alias("s")).select("sire_id", "wins", F.round(F.try_divide("wins", "s"), 3).alias("multiplier"))
 )
+query("breeding_multiplier_own_wins", "SELECT ancestor_id, progeny_wins, own_wins, round(progeny_wins::DOUBLE / own_wins, 2) AS multiplier FROM (SELECT ancestor_id, count(*) AS progeny_wins FROM lineage WHERE relation = 'damsire' AND position = 1 GROUP BY 1) JOIN (SELECT CAST(horse_id AS VARCHAR) AS ancestor_id, count(*) AS own_wins FROM runs WHERE position = 1 GROUP BY 1) USING (ancestor_id)")(
+    lambda v: G.breeding_multiplier(v.lineage.where("relation = 'damsire'"), G.own_career(v.runs))
+)
 query("staleness_by_region", "SELECT region, max(race_date) AS latest, datediff('day', max(race_date), any_value(d))::INT AS age_days FROM races, ended GROUP BY region")(
     lambda v: v.races.groupBy("region").agg(F.max("race_date").alias("latest")).withColumn("age_days", F.datediff(v.as_of, "latest"))
 )
