@@ -213,10 +213,15 @@ def _quantise(p: np.ndarray) -> np.ndarray:
     return np.clip(np.round(-np.log10(np.maximum(p, 1e-15)) * STEPS), 0, 65535).astype(np.uint16)
 
 
-def _write_level(low: int, contexts: int, words: int, context: np.ndarray, word: np.ndarray, count: np.ndarray) -> bytes:
-    """A shard of a level. The discount follows from the pairs seen once and twice."""
-    once, twice = int((count == 1).sum()), int((count == 2).sum())
-    discount = once / (once + 2 * twice) if once and twice else 0.5
+def _discount(once: int, twice: int) -> float:
+    """A level's absolute discount, from how many of all its pairs were seen once and twice."""
+    return once / (once + 2 * twice) if once and twice else 0.5
+
+
+def _write_level(low: int, contexts: int, words: int, context: np.ndarray, word: np.ndarray, count: np.ndarray, discount: float | None = None) -> bytes:
+    """A shard of a level. Without ``discount`` the shard is the whole level."""
+    if discount is None:
+        discount = _discount(int((count == 1).sum()), int((count == 2).sum()))
     local = context - low
     total = np.bincount(local, weights=count, minlength=contexts)
     kinds = np.bincount(local, minlength=contexts)
@@ -304,7 +309,8 @@ def _train_level(texts: DataFrame, model: Model, k: int, contexts: int, folder:
             some = [(s, _encode_counts(c[a:b], w[a:b], n[a:b])) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in some], pa.int32()), pa.array([x for _, x in some], pa.binary())], ["s", "data"])
 
-    def write(batches: Iterator) -> Iterator:
+    def sum_up(batches: Iterator) -> Iterator:
+        """A shard's counts in a file of their own, and how many pairs were seen once and twice."""
         import pyarrow as pa
         from pyspark import TaskContext
 
@@ -318,14 +324,30 @@ def _train_level(texts: DataFrame, model: Model, k: int, contexts: int, folder:
                     held[s] = [_summed(held[s])]
         for s in sorted(held):
             key, n = _summed(held.pop(s))
-            low = s * span
-            path = f"{folder}/level{k}-{s:05d}-{TaskContext.get().taskAttemptId()}"
+            path = f"{folder}/counts{k}-{s:05d}-{TaskContext.get().taskAttemptId()}"
             with AtomicWriter(path) as out:
-                out.write(_write_level(low, min(span, contexts - low), words, key >> width, key & ((1 << width) - 1), n))
-            yield pa.RecordBatch.from_pydict({"low": [low], "n": [len(key)], "path": [path]})
+                out.write(_encode_counts(key >> width, key & ((1 << width) - 1), n))
+            yield pa.RecordBatch.from_pydict({"s": pa.array([s], pa.int32()), "once": [int((n == 1).sum())], "twice": [int((n == 2).sum())], "path": [path]})
 
     dealt = texts.mapInArrow(count, "s int, data binary").repartition(shards, "s")
-    return stage(dealt.mapInArrow(write, "low long, n long, path string"), "lm-level")
+    summed = stage(dealt.mapInArrow(sum_up, "s int, once long, twice long, path string"), "lm-counts")
+    seen = summed.agg(F.sum("once"), F.sum("twice")).first()
+    discount = _discount(seen[0] or 0, seen[1] or 0)
+
+    def write(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        for batch in batches:
+            for s, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                c, w, n = _decode_counts(read_bytes(counts))
+                low = s * span
+                path = f"{folder}/level{k}-{s:05d}-{TaskContext.get().taskAttemptId()}"
+                with AtomicWriter(path) as out:
+                    out.write(_write_level(low, min(span, contexts - low), words, c, w, n, discount))
+                yield pa.RecordBatch.from_pydict({"low": [low], "n": [len(c)], "path": [path]})
+
+    return stage(summed.select("s", "path").repartition(shards, "s").mapInArrow(write, "low long, n long, path string"), "lm-level")
 
 
 def _counted(key: np.ndarray, width: int):
