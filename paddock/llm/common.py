@@ -21,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the one that the cluster shares (``spark.checkpoint.dir``).
 
-    Only where that setting is absent, as in tests on one machine, a temporary folder takes
+    Only where that setting is absent and all runs on one machine, as in tests, a temporary folder takes
     its place."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = _local.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="paddock-"))
     return f"{base.rstrip('/')}/paddock/{label}-{uuid.uuid4().hex}"
 
@@ -60,7 +62,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+MAX_BROADCAST_BYTES = 128 << 20
+
+
 def sized_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a staged table only if a count proves that it has at most ``rows`` rows; beyond
-    that Spark chooses a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Broadcast a staged table only if a look at it proves that it has at most ``rows`` rows and
+    MAX_BROADCAST_BYTES bytes; beyond that Spark chooses a shuffled join."""
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(df) if found[0] <= rows and (found[1] or 0) <= MAX_BROADCAST_BYTES else df

@@ -119,11 +119,12 @@ def test_decontaminate(spark, docs, rows, empty):
 def test_proximity_finds_scattered_terms(spark):
     d = spark.createDataFrame([(1, "red and blue or green"), (2, "red blue"), (3, "green x x x x x x x x x x x red blue")], "doc_id long, text string")
     bench = spark.createDataFrame([(7, "green red blue")], "item_id long, text string")
-    w = decontam.doc_words(d, "doc_id", "text")
-    anchored = decontam.anchored_windows(w, decontam.test_windows(bench))
-    postings = decontam.build_postings(w, anchored.select("term").distinct())
-    assert {r["_id"] for r in decontam.proximity_matches(postings, anchored).collect()} == {1}
-    assert decontam.phrase_matches(postings, anchored).count() == 0
+    windows = decontam.test_windows(bench)
+    vocabulary = decontam.vocabulary_of(windows)
+    postings = decontam.build_postings(decontam.doc_words(d, "doc_id", "text"), vocabulary)
+    found = decontam.matches(postings, decontam.ordered_windows(postings, windows, vocabulary)).collect()
+    assert {r["_id"] for r in found} == {1}
+    assert not any(r["exact"] for r in found)
 
 
 @pytest.mark.parametrize("k", [2, 5])
