@@ -400,4 +400,5 @@ def default_vocabulary() -> tuple[str, str]:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, as hashes, and of what they decode to."""
     return encode_documents(table(spark, sf_dir, "documents"), *default_vocabulary(), with_ids=False)

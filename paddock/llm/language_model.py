@@ -405,4 +405,5 @@ def language_model(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id",
 
 
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document."""
     return language_model(table(spark, sf_dir, "documents"))

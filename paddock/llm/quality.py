@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import table
-from .labelled import labelled_sample
+from .labelled import in_one_task, labelled_sample
 
 #: Labelled documents used at most for fitting.
 SAMPLE_ROWS = 20_000
@@ -84,7 +84,7 @@ def fit(sample: DataFrame, grades: int, bits: int = BITS, epochs: int = EPOCHS)
                 number = (cell & ((1 << bits) - 1)).astype(np.int32)
                 rows += [(a, np.sqrt(v), y[first + k]) for k, (a, v) in enumerate(zip(np.split(number, cuts), np.split(value, cuts), strict=True))]
         w, g2 = np.zeros(1 << bits), np.full(1 << bits, 1e-8)
-        share = np.bincount([r[2] for r in rows], minlength=grades) + 1.0
+        share = np.bincount(np.array([r[2] for r in rows], np.int64), minlength=grades) + 1.0
         below = np.cumsum(share)[:-1] / share.sum()
         theta, t2 = np.log(below / (1 - below)), np.full(grades - 1, 1e-8)
         sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -35, 35)))
@@ -108,7 +108,7 @@ def fit(sample: DataFrame, grades: int, bits: int = BITS, epochs: int = EPOCHS)
                 theta = np.maximum.accumulate(theta + 0.1 * d / np.sqrt(t2))
         yield pa.RecordBatch.from_pydict({"w": pa.array([w.tolist()]), "t": pa.array([theta.tolist()])})
 
-    found = sample.orderBy("text").coalesce(1).mapInArrow(run, "w array<double>, t array<double>").first()
+    found = in_one_task(sample).mapInArrow(run, "w array<double>, t array<double>").first()
     if found is None:  # nothing to learn from: all grades are as likely
         return Model([0.0] * (1 << bits), [math.log(g / (grades - g)) for g in range(1, grades)])
     return Model(list(found[0]), list(found[1]))
@@ -155,6 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and probability of the upper grades of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
     return scored.select("row.doc_id", "expected_grade", F.col("tail").alias("tail_probability"), (F.col("tail") >= MIN_TAIL).alias("kept"))

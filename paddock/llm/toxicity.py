@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .labelled import bucket, labelled_sample
+from .labelled import bucket, in_one_task, labelled_sample
 
 #: Labelled documents used at most for fitting.
 SAMPLE_ROWS = 20_000
@@ -93,7 +93,7 @@ def fit(sample: DataFrame, bits: int = BITS, epochs: int = EPOCHS) -> tuple[list
         at = at if len(at) and at[-1] == bias else np.append(at, bias)
         yield pa.RecordBatch.from_pydict({"number": pa.array(at, pa.int64()), "weight": pa.array(w[at], pa.float64())})
 
-    found = sample.orderBy("text").coalesce(1).mapInArrow(run, "number long, weight double").collect()  # 2 ** bits rows at most
+    found = in_one_task(sample).mapInArrow(run, "number long, weight double").collect()  # 2 ** bits rows at most
     bias = sum(r[1] for r in found if r[0] == 1 << bits)
     return [r[0] for r in found if r[0] < 1 << bits], [r[1] for r in found if r[0] < 1 << bits], bias
 
@@ -132,4 +132,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels that aren't held out."""
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -179,6 +179,7 @@ def archive(pages: DataFrame, folder: str | None = None, id_col: str = "page_id"
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, written to archives and read back."""
     return read_archives(archive(table(spark, sf_dir, "pages"))).drop("path", "at")
 
 
