@@ -9,13 +9,22 @@ from pyspark.sql import functions as F
 NON_FINISHER_CODES = ("F", "U", "PU", "BD", "RO", "DSQ", "VO", "RR", "CO", "SU", "UR", "DIED")
 #: Country suffixes of horse names and their region codes.
 BREEDING_REGIONS = {
-    "GB": "gb", "IRE": "ire", "FR": "fr", "USA": "usa", "GER": "ger", "AUS": "aus", "NZ": "nz", "JPN": "jpn",
+    "GB": "gb", "UK": "gb", "IRE": "ire", "FR": "fr", "USA": "usa", "GER": "ger", "AUS": "aus", "NZ": "nz", "JPN": "jpn",
     "CAN": "can", "ITY": "ity", "SPA": "spa", "SAF": "saf", "ARG": "arg", "BRZ": "brz", "CHI": "chi",
 }
-#: Points of the first five places and weights of the last five runs.
-FORM_POINTS = {1: 10, 2: 7, 3: 5, 4: 3, 5: 1}
+#: Points of the first four places, of any later one, and weights of the last five runs.
+FORM_POINTS = {1: 10, 2: 7, 3: 5, 4: 3}
+LATER_POINTS = 1
 FORM_WEIGHTS = {1: 2.0, 2: 1.5, 3: 1.2, 4: 1.0, 5: 1.0}
 
+#: Surfaces that are artificial, and those of jump races.
+AW_SURFACES = ("aw", "all weather", "tapeta", "polytrack")
+JUMP_SURFACES = ("hurdle", "chase", "nh flat")
+#: Names of home countries.
+HOME_COUNTRIES = ("Great Britain", "United Kingdom", "UK", "England", "Scotland", "Wales", "Northern Ireland", "Ireland", "Irish")
+#: Suffixes of course names.
+COURSE_SUFFIXES = ("rh", "lh", "left", "right", "gb", "ire")
+
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 
 
@@ -28,7 +37,7 @@ def position(c: Column) -> Column:
     """Finishing position: a death at a given age gives that number, non-finishers null, else the
     integer or the first digits."""
     t = F.upper(F.trim(c))
-    died = F.regexp_extract(t, r"^DIED AS AN? (\d+)", 1)
+    died = F.regexp_extract(t, r"^DIED AS (?:AN? )?(\d+)", 1)
     return (
         F.when(died != "", died.try_cast("int"))
         .when(t.rlike("^(" + "|".join(NON_FINISHER_CODES) + ")"), F.lit(None).cast("int"))
@@ -36,6 +45,11 @@ def position(c: Column) -> Column:
     )
 
 
+def text_position(c: Column) -> Column:
+    """As ``position``, and WON is the first place."""
+    return F.when(F.upper(F.trim(c)) == "WON", F.lit(1)).otherwise(position(c))
+
+
 def strict_position(c: Column) -> Column:
     """Integer text only."""
     return integer(c)
@@ -97,7 +111,7 @@ def metres(c: Column) -> Column:
     """``2m4f`` in metres: 1609 a mile, 201 a furlong, truncated; a plain number is metres."""
     t = F.lower(F.trim(c))
     total = _part(c, r"(\d+(?:\.\d+)?)m") * 1609 + _part(c, r"(\d+(?:\.\d+)?)f") * 201
-    return F.when(t.rlike(NUMBER), t.try_cast("double").cast("int")).when(t.rlike("[mf]"), total.cast("int"))
+    return F.when(t.rlike(NUMBER), t.try_cast("double").cast("int")).when(t.rlike(r"\d[mf]"), total.cast("int"))
 
 
 def yards(c: Column) -> Column:
@@ -132,10 +146,10 @@ def name_key(c: Column) -> Column:
 
 def course_key(c: Column) -> Column:
     """Course name without the parts that only some sources carry."""
-    t = F.lower(F.trim(c))
-    t = F.regexp_replace(t, r"(-aw|-rh|-lh|-july|-rowley)$", "")
-    t = F.when(t.startswith("newmarket"), "newmarket").when(t.startswith("limerick"), "limerick").otherwise(t)
-    return F.regexp_replace(t, r"-(on|upon)-.*$", "")
+    t = F.regexp_replace(F.lower(c), "-aw$", "")
+    t = F.regexp_replace(t, "-(" + "|".join(COURSE_SUFFIXES) + ")$", "")
+    t = F.when(t.startswith("newmarket-"), "newmarket").when(t.contains("limerick"), "limerick").otherwise(t)
+    return F.trim(F.when(t.contains("-on-") | t.contains("-upon-"), F.substring_index(t, "-", 1)).otherwise(t))
 
 
 def rate(part: Column, whole: Column, digits: int = 2, zero: float | None = None) -> Column:
@@ -153,7 +167,7 @@ def age_years(as_of: Column, born: Column) -> Column:
 
 
 def form_points(p: Column) -> Column:
-    out = F.lit(0)
+    out = F.when(p > max(FORM_POINTS), LATER_POINTS).otherwise(0)
     for place, points in FORM_POINTS.items():
         out = F.when(p == place, points).otherwise(out)
     return out
@@ -191,5 +205,5 @@ def in_region(code: Column, codes: tuple[str, ...] = ("gb", "ire", "uk")) -> Col
     return F.coalesce(F.lower(code).isin(*codes), F.lit(False))
 
 
-def in_country(name: Column, names: tuple[str, ...]) -> Column:
+def in_country(name: Column, names: tuple[str, ...] = HOME_COUNTRIES) -> Column:
     return F.coalesce(name.rlike("(?i)" + "|".join(names)), F.lit(False))

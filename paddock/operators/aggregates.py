@@ -63,6 +63,14 @@ def performance(runs: DataFrame, keys: Sequence[str], min_runs: int = 5, extra:
     return with_rates(out.where(P("runs") >= min_runs))
 
 
+def performance_times(runs: DataFrame, keys: Sequence[str], seconds: str, min_runs: int = 5, latest: Sequence[str] = ("race_date", "race_id", "horse_id")) -> DataFrame:
+    """``performance`` with the best, average and last time, and how many runs each going had, as a map and
+    as text."""
+    times = [F.min(seconds).alias("best_time"), F.round(F.avg(seconds), 2).alias("avg_time"), F.max_by(seconds, F.struct(*latest)).alias("last_time")]
+    goings = breakdown_text(runs.where(P("position").isNotNull()), keys, "going")
+    return performance(runs, keys, min_runs, times).join(goings, list(keys))
+
+
 def unpivot_entities(runs: DataFrame, entities: dict[str, str], keep: Sequence[str]) -> DataFrame:
     """One row for each entity of a run: entity_type, entity_id (as text) and the columns kept."""
     pairs = [F.struct(F.lit(kind).alias("entity_type"), P(c).cast("string").alias("entity_id")) for kind, c in entities.items()]

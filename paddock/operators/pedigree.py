@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def lineage(runs: DataFrame) -> DataFrame:
     runner and path."""
     kinds = ((1, "sire", "sire_id", "sire"), (1, "dam", "dam_id", "dam"), (2, "damsire", "damsire_id", "dam.sire"))
     edges = F.array(*[F.struct(F.lit(g).alias("generation"), F.lit(r).alias("relation"), P(c).alias("ancestor_id"), F.lit(p).alias("path")) for g, r, c, p in kinds])
-    out = runs.select("race_id", "horse_id", "position", "prize_won", "race_date", "race_class", F.explode(edges).alias("e")).select("*", "e.*").drop("e")
+    out = runs.select("race_id", "horse_id", "position", "prize_won", "race_date", "race_class", "surface", "distance_f", F.explode(edges).alias("e")).select("*", "e.*").drop("e")
     key = F.concat_ws("_", "race_id", "horse_id", "generation", "relation")
     return out.where(P("ancestor_id").isNotNull()).withColumn("lineage_id", key)
 
@@ -38,13 +40,13 @@ def distance_rate(f: Column) -> Column:
     return out
 
 
-def progeny_stats(edges: DataFrame, key: str = "ancestor_id") -> DataFrame:
+def progeny_stats(edges: DataFrame, key: str = "ancestor_id", extra: Sequence[Column] = ()) -> DataFrame:
     """Progeny that ran, their runs, wins, places, prize, wins by class, best class and averages."""
     p = P("position")
     by_class = [F.count_if((p == 1) & (P("race_class") == c)).alias(f"class_{c}_wins") for c in CLASS_RATES]
     out = edges.groupBy(key).agg(
         F.countDistinct("horse_id").alias("progeny"), F.count(F.lit(1)).alias("runs"), F.count_if(p == 1).alias("wins"), F.count_if(p <= 3).alias("places"),
-        F.sum(F.coalesce("prize_won", F.lit(0.0))).alias("prize"), *by_class,
+        F.sum(F.coalesce("prize_won", F.lit(0.0))).alias("prize"), *by_class, *extra,
     )
     classes = F.array(*[F.struct(P(f"class_{c}_wins").alias("w"), F.lit(-c).alias("c")) for c in CLASS_RATES])
     best = F.array_max(F.filter(classes, lambda x: x["w"] > 0))
@@ -74,6 +76,13 @@ def inbred(edges: DataFrame) -> DataFrame:
     return one.join(two, ["race_id", "horse_id", "ancestor_id"])
 
 
+def descendants(edges: DataFrame, ancestors: DataFrame | None = None) -> DataFrame:
+    """ancestor_id, horse_id, relation of horses by sire or damsire; of some ancestors or of all."""
+    rows = edges.where(P("relation").isin("sire", "damsire"))
+    rows = rows if ancestors is None else rows.join(ancestors, "ancestor_id", "left_semi")
+    return rows.select("ancestor_id", "horse_id", "relation").distinct()
+
+
 def expected_index(rows: DataFrame, key: str, expected: Column, digits: int = 3) -> DataFrame:
     """100 x wins over expected wins."""
     value = F.round(F.try_divide(F.count_if(P("position") == 1) * 100.0, F.sum(expected)), digits)

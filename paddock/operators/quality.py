@@ -77,3 +77,15 @@ def freshness(df: DataFrame, date: str, as_of: Column, threshold_days: int) -> D
 def twin_columns(df: DataFrame, one: str, two: str) -> DataFrame:
     a, b = P(one).cast("string"), P(two).cast("string")
     return df.agg(F.count(one).alias("first_filled"), F.count(two).alias("second_filled"), F.count_if(a == b).alias("equal"), F.count_if(a != b).alias("different")).withColumn("advice", F.when(P("second_filled") == 0, "DROP").when(P("different") == 0, "MERGE").otherwise("KEEP"))
+
+
+def coverage_gap(df: DataFrame, finished: str, value: str) -> DataFrame:
+    """Rows, finished ones, those with a value, and how many finished ones more there are than values."""
+    return df.agg(F.count(F.lit(1)).alias("total"), F.count(finished).alias("finished"), F.count(value).alias("priced")).withColumn("gap", P("finished") - P("priced"))
+
+
+def row_quality(df: DataFrame, name: str, region: str, regions: Sequence[str]) -> DataFrame:
+    """A score of 100, less 30 if a name is missing, less 30 if a region is, less 20 if one is outside."""
+    out = df.agg(F.count_if(F.coalesce(name, F.lit("")) == "").alias("nameless"), F.count_if(P(region).isNull()).alias("no_region"), F.count_if(~F.coalesce(P(region).isin(*regions), F.lit(False))).alias("outside"))
+    less = F.when(P("nameless") > 0, 30).otherwise(0) + F.when(P("no_region") > 0, 30).otherwise(0) + F.when(P("outside") > 0, 20).otherwise(0)
+    return out.withColumn("score", 100 - less)

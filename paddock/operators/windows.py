@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.parsers import form_points, form_weight, going_is, rate, surface_is
+from ..functions.parsers import AW_SURFACES, JUMP_SURFACES, form_points, form_weight, going_is, rate, surface_is
 
 P = F.col
 
@@ -57,7 +57,7 @@ def runner_record(runs: DataFrame, before_race: bool = False) -> DataFrame:
     w = w.orderBy(F.unix_date("race_date")).rangeBetween(Window.unboundedPreceding, -1) if before_race else w
     for kind in ("firm", "good", "soft", "heavy"):
         out[f"{kind}_runs"] = F.count_if(p.isNotNull() & going_is(P("going"), kind)).over(w)
-    for name, kinds in (("aw", ("aw",)), ("jumps", ("hurdle", "chase"))):
+    for name, kinds in (("aw", AW_SURFACES), ("jumps", JUMP_SURFACES)):
         out[f"{name}_runs"] = F.count_if(p.isNotNull() & surface_is(P("surface"), kinds)).over(w)
     return runs.select("race_id", "horse_id", *[v.alias(k) for k, v in out.items()])
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsers as S
@@ -15,26 +12,11 @@ from ..operators import quality as Q
 from ..operators import windows as W
 from ..sources import sinks
 from ..streaming import live
-from . import views
-from .views import Views
+from . import feature_queries  # noqa: F401 - registers its queries
+from .register import QUERIES, SQL, query
 
+__all__ = ["QUERIES", "SQL"]
 P = F.col
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str, with_views: bool = True):
-    def register(function: Callable[[Views], DataFrame]):
-        QUERIES[name] = lambda spark, folder: function(Views(spark, folder))
-        body = sql.strip()
-        if with_views:
-            body = f"WITH {views.SQL}{', ' + body[5:] if body.startswith('WITH ') else body}"
-        SQL[name] = body
-        return function
-
-    return register
-
-
 COUNTS = "count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins, count(*) FILTER (WHERE position <= 3) AS places, count(*) FILTER (WHERE position = 2) AS seconds, count(*) FILTER (WHERE position = 3) AS thirds"
 RATES = "round(100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*), 2) AS win_rate, round(100.0::DOUBLE * count(*) FILTER (WHERE position <= 3) / count(*), 2) AS place_rate"
 MARKET = "round((count(*) FILTER (WHERE position = 1)) / sum(1 / sp_decimal), 2) AS ae_index, coalesce(sum(sp_decimal) FILTER (WHERE position = 1), 0) - count(*) AS profit"
@@ -61,8 +43,9 @@ query("lifetime_owner_horses", f"SELECT owner_id, {COUNTS}, count(DISTINCT horse
 query("incremental_lifetime", f"SELECT jockey_id, {COUNTS}, {RATES} FROM runs WHERE jockey_id IN (SELECT jockey_id FROM runs, ended WHERE race_date >= d - 3) GROUP BY jockey_id")(
     lambda v: A.lifetime(J.active_since(v.runs, v.runs, "jockey_id", F.date_sub(v.as_of, 3)), "jockey_id")
 )
-query("lifetime_text_positions", "SELECT jockey_id, count(*) AS runs, count(*) FILTER (WHERE p = 1) AS wins FROM (SELECT jockey_id, try_cast(position_raw AS INT) AS p FROM runs) GROUP BY jockey_id")(
-    lambda v: v.runs.groupBy("jockey_id").agg(F.count(F.lit(1)).alias("runs"), F.count_if(S.position(P("position_raw")) == 1).alias("wins"))
+AS_TEXT = "CASE WHEN position_raw = '1' AND race_id % 2 = 0 THEN 'won' WHEN position_raw = '1' THEN '1st' WHEN position_raw = '2' THEN '2nd' WHEN position_raw = '3' THEN '3rd' ELSE position_raw END"
+query("lifetime_text_positions", f"SELECT jockey_id, count(*) AS runs, count(*) FILTER (WHERE t IN ('won', '1st')) AS wins, count(*) FILTER (WHERE t IN ('won', '1st', '2nd', '3rd')) AS places FROM (SELECT jockey_id, {AS_TEXT} AS t FROM runs) GROUP BY jockey_id")(
+    lambda v: A.lifetime(v.runs.withColumn("position", S.text_position(F.expr(AS_TEXT))), "jockey_id").select("jockey_id", "runs", "wins", "places")
 )
 query(
     "lifetime_all_suppliers",
@@ -108,8 +91,8 @@ query("going_breakdown", "SELECT jockey_id, string_agg(going || '=' || n, ';' OR
 query("top_at_distance", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY distance_f ORDER BY win_rate DESC, runs DESC, jockey_id)::INT AS rank FROM (SELECT jockey_id, distance_f, count(*) AS runs, round(100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*), 2) AS win_rate FROM runs WHERE position IS NOT NULL GROUP BY ALL HAVING count(*) >= 10)) WHERE rank <= 3")(
     lambda v: W.top_by(A.performance(v.runs, ["jockey_id", "distance_f"], 10).select("jockey_id", "distance_f", "runs", "win_rate"), ["distance_f"], [F.desc("win_rate"), F.desc("runs"), P("jockey_id")], 3, rank="rank")
 )
-query("top_pairs", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id LIMIT 50")(
-    lambda v: v.runs.groupBy("jockey_id", "horse_id").agg(F.count(F.lit(1)).alias("runs")).orderBy(F.desc("runs"), "jockey_id", "horse_id").limit(50)
+query("top_pairs", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id")(
+    lambda v: v.runs.groupBy("jockey_id", "horse_id").agg(F.count(F.lit(1)).alias("runs")).orderBy(F.desc("runs"), "jockey_id", "horse_id")
 )
 query("top_pairs_all", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id")(
     lambda v: v.runs.groupBy("jockey_id", "horse_id").agg(F.count(F.lit(1)).alias("runs")).orderBy(F.desc("runs"), "jockey_id", "horse_id")
@@ -167,13 +150,13 @@ query("popular_sire_runners", "WITH top AS (SELECT ancestor_id FROM lineage WHER
     lambda v: v.lineage.where("relation = 'sire'").join(v.lineage.where("relation = 'sire'").groupBy("ancestor_id").agg(F.countDistinct("horse_id").alias("n")).orderBy(F.desc("n"), "ancestor_id").limit(1), "ancestor_id", "left_semi")
     .select("race_id", "horse_id", "race_date").orderBy(F.desc("race_date"), "race_id", "horse_id").limit(10)
 )
-query("inbred_runners", "SELECT horse_id, a.sire_id AS ancestor FROM horses a JOIN (SELECT DISTINCT damsire_id, horse_id AS h2 FROM horses) b ON a.horse_id = b.h2 WHERE length(a.sire_id) % 50 = CAST(b.damsire_id AS INT)")(
-    lambda v: v.horses.alias("a").join(v.horses.select(P("horse_id").alias("h2"), P("damsire_id").alias("d")).distinct().alias("b"), (P("a.horse_id") == P("h2")) & (F.length("a.sire_id") % 50 == P("d").cast("int"))).select("a.horse_id", P("a.sire_id").alias("ancestor"))
+query("inbred_runners", "SELECT a.race_id, a.horse_id, a.ancestor_id FROM lineage a JOIN lineage b ON a.race_id = b.race_id AND a.horse_id = b.horse_id AND a.ancestor_id = b.ancestor_id WHERE a.relation = 'sire' AND b.relation = 'damsire'")(
+    lambda v: G.inbred(v.lineage)
 )
 query("inbred_runners_lineage", "SELECT a.race_id, a.horse_id, a.ancestor_id FROM lineage a JOIN lineage b ON a.race_id = b.race_id AND a.horse_id = b.horse_id AND a.ancestor_id = b.ancestor_id WHERE a.relation = 'sire' AND b.relation = 'damsire'")(
     lambda v: G.inbred(v.lineage)
 )
-query("descendants_of", "SELECT DISTINCT horse_id, relation FROM lineage WHERE relation LIKE '%sire%' AND ancestor_id = '7'")(lambda v: v.lineage.where("relation like '%sire%' and ancestor_id = '7'").select("horse_id", "relation").distinct())
+query("descendants_of", "SELECT DISTINCT ancestor_id, horse_id, relation FROM lineage WHERE relation LIKE '%sire%'")(lambda v: G.descendants(v.lineage))
 
 # -- joins and sets -------------------------------------------------------------------------------
 
@@ -197,8 +180,8 @@ query("course_coordinates", "SELECT n_nationkey AS course_id, n_name AS name, r_
         v.table("region").select("r_regionkey", (P("r_regionkey") + 0.5).alias("latitude"), (P("r_regionkey") - 0.5).alias("longitude")), [P("rk")], [P("r_regionkey")],
     ).drop("rk")
 )
-query("calendar_gaps", "SELECT day FROM (SELECT unnest(generate_series(min(race_date), max(race_date), INTERVAL 1 DAY))::DATE AS day FROM races WHERE race_id % 7 = 0) WHERE day NOT IN (SELECT race_date FROM races WHERE race_id % 7 = 0)")(
-    lambda v: J.calendar_gaps(v.races.where("race_id % 7 = 0"), "race_date")
+query("calendar_gaps", "SELECT day FROM (SELECT unnest(generate_series(min(race_date), max(race_date), INTERVAL 1 DAY))::DATE AS day FROM races) WHERE day NOT IN (SELECT race_date FROM races)")(
+    lambda v: J.calendar_gaps(v.races, "race_date")
 )
 query("calendar_gaps_all", "SELECT day FROM (SELECT unnest(generate_series(min(race_date), max(race_date), INTERVAL 1 DAY))::DATE AS day FROM races) WHERE day NOT IN (SELECT race_date FROM races)")(
     lambda v: J.calendar_gaps(v.races, "race_date")
@@ -231,7 +214,7 @@ query("latest_event", "SELECT user_id, event_id, event_type, value FROM (SELECT
     lambda v: W.top_by(v.table("events"), ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_id", "event_type", "value")
 )
 query("last_ten_runs", "SELECT horse_id, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins, count(*) FILTER (WHERE position = 2) AS seconds, count(*) FILTER (WHERE position = 3) AS thirds FROM (SELECT *, row_number() OVER (PARTITION BY horse_id ORDER BY race_date DESC, race_id DESC) AS r FROM runs WHERE position IS NOT NULL) WHERE r <= 10 GROUP BY horse_id")(lambda v: W.last_runs(v.runs))
-FORM = "CASE position WHEN 1 THEN 10 WHEN 2 THEN 7 WHEN 3 THEN 5 WHEN 4 THEN 3 WHEN 5 THEN 1 ELSE 0 END * CASE r WHEN 1 THEN 2.0 WHEN 2 THEN 1.5 WHEN 3 THEN 1.2 ELSE 1.0 END::DOUBLE"
+FORM = "CASE position WHEN 1 THEN 10 WHEN 2 THEN 7 WHEN 3 THEN 5 WHEN 4 THEN 3 ELSE 1 END * CASE r WHEN 1 THEN 2.0 WHEN 2 THEN 1.5 WHEN 3 THEN 1.2 ELSE 1.0 END::DOUBLE"
 query("form_lines", f"SELECT horse_id, round(sum({FORM}) / 67 * 100, 2) AS form_score, " + ", ".join(f"string_agg({c}, ',' ORDER BY r) AS last_{c}" for c in ("position", "race_date", "course_id", "distance_f", "race_class")) + " FROM (SELECT *, row_number() OVER (PARTITION BY horse_id ORDER BY race_date DESC, race_id DESC) AS r FROM runs WHERE position IS NOT NULL) WHERE r <= 5 GROUP BY horse_id")(lambda v: W.form_lines(v.runs))
 
 
@@ -243,7 +226,7 @@ def _record_sql(before: bool) -> str:
         out += [f"count(position) {over} AS {name}_runs", f"count(CASE WHEN position = 1 THEN 1 END) {over} AS {name}_wins"]
     over = f"OVER (PARTITION BY horse_id{frame})"
     out += [f"count(CASE WHEN position IS NOT NULL AND lower(going) LIKE '%{k}%' THEN 1 END) {over} AS {k}_runs" for k in ("firm", "good", "soft", "heavy")]
-    out += [f"count(CASE WHEN position IS NOT NULL AND lower(surface) IN {kinds} THEN 1 END) {over} AS {name}_runs" for name, kinds in (("aw", "('aw')"), ("jumps", "('hurdle', 'chase')"))]
+    out += [f"count(CASE WHEN position IS NOT NULL AND lower(surface) IN {kinds} THEN 1 END) {over} AS {name}_runs" for name, kinds in (("aw", "('aw', 'all weather', 'tapeta', 'polytrack')"), ("jumps", "('hurdle', 'chase', 'nh flat')"))]
     return f"SELECT race_id, horse_id, {', '.join(out)} FROM runs"
 
 
@@ -255,12 +238,7 @@ query("last_price_in_group", "SELECT jockey_id, distance_f, arg_max(sp_decimal,
 )
 query("sample_by_region", "SELECT region, race_id FROM (SELECT region, race_id, row_number() OVER (PARTITION BY region ORDER BY race_id) AS r FROM races) WHERE r <= 3")(lambda v: W.top_by(v.races.select("region", "race_id"), ["region"], [P("race_id")], 3))
 CONTEXT_STATS = {"course": "b.course_id = a.course_id", "surface": "b.surface = a.surface", "going": "b.going = a.going", "class": "b.race_class = a.race_class", "jockey": "b.jockey_id = a.jockey_id", "trainer": "b.trainer_id = a.trainer_id"}
-query("ml_context_stats", "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date WHERE a.race_date >= (SELECT d - 180 FROM ended) GROUP BY a.race_id, a.horse_id")(
-    lambda v: v.runs.where(P("race_date") >= F.date_sub(v.as_of, 180)).alias("a").join(v.runs.alias("b"), F.expr("a.horse_id = b.horse_id and b.race_date < a.race_date"), "left").groupBy("a.race_id", "a.horse_id").agg(
-        F.count("b.horse_id").alias("career_runs"), F.count_if(F.expr("b.position = 1")).alias("career_wins"), F.round(F.avg("b.position"), 4).alias("avg_finish"), F.datediff(F.max("a.race_date"), F.max("b.race_date")).alias("days_since"),
-        *[x for k, c in CONTEXT_STATS.items() for x in (F.count_if(F.expr(c)).alias(f"{k}_runs"), F.count_if(F.expr(f"{c} and b.position = 1")).alias(f"{k}_wins"))],
-    )
-)
+query("ml_context_stats", "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id")(lambda v: W.context_stats(v.runs))
 query("ml_context_stats_all", "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id")(lambda v: W.context_stats(v.runs))
 query("upcoming_summary", "SELECT r.race_id, count(*) AS runners, round(avg(w), 4) AS mean_win_rate FROM (SELECT race_id, horse_id FROM runs, ended WHERE race_date = d) r JOIN (SELECT horse_id, 100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*) AS w FROM runs GROUP BY 1) USING (horse_id) GROUP BY r.race_id")(
     lambda v: v.runs.where(P("race_date") == v.as_of).select("race_id", "horse_id").join(v.runs.groupBy("horse_id").agg((F.count_if(P("position") == 1) * 100.0 / F.count(F.lit(1))).alias("w")), "horse_id").groupBy("race_id").agg(F.count(F.lit(1)).alias("runners"), F.round(F.avg("w"), 4).alias("mean_win_rate"))
@@ -330,12 +308,12 @@ query("result_split", "SELECT count(*) AS n, count(*) FILTER (WHERE position IS
 query("coverage_union", "SELECT 'sire' AS kind, count(DISTINCT sire_id) AS n FROM horses UNION ALL SELECT 'dam', count(DISTINCT dam_id) FROM horses UNION ALL SELECT 'damsire', count(DISTINCT damsire_id) FROM horses")(
     lambda v: v.horses.agg(F.countDistinct("sire_id").alias("a"), F.countDistinct("dam_id").alias("b"), F.countDistinct("damsire_id").alias("c")).select(F.expr("stack(3, 'sire', a, 'dam', b, 'damsire', c) as (kind, n)"))
 )
-query("run_history", "SELECT race_id, horse_id, race_date, course_id, position FROM runs WHERE horse_id % 10 = 3")(lambda v: v.runs.where("horse_id % 10 = 3").select("race_id", "horse_id", "race_date", "course_id", "position"))
+query("run_history", "SELECT race_id, horse_id, race_date, course_id, position FROM runs")(lambda v: v.runs.select("race_id", "horse_id", "race_date", "course_id", "position"))
 query("run_history_all", "SELECT race_id, horse_id, race_date, course_id, position FROM runs WHERE position IS NOT NULL ORDER BY horse_id, race_date DESC, race_id DESC")(
     lambda v: v.runs.where("position is not null").select("race_id", "horse_id", "race_date", "course_id", "position").orderBy("horse_id", F.desc("race_date"), F.desc("race_id"))
 )
-query("breeding_multiplier", "SELECT h.sire_id, count(*) FILTER (WHERE position = 1) AS wins, CASE WHEN count(*) FILTER (WHERE position = 2) > 0 THEN round(count(*) FILTER (WHERE position = 1) / (count(*) FILTER (WHERE position = 2)), 3) END AS multiplier FROM runs JOIN horses h USING (horse_id) GROUP BY 1")(
-    lambda v: v.runs.join(v.horses, "horse_id").groupBy("sire_id").agg(F.count_if(P("position") == 1).alias("wins"), F.count_if(P("position") == 2).alias("s")).select("sire_id", "wins", F.round(F.try_divide("wins", "s"), 3).alias("multiplier"))
+query("breeding_multiplier", "SELECT ancestor_id, progeny_wins, own_wins, round(progeny_wins::DOUBLE / own_wins, 2) AS multiplier FROM (SELECT ancestor_id, count(*) AS progeny_wins FROM lineage WHERE relation = 'damsire' AND position = 1 GROUP BY 1) JOIN (SELECT CAST(horse_id AS VARCHAR) AS ancestor_id, count(*) AS own_wins FROM runs WHERE position = 1 GROUP BY 1) USING (ancestor_id)")(
+    lambda v: G.breeding_multiplier(v.lineage.where("relation = 'damsire'"), G.own_career(v.runs))
 )
 query("breeding_multiplier_own_wins", "SELECT ancestor_id, progeny_wins, own_wins, round(progeny_wins::DOUBLE / own_wins, 2) AS multiplier FROM (SELECT ancestor_id, count(*) AS progeny_wins FROM lineage WHERE relation = 'damsire' AND position = 1 GROUP BY 1) JOIN (SELECT CAST(horse_id AS VARCHAR) AS ancestor_id, count(*) AS own_wins FROM runs WHERE position = 1 GROUP BY 1) USING (ancestor_id)")(
     lambda v: G.breeding_multiplier(v.lineage.where("relation = 'damsire'"), G.own_career(v.runs))

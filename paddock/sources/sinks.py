@@ -53,6 +53,13 @@ def typed_payload(df: DataFrame, column: str, payload: str, path: str, pattern:
     return df.withColumn(column, F.coalesce(column, F.when(value.rlike(pattern), value.try_cast(kind))))
 
 
+def reconcile_recent(stored: DataFrame, again: DataFrame, keys: Sequence[str], time: str, as_of, days: int = 7) -> DataFrame:
+    """The stored table with the rows of the last ``days`` read once more: those replace what is stored,
+    older rows of ``again`` are not looked at."""
+    recent = again.where(P(time) >= F.lit(as_of) - F.make_dt_interval(F.lit(days)))
+    return stored.join(recent.select(*keys), list(keys), "left_anti").unionByName(recent)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
