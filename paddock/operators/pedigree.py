@@ -21,7 +21,8 @@ def lineage(runs: DataFrame) -> DataFrame:
     runner and path."""
     kinds = ((1, "sire", "sire_id", "sire"), (1, "dam", "dam_id", "dam"), (2, "damsire", "damsire_id", "dam.sire"))
     edges = F.array(*[F.struct(F.lit(g).alias("generation"), F.lit(r).alias("relation"), P(c).alias("ancestor_id"), F.lit(p).alias("path")) for g, r, c, p in kinds])
-    out = runs.select("race_id", "horse_id", "position", "prize_won", "race_date", "race_class", "surface", "distance_f", F.explode(edges).alias("e")).select("*", "e.*").drop("e")
+    more = [c for c in ("surface", "distance_f") if c in runs.columns]
+    out = runs.select("race_id", "horse_id", "position", "prize_won", "race_date", "race_class", *more, F.explode(edges).alias("e")).select("*", "e.*").drop("e")
     key = F.concat_ws("_", "race_id", "horse_id", "generation", "relation")
     return out.where(P("ancestor_id").isNotNull()).withColumn("lineage_id", key)
 
