@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each written as Parquet and read by the next.
 
 Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns the columns
-of documents; the last returns token ids.
+of documents; the last returns token ids. Null text is empty, null ids are ids like others, no rows give no
+rows, and columns besides doc_id and text are handed on as they are.
 """
 
 from __future__ import annotations
@@ -39,8 +40,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: shingles of five words, similarity of
-    0.8 or more."""
-    return _only(docs, near_dedup.near_dedup(docs, k=5, percent=80).where("kept").select("_id", "_k"))
+    0.8 or more. Of rows that repeat id and text one stays."""
+    found = stage(near_dedup.near_dedup(docs, k=5, percent=80).where("kept").groupBy("_id", "_k").agg(F.count(F.lit(1)).alias("copies")), "near-kept")
+    kept = _only(docs, found.select("_id", "_k"))
+    repeated = found.where("copies > 1").select("_id", "_k")
+    if not repeated.limit(1).count():
+        return kept
+    single = _only(docs, found.where("copies = 1").select("_id", "_k"))
+    again = _only(docs, repeated).withColumn("_same", F.coalesce("text", F.lit("")))
+    return single.unionByName(again.dropDuplicates(["doc_id", "_same"]).drop("_same"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
