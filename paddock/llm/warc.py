@@ -47,7 +47,8 @@ def decide(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
 
 def build_dictionary(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", records: int = SAMPLE_RECORDS, size: int = DICTIONARY_BYTES) -> bytes:
     """A dictionary from at most ``records`` pages, the first SAMPLE_BYTES characters of each (a
-    model of the data, no data: every record is archived whole). Empty if there is too little."""
+    model of the data, no data: every record is archived whole). Where the pages are too few or too alike
+    to train one, their own text is the dictionary; pages without text give none."""
     import zstandard
 
     order = F.xxhash64(F.col(id_col))
@@ -55,13 +56,11 @@ def build_dictionary(pages: DataFrame, id_col: str = "page_id", html_col: str =
     if last is None:
         return b""
     sample = pages.where(order <= last).select(F.substring(F.col(html_col).cast("string"), 1, SAMPLE_BYTES).alias("h")).where("h <> ''").limit(records)
-    texts = [r[0].encode() for r in sample.collect()]
-    if sum(map(len, texts)) < 8 * 1024 or len(texts) < 8:
-        return b""
+    texts = sorted(r[0].encode() for r in sample.collect())
     try:
         return zstandard.train_dictionary(size, texts, level=LEVEL).as_bytes()
-    except zstandard.ZstdError:  # samples too few or too alike
-        return b""
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(texts)[-size:]
 
 
 def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
