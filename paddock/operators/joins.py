@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parsers import name_key
@@ -48,19 +48,23 @@ def match_names(names: DataFrame, horses: DataFrame, name: str = "name", region:
 
 
 def prior_runs(runs: DataFrame, tolerance: float | None = None) -> DataFrame:
-    """For each run the same horse's earlier runs: how many, wins, last date; with ``tolerance`` also
-    those whose distance differs by no more than that share.
-
-    Equi join on the horse; the date and distance conditions are residual. Counts are summed
-    before the result leaves the join, so no pair is written."""
-    now = runs.select("race_id", "horse_id", P("race_date").alias("d"), P("distance_f").alias("f"))
-    then = runs.select(P("horse_id").alias("h"), P("race_date").alias("hd"), P("distance_f").alias("hf"), P("position").alias("hp"))
-    cond = (P("horse_id") == P("h")) & (P("hd") < P("d"))
-    aggs = [F.count("h").alias("prior_runs"), F.count_if(P("hp") == 1).alias("prior_wins"), F.max("hd").alias("last_run")]
+    """For each run the same horse's runs of earlier dates: how many, wins, last date; with ``tolerance``
+    also those whose distance differs by no more than that share.
+
+    Windows within the horse, no pairs of runs. A run is counted under each distance of its horse
+    that it is near to, and the rows of a run's own distance remain."""
+    rows = runs.repartition("horse_id")
+    before = lambda *keys: Window.partitionBy("horse_id", *keys).orderBy(F.unix_date("race_date")).rangeBetween(Window.unboundedPreceding, -1)
+    won = P("position") == 1
+    out = rows.select("race_id", "horse_id", "race_date", "distance_f", "position", F.count(F.lit(1)).over(before()).alias("prior_runs"), F.count_if(won).over(before()).alias("prior_wins"), F.max("race_date").over(before()).alias("last_run"))
+    names = ["race_id", "horse_id", "prior_runs", "prior_wins", "last_run"]
     if tolerance is not None:
-        near = P("hf").between(P("f") * (1 - tolerance), P("f") * (1 + tolerance))
-        aggs += [F.count_if(near).alias("near_runs"), F.count_if(near & (P("hp") == 1)).alias("near_wins")]
-    return now.join(then, cond, "left").groupBy("race_id", "horse_id").agg(*aggs)
+        near = F.filter(F.collect_set("distance_f").over(Window.partitionBy("horse_id")), lambda g: P("distance_f").between(g * (1 - tolerance), g * (1 + tolerance)))
+        out = out.withColumn("_g", near).withColumn("_g", F.explode(F.array_union("_g", F.array("distance_f"))))
+        known = P("_g").isNotNull()
+        out = out.withColumns({"near_runs": F.count_if(known).over(before("_g")), "near_wins": F.count_if(known & won).over(before("_g"))}).where(P("_g").eqNullSafe(P("distance_f")))
+        names += ["near_runs", "near_wins"]
+    return out.select(*names)
 
 
 def reconcile(source: DataFrame, stored: DataFrame, key: str) -> DataFrame:

@@ -46,6 +46,7 @@ def runner_record(runs: DataFrame, before_race: bool = False) -> DataFrame:
     ``before_race`` only those of earlier dates. Goings and surfaces count over the whole career. One
     sort for each of the contexts' keys replaces a scan of the horse's runs for every run."""
     out = {}
+    runs = runs.repartition("horse_id")
     p = P("position")
     for name, keys in CONTEXTS.items():
         w = Window.partitionBy("horse_id", *keys)
@@ -69,6 +70,7 @@ STAT_CONTEXTS = {"course": "course_id", "surface": "surface", "going": "going",
 def context_stats(runs: DataFrame) -> DataFrame:
     """Beside every run the same horse's runs of earlier dates: how many, wins, average place, days
     since the last, and runs and wins in each context. Windows make no pairs of runs."""
+    runs = runs.repartition("horse_id")  # once; each window sorts within the partition
     before = lambda *keys: Window.partitionBy("horse_id", *keys).orderBy(F.unix_date("race_date")).rangeBetween(Window.unboundedPreceding, -1)
     p, w = P("position"), before()
     out = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,28 +17,53 @@ def stream_files(spark: SparkSession, path: str, schema, files_per_trigger: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def _versions(spark: SparkSession, target: str) -> list[int]:
+    try:
+        return sorted(r[0] for r in spark.read.parquet(target).select("version").distinct().collect())  # the last few
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            raise
+        return []
+
+
 def live_upsert(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], updated: str):
     """Merge every micro-batch into a table of versions below ``target``: each batch writes a new version
     and readers take the highest, so a repeated batch rewrites the same version. Late rows replace
-    earlier ones if their time is later."""
+    earlier ones if their time is later. With a new checkpoint the versions go on after those that the
+    target has; where they began is kept beside the checkpoint."""
+    spark = stream.sparkSession
+    begins = f"{checkpoint.rstrip('/')}-first-version"
+    try:
+        first = spark.read.json(begins).first()["first"]
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        first = max(_versions(spark, target), default=-1) + 1
+        spark.createDataFrame([(first,)], "first long").write.json(begins)
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(f"{target}/version={number - 1}") if number else batch.limit(0)
-        except Exception as error:  # the first batch after a restart with a new checkpoint
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            old = batch.limit(0)
-        upsert(old, batch, keys, updated).write.mode("overwrite").parquet(f"{target}/version={number}")
+        version = first + number
+        known = [v for v in _versions(batch.sparkSession, target) if v < version]
+        old = batch.sparkSession.read.parquet(f"{target}/version={known[-1]}") if known else batch.limit(0)
+        upsert(old, batch, keys, updated).write.mode("overwrite").parquet(f"{target}/version={version}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest_version(spark: SparkSession, target: str) -> DataFrame:
     """The highest version of a table that live_upsert writes."""
-    versions = spark.read.parquet(target).select("version").distinct().agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{target}/version={versions}")
+    return spark.read.parquet(f"{target}/version={_versions(spark, target)[-1]}")
+
+
+def enrich_new(stream: DataFrame, known: str, checkpoint: str, key: str):
+    """Append to the table ``known`` (it must exist) the rows of each micro-batch whose id it lacks, one row an id;
+    a repeated batch finds its ids known."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        fresh = batch.dropDuplicates([key]).join(batch.sparkSession.read.parquet(known).select(key), key, "left_anti")
+        fresh.write.mode("append").parquet(known)
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def rolling_form(stream: DataFrame, key: str, time: str, late: str = "7 days", width: str = "30 days", slide: str = "1 day") -> DataFrame:
