@@ -89,3 +89,19 @@ def row_quality(df: DataFrame, name: str, region: str, regions: Sequence[str]) -
     out = df.agg(F.count_if(F.coalesce(name, F.lit("")) == "").alias("nameless"), F.count_if(P(region).isNull()).alias("no_region"), F.count_if(~F.coalesce(P(region).isin(*regions), F.lit(False))).alias("outside"))
     less = F.when(P("nameless") > 0, 30).otherwise(0) + F.when(P("no_region") > 0, 30).otherwise(0) + F.when(P("outside") > 0, 20).otherwise(0)
     return out.withColumn("score", 100 - less)
+
+
+def severity_of(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """``severity`` of the expected columns; those that the table lacks are CRITICAL."""
+    there, absent = [c for c in expected if c in df.columns], [c for c in expected if c not in df.columns]
+    lost = df.sparkSession.createDataFrame([(c, None, "CRITICAL") for c in absent], "column_name string, percent double, severity string")
+    return severity(column_population(df, there)).unionByName(lost)
+
+
+def pass_bands(population: DataFrame, passed: float = 90, warned: float = 50) -> DataFrame:
+    return population.select("column_name", "percent", F.when(P("percent") >= passed, "pass").when(P("percent") >= warned, "warn").otherwise("fail").alias("result"))
+
+
+def twin_samples(df: DataFrame, one: str, two: str, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first rows whose twin columns are both filled and differ as text."""
+    return df.where(P(one).cast("string") != P(two).cast("string")).select(*order, P(one).alias("first"), P(two).alias("second")).orderBy(*order).limit(n)

@@ -225,3 +225,53 @@ query("odd_distances", "SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 4022
     lambda v: v.table("orders").select("o_orderkey", S.metres(F.expr("element_at(array('2m4f', 'm', '1200', '6.5f', ''), cast(o_orderkey % 5 + 1 as int))")).alias("metres"))
 )
 query("home_regions", "SELECT n_nationkey, regexp_matches(n_name, '(?i)great britain|united kingdom|uk|england|scotland|wales|northern ireland|ireland|irish') AS home FROM nation", False)(lambda v: v.table("nation").select("n_nationkey", S.in_country(P("n_name")).alias("home")))
+
+# -- rules that the named queries above leave open ---------------------------------------------------
+
+query("coordinates_by_name", "SELECT n_nationkey AS course_id, n_name || '-AW' AS name, r_name AS region, CASE WHEN n_nationkey % 3 = 0 THEN 1.5 ELSE n_nationkey + 0.5 END::DOUBLE AS latitude, CASE WHEN n_nationkey % 3 = 0 THEN 2.5 ELSE -n_nationkey - 0.5 END::DOUBLE AS longitude FROM nation JOIN region ON r_regionkey = n_regionkey", False)(
+    lambda v: J.add_coordinates(
+        v.table("nation").join(v.table("region"), P("n_regionkey") == P("r_regionkey")).select(P("n_nationkey").alias("course_id"), F.concat("n_name", F.lit("-AW")).alias("name"), P("r_name").alias("region"), F.when(P("n_nationkey") % 3 == 0, 1.5).alias("latitude"), F.when(P("n_nationkey") % 3 == 0, 2.5).alias("longitude")),
+        v.table("nation").join(v.table("region"), P("n_regionkey") == P("r_regionkey")).select(F.lower("n_name").alias("k"), F.lower("r_name").alias("r"), (P("n_nationkey") + 0.5).alias("latitude"), (-P("n_nationkey") - 0.5).alias("longitude")),
+        [S.course_key(P("name")), F.upper("region")], [P("k"), F.upper("r")],
+    )
+)
+query("owners_by_location", "SELECT c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE regexp_matches(n_name, '(?i)great britain|united kingdom|uk|england|scotland|wales|northern ireland|ireland|irish') OR c_mktsegment = 'BUILDING'", False)(
+    lambda v: v.table("customer").join(v.table("nation"), P("c_nationkey") == P("n_nationkey")).withColumn("place", F.when(P("c_mktsegment") == "BUILDING", "").otherwise(P("n_name"))).where(S.in_country(P("place")) | (P("place") == "")).select("c_custkey")
+)
+query("distances_filled", "SELECT race_id, CASE WHEN race_id % 2 = 0 THEN 1 ELSE distance_f * 201 END AS distance_m FROM races")(
+    lambda v: v.races.select("race_id", F.coalesce(F.when(P("race_id") % 2 == 0, 1), S.metres(F.concat(P("distance_f").cast("string"), F.lit("f")))).alias("distance_m"))
+)
+query("incremental_merge", "SELECT s_suppkey AS jockey_id, coalesce(a.runs, o.runs) AS runs, coalesce(a.wins, o.wins) AS wins FROM supplier LEFT JOIN (SELECT jockey_id, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins FROM runs, ended WHERE race_date < d - 3 GROUP BY 1) o ON o.jockey_id = s_suppkey LEFT JOIN (SELECT jockey_id, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins FROM runs WHERE jockey_id IN (SELECT jockey_id FROM runs, ended WHERE race_date >= d - 3) GROUP BY 1) a ON a.jockey_id = s_suppkey")(
+    lambda v: A.update_dimension(
+        v.table("supplier").select(P("s_suppkey").alias("jockey_id")).join(A.lifetime(v.runs.where(P("race_date") < F.date_sub(v.as_of, 3)), "jockey_id").select("jockey_id", "runs", "wins"), "jockey_id", "left"),
+        A.lifetime(J.active_since(v.runs, v.runs, "jockey_id", F.date_sub(v.as_of, 3)), "jockey_id"), "jockey_id", ["runs", "wins"],
+    )
+)
+query("lifetime_with_defaults", "SELECT s_suppkey AS jockey_id, count(race_id) AS runs, count(*) FILTER (WHERE position = 1) AS wins, count(*) FILTER (WHERE position <= 3) AS places, CASE WHEN count(race_id) > 0 THEN round(100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(race_id), 2) ELSE 0 END AS win_rate, CASE WHEN count(race_id) > 0 THEN round(100.0::DOUBLE * count(*) FILTER (WHERE position <= 3) / count(race_id), 2) ELSE 0 END AS place_rate FROM supplier LEFT JOIN runs ON jockey_id = s_suppkey AND course_id = 3 GROUP BY s_suppkey")(
+    lambda v: v.table("supplier").select(P("s_suppkey").alias("jockey_id")).join(A.lifetime(v.runs.where("course_id = 3"), "jockey_id").drop("seconds", "thirds"), "jockey_id", "left").na.fill(0)
+)
+query("upcoming_form", "SELECT u.race_id, count(*) AS runners, round(avg(score), 4) AS mean_form FROM (SELECT race_id, horse_id FROM runs, ended WHERE race_date = d) u LEFT JOIN (SELECT horse_id, round(sum(CASE position WHEN 1 THEN 10 WHEN 2 THEN 7 WHEN 3 THEN 5 WHEN 4 THEN 3 ELSE 1 END * CASE r WHEN 1 THEN 2.0 WHEN 2 THEN 1.5 WHEN 3 THEN 1.2 ELSE 1.0 END::DOUBLE) / 67 * 100, 2) AS score FROM (SELECT *, row_number() OVER (PARTITION BY horse_id ORDER BY race_date DESC, race_id DESC) AS r FROM runs WHERE position IS NOT NULL) WHERE r <= 5 GROUP BY 1) USING (horse_id) GROUP BY u.race_id")(
+    lambda v: v.runs.where(P("race_date") == v.as_of).select("race_id", "horse_id").join(W.form_lines(v.runs).select("horse_id", "form_score"), "horse_id", "left").groupBy("race_id").agg(F.count(F.lit(1)).alias("runners"), F.round(F.avg("form_score"), 4).alias("mean_form"))
+)
+query("update_days", "SELECT event_type, count(*) AS n, min(ts)::DATE AS first_day, max(ts)::DATE AS last_day, count(DISTINCT ts::DATE) AS days FROM events GROUP BY 1", False)(
+    lambda v: v.table("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.to_date(F.min("ts")).alias("first_day"), F.to_date(F.max("ts")).alias("last_day"), F.countDistinct(F.to_date("ts")).alias("days"))
+)
+query("distinct_ids", " UNION ALL ".join(f"SELECT DISTINCT '{k}' AS entity_type, CAST({i} AS VARCHAR) AS entity_id FROM runs" for k, (i, _) in KINDS.items()))(
+    lambda v: A.unpivot_entities(v.runs, {k: i for k, (i, _) in KINDS.items()}, []).distinct()
+)
+BLANKS = ["text", "lang", "source"]
+query("blank_as_null", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n, count(nullif({c}, '')) AS filled FROM documents" for c in BLANKS), False)(
+    lambda v: Q.column_population(v.table("documents"), BLANKS, blank_is_null=True).select("column_name", "n", "filled")
+)
+query("severity_with_missing", "SELECT column_name, CASE WHEN percent = 0 THEN 'HIGH' WHEN percent < 10 THEN 'MEDIUM' ELSE 'OK' END AS severity FROM (SELECT 'text' AS column_name, count(text) * 100.0 / count(*) AS percent FROM documents UNION ALL SELECT 'lang', count(lang) * 100.0 / count(*) FROM documents) UNION ALL SELECT 'rating', 'CRITICAL'", False)(
+    lambda v: Q.severity_of(v.table("documents"), ["text", "lang", "rating"]).select("column_name", "severity")
+)
+query("coverage_bands", "SELECT 'position' AS column_name, CASE WHEN count(position) >= 0.9 * count(*) THEN 'pass' WHEN count(position) >= 0.5 * count(*) THEN 'warn' ELSE 'fail' END AS result FROM runs UNION ALL SELECT 'going', CASE WHEN count(going) >= 0.9 * count(*) THEN 'pass' WHEN count(going) >= 0.5 * count(*) THEN 'warn' ELSE 'fail' END FROM runs")(
+    lambda v: Q.pass_bands(Q.column_population(v.runs, ["position", "going"])).select("column_name", "result")
+)
+query("stored_rates_checked", "SELECT jockey_id, stored, win_rate FROM (SELECT jockey_id, round(100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*), 2) AS stored FROM runs, ended WHERE race_date < d - 365 GROUP BY 1) JOIN (SELECT jockey_id, round(100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*), 2) AS win_rate FROM runs GROUP BY 1) USING (jockey_id) WHERE abs(stored - win_rate) > 0.1")(
+    lambda v: A.lifetime(v.runs.where(P("race_date") < F.date_sub(v.as_of, 365)), "jockey_id").select("jockey_id", P("win_rate").alias("stored")).join(A.lifetime(v.runs, "jockey_id").select("jockey_id", "win_rate"), "jockey_id").where(F.abs(P("stored") - P("win_rate")) > 0.1)
+)
+query("twin_samples", "SELECT l_orderkey, l_linenumber, l_discount AS first, l_tax AS second FROM lineitem WHERE l_discount <> l_tax ORDER BY l_orderkey, l_linenumber LIMIT 5", False)(
+    lambda v: Q.twin_samples(v.table("lineitem"), "l_discount", "l_tax", ["l_orderkey", "l_linenumber"])
+)
