@@ -69,3 +69,30 @@ def test_new_entities_come_once(spark, tmp_path):
     stream = live.new_entities(live.stream_files(spark, str(tmp_path / "e"), "id string, n int, at timestamp"), "id", "at")
     stream.writeStream.format("memory").queryName("fresh").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.id for r in spark.table("fresh").collect()) == ["a", "b"]
+
+
+def test_live_upsert_goes_on_with_a_new_checkpoint(spark, tmp_path):
+    schema = "id string, value int, at int"
+    for i, some in enumerate(([("a", 1, 1), ("b", 1, 1)], [("a", 2, 2)], [("c", 3, 1), ("a", 0, 0)])):
+        spark.createDataFrame(some, schema).coalesce(1).write.parquet(str(tmp_path / f"in{i}"))
+        stream = live.stream_files(spark, str(tmp_path / f"in{i}"), schema)
+        live.live_upsert(stream, str(tmp_path / "out"), str(tmp_path / f"check{i}"), ["id"], "at").awaitTermination()
+    assert sorted(map(tuple, live.latest_version(spark, str(tmp_path / "out")).collect())) == [("a", 2, 2), ("b", 1, 1), ("c", 3, 1)]
+
+
+def test_only_ids_that_are_not_known_are_added(spark, tmp_path):
+    known, source = str(tmp_path / "known"), str(tmp_path / "source")
+    spark.createDataFrame([("a", 1)], "id string, n int").write.parquet(known)
+    for some in ([("a", 5), ("b", 2), ("b", 2)], [("b", 7), ("c", 3)]):
+        spark.createDataFrame(some, "id string, n int").coalesce(1).write.mode("append").parquet(source)
+        live.enrich_new(live.stream_files(spark, source, "id string, n int"), known, str(tmp_path / "check"), "id").awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(known).collect())) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_the_last_week_is_read_again(spark):
+    import datetime
+
+    day = datetime.date(2024, 5, 20)
+    old = spark.createDataFrame([(1, day, "x"), (2, day - datetime.timedelta(30), "x")], "id int, day date, v string")
+    again = spark.createDataFrame([(1, day, "y"), (2, day - datetime.timedelta(30), "y"), (3, day, "y")], "id int, day date, v string")
+    assert sorted((r.id, r.v) for r in sinks.reconcile_recent(old, again, ["id"], "day", day).collect()) == [(1, "y"), (2, "x"), (3, "y")]
