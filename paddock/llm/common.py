@@ -28,7 +28,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = _local.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="paddock-"))
-    return f"{base.rstrip('/')}/paddock/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/paddock/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Remove all that this application has staged. Results are lazy and read it: write them first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark, "x")).getParent()
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
