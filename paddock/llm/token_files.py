@@ -16,22 +16,36 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import Memory, gather
-from .common import shared_dir, shuffle_partitions, stage, table
+from .common import shared_dir, stage, table
 from .sharedfs import AtomicWriter, read_bytes
 
 END_ID = 1
 #: Ids after which a shard file is closed; a document is never divided.
 SHARD_IDS = 4_000_000
-#: A pair that occurs less often isn't replaced.
-MIN_COUNT = 32
-CACHE_WORDS = 600_000
-MAGIC = b"PDKTOK1\0"
+#: Bytes of text for each task, about 3,000,000 ids.
+SHARD_BYTES = 8 << 20
+#: A pair that occurs less often isn't replaced. A rule takes some 6 bytes and each use saves 2; rules
+#: of rarer pairs make all symbols wider, and files are hardly smaller.
+MIN_COUNT = 16
+#: Words that a worker remembers, in two halves, the older of which is dropped when the newer is full.
+CACHE_WORDS = 700_000
+MAGIC = b"PDKTOK2\0"
 
 
 #: Stands between words in one call of the library; a word that holds it is encoded alone.
 MARK = "\x01"
 #: How a pre-tokenizer that keeps runs of letters together says so, in JSON.
 LETTERS = r"[\\p{L}]+"
+#: Signs that follow a word in one run; an apostrophe may belong to the word.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _longer(table, ids, size):
+    """A table (ids, start and number of each entry's) with further entries."""
+    import numpy as np
+
+    data, start, sizes = table
+    return np.concatenate((data, ids)), np.concatenate((start, np.cumsum(size) - size + len(data))), np.concatenate((sizes, size))
 
 
 class WordTokenizer:
@@ -39,38 +53,41 @@ class WordTokenizer:
     letters from other signs before its merges, applied word by word.
 
     Words between blanks and line feeds are encoded by the library once and remembered: no rule
-    of such a tokenizer looks beyond white space. For words of Latin letters, perhaps with a comma or
-    full stop at the end, the library's first steps are known to do nothing but lower-case them and
-    split the sign off, and are left out."""
+    of such a tokenizer looks beyond white space. Words of Latin letters, perhaps with signs
+    at the end, are known to be lower-cased and parted from these; each such part goes to the
+    library's model once, whatever words it stands in."""
 
     def __init__(self, path: str):
         import json
 
-        import numpy as np
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         config = json.loads(self.tokenizer.to_str())
-        suffix = config["model"].get("end_of_word_suffix")
-        self.fast = None
-        if suffix and "Lowercase" in json.dumps(config["normalizer"]) and LETTERS in json.dumps(config["pre_tokenizer"]):
-            self.fast = Tokenizer.from_file(path)
-            self.fast.normalizer = normalizers.Sequence([])
-            self.fast.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-            if hasattr(self.fast.model, "_resize_cache"):
-                self.fast.model._resize_cache(0)  # every word comes once
-            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-            self.final = np.zeros(max(vocabulary.values()) + 1, bool)
-            self.final[[i for x, i in vocabulary.items() if x.endswith(suffix)]] = True
-        self.forget()
-
-    def forget(self) -> None:
+        self.model = None
+        if config["model"]["type"] == "BPE" and "Lowercase" in json.dumps(config["normalizer"]) and LETTERS in json.dumps(config["pre_tokenizer"]) and "ByteLevel" in json.dumps(config["pre_tokenizer"]):
+            self.model = self.tokenizer.model
+            shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; others follow 255
+            others = [b for b in range(256) if b not in shown]
+            self.signs = {b: 256 + i for i, b in enumerate(others) }
+        self.memory = Memory()
+        self.words = self.nothing()  # ids of all words, where each word's start, how many it has
+        self.older = {}, self.nothing()  # what was remembered before
+        self.forget_parts()
+
+    @staticmethod
+    def nothing():
         import numpy as np
 
-        self.memory = Memory()
-        self.data, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def forget_parts(self) -> None:
+        import numpy as np
+
+        self.parts = {"": 0}
+        self.known = _longer(self.nothing(), np.zeros(0, np.uint32), np.zeros(1, np.int64))  # as ``words``, of parts
 
     def _plain(self, words: list[str]):
         """(ids, how many each word has), by the library's own steps. A mark stands between words."""
@@ -91,54 +108,78 @@ class WordTokenizer:
                 found.append(np.array([i for x in alone for i in x], np.uint32))
         return np.concatenate(found), np.concatenate(sizes)
 
-    def _letters(self, words: list[str], signs):
-        """The same for words of lower-case letters, each distinct one encoded once; ``signs`` has the
-        sign that follows, or nothing. The last id of each part ends a word."""
+    def _parts(self, parts: list[str]):
+        """The same for lower-case words of letters and single signs, by the library's model."""
         import numpy as np
 
-        known: dict[str, int] = {"": 0}
-        first = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
-        second = np.array([known.setdefault(s, len(known)) for s in signs], np.int64)
-        parts, found = list(known)[1:], [np.zeros(0, np.uint32)]
-        for at in range(0, len(parts), 2000):
-            found.append(np.array(self.fast.encode_batch_fast([" ".join(parts[at : at + 2000])], add_special_tokens=False)[0].ids, np.uint32))
-        ids = np.concatenate(found)
-        ends = np.concatenate(([0, 0], np.flatnonzero(self.final[ids]) + 1))
-        start, size = ends[:-1], np.diff(ends)
-        both = np.stack((first, second), 1)
-        return gather(ids, start, size, both.ravel()), size[both].sum(axis=1)
+        ids, size = [], []
+        for part in parts:  # the library's tokens are dropped at once
+            some = [x.id for x in self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(self.signs))]
+            ids += some
+            size.append(len(some))
+        return np.array(ids, np.uint32), np.array(size, np.int64)
 
     def _learn(self, words: list[str]) -> None:
+        """Remember words; those that the older memory has aren't encoded again."""
+        import numpy as np
+
+        memory, table = self.older
+        number = np.array([memory.get(w, -1) for w in words], np.int64)
+        new = number < 0
+        number[new] = np.arange(len(table[1]), len(table[1]) + int(new.sum()))
+        table = _longer(table, *self._encoded([w for w, x in zip(words, new.tolist(), strict=True) if x]))
+        self.words = _longer(self.words, gather(*table, number), table[2][number])
+
+    def _encoded(self, words: list[str]):
+        """(ids, how many each word has), part by part."""
         import numpy as np
 
-        pieces, signs, kind, others = [], [], [], []
+        if len(self.parts) > CACHE_WORDS // 2:
+            self.forget_parts()
+        known, fresh, others, first, second = self.parts, [], [], [], []
+        latin = self.model is not None
         for word in words:
-            low = word.lower() if self.fast is not None and (word.isascii() or max(word) <= "\xff") else ""
-            if low.isalpha():
-                pieces.append(low)
-                signs.append("")
-                kind.append(True)
-            elif low and low[-1] in ",." and low[:-1].isalpha():
-                pieces.append(low[:-1])
-                signs.append(low[-1])
-                kind.append(True)
+            if latin and word and (word.isascii() or max(word) <= "\xff"):
+                low = word.lower()
+                if low.isalpha():
+                    second.append(0)
+                else:
+                    sign, low = low, low.rstrip(SIGNS)
+                    sign = sign[len(low) :]
+                    if low.isalpha():
+                        n = known.get(sign)
+                        if n is None:
+                            n = known[sign] = len(known)
+                            fresh.append(sign)
+                        second.append(n)
+                    else:
+                        low = None
             else:
+                low = None
+            if low is None:
                 others.append(word)
-                kind.append(False)
-        kind, size = np.array(kind, bool), np.zeros(len(words), np.int64)
-        plain, size[~kind] = self._plain(others)
-        letters, size[kind] = self._letters(pieces, signs) if pieces else (np.zeros(0, np.uint32), 0)
-        data, owner = np.zeros(int(size.sum()), np.uint32), np.repeat(kind, size)
-        data[owner], data[~owner] = letters, plain
-        self.start = np.concatenate((self.start, np.cumsum(size) - size + len(self.data)))
-        self.size, self.data = np.concatenate((self.size, size)), np.concatenate((self.data, data))
+                first.append(-1)
+                second.append(0)
+                continue
+            n = known.get(low)
+            if n is None:
+                n = known[low] = len(known)
+                fresh.append(low)
+            first.append(n)
+        if fresh:
+            self.known = _longer(self.known, *self._parts(fresh))
+        plain, size = self._plain(others)
+        data, start, sizes = _longer(self.known, plain, size)  # for once, the other words follow the parts
+        both = np.array((first, second), np.int64).T
+        both[both[:, 0] < 0, 0] = np.arange(len(known), len(known) + len(others))
+        return gather(data, start, sizes, both.ravel()), sizes[both].sum(axis=1)
 
     def encode(self, texts: list[str]) -> list:
         """Ids of each text as numpy arrays."""
         import numpy as np
 
-        if len(self.memory) > CACHE_WORDS or len(self.data) > 16 * CACHE_WORDS:
-            self.forget()
+        if len(self.memory) > CACHE_WORDS // 2 or len(self.words[0]) > 8 * CACHE_WORDS:
+            self.older, self.memory, self.words = (self.memory, self.words), Memory(), self.nothing()
         number = self.memory.__getitem__
         rows = []
         for text in texts:
@@ -147,7 +188,7 @@ class WordTokenizer:
         if self.memory.pending:
             self._learn(self.memory.pending)
             self.memory.pending = []
-        return [gather(self.data, self.start, self.size, row) for row in rows]
+        return [gather(*self.words, row) for row in rows]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -157,82 +198,115 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
     """Re-Pair over a shard.
 
     ``ids``: all ids; ``ends``: True at each document's last id; nonterminals count from ``base``.
-    Returns (sequence, ends of the sequence, rules as an array of pairs). A round counts all pairs
-    by hash, then exactly in the slots that are frequent, and replaces every pair whose count is
-    near the most frequent one's, the more frequent first where two overlap. It ends when no pair
-    occurs ``min_count`` times: when no slot is frequent, or a sort finds no frequent pair in those that are."""
+    Returns (sequence, ends of the sequence, rules as an array of pairs). A round counts the pairs
+    exactly and replaces all that are frequent, the more frequent first where two overlap; a pair
+    of which this leaves fewer than half of ``min_count`` waits for the next round. A pair that is rare stays
+    rare, so later rounds look only at places beside new symbols and where a frequent pair is left.
+    It ends when no pair occurs ``min_count`` times."""
     import numpy as np
 
-    none, slots = np.iinfo(np.int32).max, 1 << 20
-    seq, last, rules, n_rules, low, turn = ids.astype(np.uint32), ends.copy(), [], 0, None, 0
-    while len(seq) > 1:
+    none, end = np.iinfo(np.int32).max, np.uint32(1 << 31)
+    seq, rules, n_rules, turn = ids | ends.astype(np.uint32) << np.uint32(31), [], 0, 0  # the top bit marks a document's end
+    some = np.flatnonzero(seq[:-1] < end)
+    while len(some):
         turn += 1
-        slot = seq[:-1] * np.uint32(0x9E3779B1 + 2 * turn) + seq[1:] * np.uint32(0x85EBCA77 - 4 * turn)
-        slot = (slot ^ (slot >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(12)
-        slot[last[:-1]] = slots
-        count = np.bincount(slot, minlength=slots + 1)
-        count[slots] = 0
-        most = int(count.max())
-        if most < min_count:
+        key = seq[some].astype(np.uint64) << np.uint64(32) | (seq[some + 1] & ~end)
+        order = np.sort(key)
+        head = np.flatnonzero(np.concatenate(([True], order[1:] != order[:-1])))
+        count = np.diff(np.append(head, len(order)))
+        often = np.flatnonzero(count >= min_count)
+        if not len(often):
             break
-        low = max(min_count, min(most // 16, most if low is None else low // 4))
-        often = places = np.flatnonzero((count >= low)[slot])
-        key, at = seq[often].astype(np.uint64) << np.uint64(32) | seq[often + 1], slot[often]
-        held = np.zeros(slots, np.uint64)
-        held[at] = key  # one pair for each slot; what else fell there is met again under another hash
-        same = held[at] == key
-        often, at = often[same], at[same]
-        count = np.bincount(at, minlength=slots)
-        order = np.flatnonzero(count >= low)
-        if not len(order):  # slots of several pairs, where a rarer one may hide a frequent one
-            if low > min_count:
-                continue
-            pairs, which, exact = np.unique(key, return_inverse=True, return_counts=True)
-            good = np.flatnonzero(exact >= min_count)[:slots]
-            if not len(good):
-                break
-            number = np.full(len(pairs), none, np.int64)
-            number[good] = np.arange(len(good))
-            same = number[which] < none
-            often, at = places[same], number[which[same]]
-            held[: len(good)], count = pairs[good], np.bincount(at, minlength=slots)
-            order = np.arange(len(good))
-        order = order[np.argsort(-count[order], kind="stable")]
-        rank = np.full(slots, none, np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
+        often = often[np.argsort(-count[often], kind="stable")]
+        pairs = order[head[often]]
+        bits = np.uint64(60 - max(16, len(pairs).bit_length() + 3))
+        # a table of the frequent pairs; of those in one slot the rarer ones wait for another hash
+        slot = lambda k: ((k ^ k >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15 + (turn << 20)) << np.uint64(4) >> np.uint64(4) >> bits).astype(np.int32)  # noqa: B023, E731
+        at, held, number = slot(pairs), np.zeros(1 << (60 - int(bits)), np.uint64), np.full(1 << (60 - int(bits)), none, np.int32)
+        held[at[::-1]], number[at[::-1]] = pairs[::-1], np.arange(len(pairs), dtype=np.int32)[::-1]
+        at = slot(key)
+        rank = number[at]
+        maybe = np.flatnonzero(rank < none)
+        left = np.zeros(len(seq), bool)
+        left[some[maybe]] = True
+        same = maybe[held[at[maybe]] == key[maybe]]
         place = np.full(len(seq) + 2, none, np.int32)  # shifted by one, with a border at either side
-        place[often + 1] = rank[at]
-        here = place[1:-1]
-        least = np.flatnonzero((here < none) & (here <= place[:-2]) & (here <= place[2:]))
+        here, there = some[same], rank[same]
+        place[here + 1] = there
+        lowest = (there <= place[here]) & (there <= place[here + 2])
+        least, there = here[lowest], there[lowest]
         lead = np.ones(len(least), bool)  # of a run such as aaaa every other place is taken
-        lead[1:] = (np.diff(least) > 1) | (here[least[1:]] != here[least[:-1]])
+        lead[1:] = (np.diff(least) > 1) | (there[1:] != there[:-1])
         step = np.arange(len(least))
-        take = least[(step - np.maximum.accumulate(np.where(lead, step, 0))) % 2 == 0]
-        used, rule = np.unique(here[take], return_inverse=True)
-        pairs = held[order[used]]
+        every = (step - np.maximum.accumulate(np.where(lead, step, 0))) % 2 == 0
+        take, there = least[every], there[every]
+        worth = np.bincount(there, minlength=len(pairs)) >= (min_count + 1) // 2
+        take, there = take[worth[there]], there[worth[there]]
+        pairs = pairs[worth]
         rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)), 1).astype(np.int64))
-        seq[take] = (base + n_rules + rule).astype(np.uint32)
-        n_rules += len(used)
-        last[take] = last[take + 1]
+        seq[take] = (base + n_rules + (np.cumsum(worth) - 1)[there]).astype(np.uint32) | (seq[take + 1] & end)
+        n_rules += len(pairs)
+        left[take] = True
+        left[np.maximum(take, 1) - 1] = True
         keep = np.ones(len(seq), bool)
         keep[take + 1] = False
-        seq, last = seq[keep], last[keep]
-    return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+        kept = np.flatnonzero(keep)
+        seq, left = seq[kept], left[kept]
+        some = np.flatnonzero(left[:-1] & (seq[:-1] < end))
+    return seq & ~end, seq >= end, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+
+
+def _generations(rules, base: int):
+    """Ranges of rules that name terminals and rules of earlier ranges only."""
+    import numpy as np
+
+    latest, i = np.maximum.accumulate(rules.max(axis=1)) if len(rules) else rules[:, 0], 0
+    while i < len(rules):
+        j = int(np.searchsorted(latest, base + i))
+        yield i, j
+        i = j
 
 
 def expansion_sizes(rules, base: int):
     """Ids that each rule expands to. A rule names earlier rules only."""
     import numpy as np
 
-    size: list[int] = []
-    for a, b in rules.tolist():
-        size.append((size[a - base] if a >= base else 1) + (size[b - base] if b >= base else 1))
-    return np.array(size, np.int64)
+    size = np.ones(base + len(rules), np.int64)
+    for i, j in _generations(rules, base):
+        size[base + i : base + j] = size[rules[i:j]].sum(axis=1)
+    return size[base:]
+
+
+def pack_bits(values, width: int):
+    """64-bit words that hold the values in ``width`` bits each; a word more at the end."""
+    import numpy as np
+
+    n = -(-len(values) // 64)
+    rows = np.zeros((n, 64), np.uint64)
+    rows.ravel()[: len(values)] = values
+    out = np.zeros((n, width + 1), np.uint64)
+    for j in range(64):
+        word, shift = divmod(j * width, 64)
+        out[:, word] |= rows[:, j] << np.uint64(shift)
+        if shift + width > 64:
+            out[:, word + 1] |= rows[:, j] >> np.uint64(64 - shift)
+    return np.append(out[:, :width].ravel(), np.uint64(0)).astype("<u8")
+
+
+def unpack_bits(words, width: int, first: int, stop: int):
+    """The values from place ``first`` up to ``stop``."""
+    import numpy as np
+
+    bit = np.arange(first, stop, dtype=np.uint64) * np.uint64(width)
+    word, shift = (bit >> np.uint64(6)).astype(np.int64), bit & np.uint64(63)
+    high = words[word + 1] << np.uint64(1) << (np.uint64(63) - shift)
+    return ((words[word] >> shift | high) & np.uint64((1 << width) - 1)).astype(np.int64)
 
 
 def pack_shard(doc_ids: list, ids: list, base: int, min_count: int = MIN_COUNT) -> bytes:
-    """A shard file: head, documents (id, its place in the sequence, its number of ids), rules with
-    expansion sizes, sequence. Little-endian; symbols take 2 bytes where they fit, else 4."""
+    """A shard file: head, documents (place in the sequence, number of ids), rules with expansion
+    sizes, sequence, names of the documents. Little-endian; symbols take as many bits as the last of them needs.
+    Names are 8-byte integers, or texts if any of them is one."""
     import numpy as np
 
     n = np.array([len(x) for x in ids], np.int64)
@@ -242,11 +316,17 @@ def pack_shard(doc_ids: list, ids: list, base: int, min_count: int = MIN_COUNT)
     seq, last, rules = repair(flat, ends, base, min_count)
     place = np.concatenate(([0], np.flatnonzero(last) + 1))
     size = expansion_sizes(rules, base)
-    kind = "<u2" if base + len(rules) <= 1 << 16 else "<u4"
+    width = max(1, (base + len(rules) - 1).bit_length())
     null = np.array([x is None for x in doc_ids], np.uint8)
-    numbers = np.array([0 if x is None else x for x in doc_ids], "<i8")
-    head = MAGIC + struct.pack("<QQQQB7x", len(doc_ids), base, len(rules), len(seq), int(kind[2]))
-    return b"".join([head, numbers.tobytes(), place.astype("<u8").tobytes(), n.astype("<u8").tobytes(), rules.astype("<u4").tobytes(), size.astype("<u4").tobytes(), seq.astype(kind).tobytes(), null.tobytes()])
+    texts = [b"" if x is None else str(x).encode() for x in doc_ids] if any(isinstance(x, str) for x in doc_ids) else None
+    longest = int(size.max(initial=1)).bit_length()
+    head = MAGIC + struct.pack("<QQQQBBB5x", len(doc_ids), base, len(rules), len(seq), width, longest, texts is not None)
+    parts = [place.astype("<u8"), n.astype("<u8"), pack_bits(rules.ravel(), width), pack_bits(size, longest), null]
+    if texts is None:
+        names = [np.array([0 if x is None else x for x in doc_ids], "<i8").tobytes()]
+    else:
+        names = [np.cumsum([0, *map(len, texts)]).astype("<u8").tobytes(), *texts]
+    return b"".join([head, pack_bits(seq, width).tobytes(), *[x.tobytes() for x in parts], *names])
 
 
 class Shard:
@@ -257,7 +337,7 @@ class Shard:
 
         if data[:8] != MAGIC:
             raise ValueError("not a shard file")
-        docs, self.base, n_rules, n_seq, width = struct.unpack("<QQQQB", data[8:41])
+        docs, self.base, n_rules, n_seq, self.width, longest, texts = struct.unpack("<QQQQBBB", data[8:43])
         at = 48
 
         def take(kind: str, n: int):
@@ -266,27 +346,41 @@ class Shard:
             at += out.nbytes
             return out
 
-        self.doc_ids, self.place, self.n_tokens = take("<i8", docs), take("<u8", docs + 1).astype(np.int64), take("<u8", docs).astype(np.int64)
-        rules = take("<u4", 2 * n_rules).reshape(-1, 2).astype(np.int64)
-        size = take("<u4", n_rules).astype(np.int64)
-        self.seq = take(f"<u{width}", n_seq)
-        self.null = take("u1", docs)
+        def packed(n: int, width: int):
+            return take("<u8", -(-n // 64) * width + 1)
+
+        self.n_seq, self.words = n_seq, packed(n_seq, self.width)
+        self.place, self.n_tokens = take("<u8", docs + 1).astype(np.int64), take("<u8", docs).astype(np.int64)
+        rules = unpack_bits(packed(2 * n_rules, self.width), self.width, 0, 2 * n_rules).reshape(-1, 2)
+        size = unpack_bits(packed(n_rules, longest), longest, 0, n_rules)
+        self.null = take("u1", docs).astype(bool)
+        if texts:
+            ends = take("<u8", docs + 1).tolist()
+            names = bytes(data[at : at + ends[-1]])
+            self.doc_ids = [None if x else names[a:b].decode() for x, a, b in zip(self.null, ends[:-1], ends[1:], strict=True)]
+        else:
+            self.doc_ids = [None if x else i for x, i in zip(self.null, take("<i8", docs).tolist(), strict=True)]
         # every symbol's expansion, terminals first: rules grow by doubling out of earlier ones
         self.size = np.concatenate((np.ones(self.base, np.int64), size))
         self.start = np.cumsum(self.size) - self.size
         flat = np.zeros(int(self.size.sum()), np.uint32)
         flat[: self.base] = np.arange(self.base)
-        for i, (a, b) in enumerate(rules.tolist(), self.base):
-            s, m = self.start[i], self.size[a]
-            flat[s : s + m] = flat[self.start[a] : self.start[a] + m]
-            flat[s + m : s + self.size[i]] = flat[self.start[b] : self.start[b] + self.size[b]]
+        for i, j in _generations(rules, self.base):
+            at = self.start[self.base + i]
+            part = gather(flat, self.start, self.size, rules[i:j].ravel())
+            flat[at : at + len(part)] = part
         self.flat = flat
 
+    @property
+    def seq(self):
+        """All symbols of the sequence."""
+        return unpack_bits(self.words, self.width, 0, self.n_seq)
+
     def document(self, i: int, first: int = 0, count: int | None = None):
         """Ids ``first`` to ``first + count`` of document ``i``."""
         import numpy as np
 
-        symbols = self.seq[self.place[i] : self.place[i + 1]].astype(np.int64)
+        symbols = unpack_bits(self.words, self.width, self.place[i], self.place[i + 1])
         if first or count is not None:
             ends = np.cumsum(self.size[symbols])
             stop = int(ends[-1]) if count is None else min(first + count, int(ends[-1]))
@@ -296,11 +390,22 @@ class Shard:
         return gather(self.flat, self.start, self.size, symbols)
 
 
-def write_shards(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_ids: int = SHARD_IDS, min_count: int = MIN_COUNT) -> DataFrame:
+def _id_type(df: DataFrame, id_col: str) -> str:
+    """Names are longs where the column is of whole numbers, else texts."""
+    return "long" if df.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long") else "string"
+
+
+def write_shards(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_ids: int = SHARD_IDS, min_count: int = MIN_COUNT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write documents in ascending order of their ids (null first, texts break ties) and return
-    the manifest: path, place (order of the files), n_tokens, n_docs. Null text is empty."""
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
-    ordered = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "_id").sortWithinPartitions("_id", "_t")
+    the manifest: path, place (order of the files), n_tokens, n_docs, n_symbols, n_bytes. Null text is empty.
+
+    Ids of any type but whole numbers are written as texts, in the order of their UTF-8 bytes. Tasks get about
+    ``shard_bytes`` of text each, however many shuffle partitions the session has, so that every
+    grammar has enough to learn from."""
+    kind = _id_type(docs, id_col)
+    rows = docs.select(F.col(id_col).cast(kind).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
+    total = rows.agg(F.sum(F.octet_length("_t").cast("long"))).first()[0] or 0
+    ordered = rows.repartitionByRange(max(1, round(total / shard_bytes)), "_id", F.substring("_t", 1, 32)).sortWithinPartitions("_id", "_t")
 
     def write(batches: Iterator) -> Iterator:
         import numpy as np
@@ -317,9 +422,11 @@ def write_shards(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id"
         def flush():
             nonlocal held_docs, held, n, seq
             uri = f"{folder}/shard-{task.partitionId():05d}-{seq:05d}-{task.taskAttemptId()}.tok"
+            data = pack_shard(held_docs, held, base, min_count)
             with AtomicWriter(uri) as out:
-                out.write(pack_shard(held_docs, held, base, min_count))
-            row = pa.RecordBatch.from_pydict({"path": [uri], "place": [task.partitionId() << 32 | seq], "n_tokens": [n], "n_docs": [len(held)]})
+                out.write(data)
+            symbols = struct.unpack("<Q", data[32:40])[0]
+            row = pa.RecordBatch.from_pydict({"path": [uri], "place": [task.partitionId() << 32 | seq], "n_tokens": [n], "n_docs": [len(held)], "n_symbols": [symbols], "n_bytes": [len(data)]})
             held_docs, held, n, seq = [], [], 0, seq + 1
             return row
 
@@ -336,11 +443,12 @@ def write_shards(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id"
         if held:
             yield flush()
 
-    return ordered.mapInArrow(write, "path string, place long, n_tokens long, n_docs long")
+    return ordered.mapInArrow(write, "path string, place long, n_tokens long, n_docs long, n_symbols long, n_bytes long")
 
 
-def read_shards(manifest: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of each document, from the files alone. The manifest has
+def read_shards(manifest: DataFrame, id_type: str = "long") -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of each document, from the files alone. ``id_type``: long, or
+    string where the ids were no whole numbers. The manifest has
     a row for each file, so its running sum is small beside the data."""
     total = F.sum("n_tokens").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
     files = manifest.select("path", F.coalesce(total, F.lit(0)).alias("start"))
@@ -354,11 +462,11 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 shard = Shard(read_bytes(uri))
                 crc = [zlib.crc32(shard.document(i).astype("<u4").tobytes()) for i in range(len(shard.doc_ids))]
                 starts = start + np.cumsum(shard.n_tokens) - shard.n_tokens
-                ids = pa.array(shard.doc_ids, pa.int64(), mask=shard.null.astype(bool))
+                ids = pa.array(shard.doc_ids, pa.int64() if id_type == "long" else pa.string())
                 yield pa.RecordBatch.from_arrays([ids, pa.array(starts), pa.array(shard.n_tokens), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = max(1, manifest.count())
-    return files.repartition(min(n, 10_000)).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(min(n, 10_000)).mapInArrow(read, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
 
 
 def default_tokenizer() -> str:
@@ -368,5 +476,6 @@ def default_tokenizer() -> str:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and crc32 of each document's token ids, from the shard files."""
     docs = table(spark, sf_dir, "documents")
     return read_shards(stage(write_shards(docs, shared_dir(spark, "tokens"), default_tokenizer()), "token-manifest"))
