@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsers as S
+from ..operators.joins import add_coordinates
 
 P = F.col
 
@@ -15,6 +16,9 @@ CARD_SCHEMA = f"{RACE}, off_time string, race_class string, distance string, dis
 RESULT_SCHEMA = f"{RACE}, off string, class string, dist string, dist_f string, winning_time_detail string, runners array<struct<{RUNNER}, position string, btn string, ovr_btn string, sp string, sp_dec string, time string, `or` string, tsr string, weight_lbs string>>, _corrupt_record string"
 
 
+COURSE_SCHEMA = "id string, course string, region_code string, region string, _corrupt_record string"
+
+
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON documents with a fixed schema; lines that don't parse are dropped with no race id."""
     return spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
@@ -24,6 +28,13 @@ def _ids(c: str):
     return F.nullif(F.trim(P(c)), F.lit(""))
 
 
+def course_rows(docs: DataFrame, coordinates: DataFrame) -> DataFrame:
+    """Course rows with coordinates by the name's key and the region; ``coordinates``: a small file of
+    name, region, latitude, longitude."""
+    rows = docs.where(_ids("id").isNotNull()).select(_ids("id").alias("id"), P("course").alias("name"), "region_code", "region", F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"))
+    return add_coordinates(rows, coordinates, [S.course_key(P("name")), F.upper("region")], [S.course_key(P("name")), F.upper("region")])
+
+
 def card_races(docs: DataFrame) -> DataFrame:
     """Race rows of pre-race documents."""
     return docs.where(_ids("race_id").isNotNull()).select(

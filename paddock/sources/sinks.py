@@ -18,14 +18,17 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], updated: str, ti
     return rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_new")
 
 
-def fill_missing(df: DataFrame, other: DataFrame, key: str, columns: Sequence[str], blank: bool = False) -> DataFrame:
-    """Fill null (with ``blank`` also empty) columns from another table's row of the same key."""
+def fill_missing(df: DataFrame, other: DataFrame, key: str, columns: Sequence[str], blank: bool = False, together: bool = False) -> DataFrame:
+    """Fill null (with ``blank`` also empty) columns from another table's row of the same key; with
+    ``together`` only in rows that lack all of them."""
     o = other.select(P(key).alias("_k"), *[P(c).alias(f"_o_{c}") for c in columns])
-    out = df.join(o, P(key) == P("_k"), "left")
+    have = {c: F.nullif(P(c), F.lit("")) if blank else P(c) for c in columns}
+    none = F.lit(True)
     for c in columns:
-        have = F.nullif(P(c), F.lit("")) if blank else P(c)
-        out = out.withColumn(c, F.coalesce(have, f"_o_{c}"))
-    return out.select(*df.columns)
+        none &= have[c].isNull()
+    filled = {c: F.when(none, P(f"_o_{c}")).otherwise(P(c)) if together else F.coalesce(have[c], f"_o_{c}") for c in columns}
+    out = df.join(o, P(key) == P("_k"), "left")
+    return out.select(*[filled[c].alias(c) if c in columns else P(c) for c in df.columns])
 
 
 def keep_since(df: DataFrame, date: str, as_of: Column, days: int) -> DataFrame:

@@ -96,3 +96,19 @@ def test_the_last_week_is_read_again(spark):
     old = spark.createDataFrame([(1, day, "x"), (2, day - datetime.timedelta(30), "x")], "id int, day date, v string")
     again = spark.createDataFrame([(1, day, "y"), (2, day - datetime.timedelta(30), "y"), (3, day, "y")], "id int, day date, v string")
     assert sorted((r.id, r.v) for r in sinks.reconcile_recent(old, again, ["id"], "day", day).collect()) == [(1, "y"), (2, "x"), (3, "y")]
+
+
+def test_course_documents_get_coordinates(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"id": "c1", "course": "Dundalk-AW", "region_code": "ire", "region": "Eire"}\n{"id": " ", "course": "x"}\n{"id": "c2", "course": "Nowhere", "region": "Eire"}\n{"id"')
+    file = spark.createDataFrame([("Dundalk", "EIRE", 54.0, -6.4)], "name string, region string, latitude double, longitude double")
+    got = documents.course_rows(documents.read_documents(spark, str(tmp_path), documents.COURSE_SCHEMA), file).collect()
+    assert sorted((r.id, r.name, r.latitude) for r in got) == [("c1", "Dundalk-AW", 54.0), ("c2", "Nowhere", None)]
+
+
+def test_columns_are_filled_alone_or_together(spark):
+    rows = spark.createDataFrame([(1, None, "", "x"), (2, "a", None, "y"), (3, "", None, "z")], "k int, a string, b string, other string")
+    other = spark.createDataFrame([(i, "A", "B") for i in (1, 2, 3)], "k int, a string, b string")
+    get = lambda **x: sorted(map(tuple, sinks.fill_missing(rows, other, "k", ["a", "b"], **x).collect()))
+    assert get() == [(1, "A", "", "x"), (2, "a", "B", "y"), (3, "", "B", "z")]
+    assert get(blank=True) == [(1, "A", "B", "x"), (2, "a", "B", "y"), (3, "A", "B", "z")]
+    assert get(blank=True, together=True) == [(1, "A", "B", "x"), (2, "a", None, "y"), (3, "A", "B", "z")]
