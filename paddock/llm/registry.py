@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, exact_dedup, language_model, line_dedup, near_dedup, quality, token_files, toxicity, warc
+from . import bpe, decontam, exact_dedup, language_model, line_dedup, near_dedup, periodic, quality, token_files, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_token_files": token_files.op9_token_files,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 SQL = {
     "op1_decontaminate": decontam.SQL,
