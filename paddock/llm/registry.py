@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, exact_dedup, language_model, line_dedup, near_dedup, periodic, quality, token_files, toxicity, warc
+from . import bpe, decontam, exact_dedup, language_model, license_scan, line_dedup, near_dedup, periodic, quality, token_files, toxicity, vector_codes, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_token_files": token_files.op9_token_files,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_license_scan": license_scan.op12_license_scan,
     "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 SQL = {
@@ -22,4 +24,6 @@ SQL = {
     "op2_line_dedup": line_dedup.SQL,
     "op8_warc": warc.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op11_vector_codes": vector_codes.SQL,
+    "op12_license_scan": license_scan.SQL,
 }
