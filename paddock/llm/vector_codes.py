@@ -24,7 +24,7 @@ PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 LEAF, GROUP = 16, 16
 #: Vectors of a block, and components of a block, at most.
 BLOCK_ROWS, BLOCK_VALUES = 4_096, 1 << 19
-#: Nodes that are left with so many groups of entries are compared with single entries.
+#: So many of the nearest groups are looked into for single entries.
 FEW_GROUPS = 2
 #: Labels whose errors are broadcast at most.
 MAX_LABELS = 200_000
@@ -79,7 +79,10 @@ class Codebook:
 
     def __init__(self, entries: np.ndarray):
         self.entries = entries
-        self.tree = Tree(entries, tree_order(entries, 1), 1)
+        # of equal entries only the first one ever wins
+        first = np.sort(np.unique(entries, axis=0, return_index=True)[1]) if entries.shape[1] else np.zeros(1, np.int64)
+        self.tree = Tree(entries[first], tree_order(entries[first], 1), 1)
+        self.tree.order = first[self.tree.order]
         depth = len(self.tree.levels) - 1
         self.group_level = max(0, depth - GROUP.bit_length() + 1)
         #: Numbers of the entries of each group, ascending, so that the first of equal ones is the smallest.
@@ -87,21 +90,16 @@ class Codebook:
         self.squares = (entries * entries).sum(1)
 
 
-def _near(node: np.ndarray, other: np.ndarray, a: tuple, b: tuple) -> np.ndarray:
-    """Pairs of ``node`` and ``other`` that no other pair of the same node rules out."""
-    low, high = box_distances((a[0][node], a[1][node]), (b[0][other], b[1][other]))
-    best = np.full(len(a[0]), np.iinfo(np.int64).max if high.dtype == np.int64 else np.inf, high.dtype)
-    np.minimum.at(best, node, high)
-    return low <= best[node]
-
-
 def walk(tree: Tree, book: Codebook) -> tuple[list[tuple[int, np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-    """(whole nodes as (level, nodes, their entries), leaves, groups of entries each may still have)."""
+    """(whole nodes as (level, nodes, their entries), leaves, groups of entries each may still have).
+
+    A pair of a node and a group of entries is left if no other pair rules it out: the bound is the
+    smallest of the largest distances to a group and to the single entries of the nearest groups."""
     entry_levels = book.tree.levels
     depth = len(entry_levels) - 1
     node, other, at = np.zeros(1, np.int64), np.zeros(1, np.int64), 0
     whole = []
-    for level, boxes in enumerate(tree.levels):
+    for level, (lows, highs, _, _) in enumerate(tree.levels):
         if level:
             node, other = np.repeat(node * 2, 2), np.repeat(other, 2)
             node[1::2] += 1
@@ -109,20 +107,30 @@ def walk(tree: Tree, book: Codebook) -> tuple[list[tuple[int, np.ndarray, np.nda
             node, other = np.repeat(node, 2), np.repeat(other * 2, 2)
             other[1::2] += 1
             at += 1
-        keep = _near(node, other, boxes, entry_levels[at])
+        near, far = box_distances((lows[node], highs[node]), (entry_levels[at][0][other], entry_levels[at][1][other]))
+        best = np.full(len(lows), np.iinfo(np.int64).max if far.dtype == np.int64 else np.inf, far.dtype)
+        np.minimum.at(best, node, far)
+        if at < book.group_level:
+            keep = near <= best[node]
+            node, other = node[keep], other[keep]
+            continue
+        order = np.lexsort((near, node))
+        first = np.concatenate(([True], node[order][1:] != node[order][:-1]))
+        place = np.arange(len(order))
+        picked = order[place - np.maximum.accumulate(np.where(first, place, 0)) < FEW_GROUPS]
+        size = 1 << (depth - at)
+        single = (other[picked, None] * size + np.arange(size)).ravel()
+        of = np.repeat(node[picked], size)
+        single_near, single_far = box_distances((lows[of], highs[of]), (entry_levels[depth][0][single], entry_levels[depth][1][single]))
+        np.minimum.at(best, of, single_far)
+        keep = near <= best[node]
+        decided = np.bincount(node[keep], minlength=len(lows)) == np.bincount(node[picked[keep[picked]]], minlength=len(lows))
+        left = (single_near <= best[of]) & decided[of]
+        alone = np.bincount(of[left], minlength=len(lows)) == 1
+        done = left & alone[of]
+        whole.append((level, of[done], book.tree.order[single[done]]))
+        keep &= ~alone[node]
         node, other = node[keep], other[keep]
-        if at == book.group_level:
-            few = np.bincount(node, minlength=len(boxes[0]))[node] <= FEW_GROUPS
-            size = 1 << (depth - at)
-            single = (other[few, None] * size + np.arange(size)).ravel()
-            of = np.repeat(node[few], size)
-            near = _near(of, single, boxes, entry_levels[depth])
-            of, single = of[near], single[near]
-            alone = np.bincount(of, minlength=len(boxes[0])) == 1
-            done = alone[of]
-            whole.append((level, of[done], book.tree.order[single[done]]))
-            left = ~alone[node]
-            node, other = node[left], other[left]
     return whole, node, other
 
 
