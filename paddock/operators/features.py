@@ -48,21 +48,29 @@ def runner_statistics(runs: DataFrame, as_of: Column, min_runs: int = 1) -> Data
     return wide.withColumns({"career_win_percent": rate(P("career_wins"), P("career_runs")), "career_place_percent": rate(P("career_places"), P("career_runs"))})
 
 
-def history_lists(runs: DataFrame, short: int = 5, long: int = 10) -> DataFrame:
-    """For each horse and race day the last runs of earlier days, latest first, and the form score.
-
-    Days are collected first: the ``long`` days before one hold as many runs at least."""
-    one = F.struct("race_date", "race_id", "position", "course_id", "distance_f", "race_class")
-    days = runs.groupBy("horse_id", "race_date").agg(F.collect_list(one).alias("day"))
+def with_history(runs: DataFrame, short: int = 5, long: int = 10) -> DataFrame:
+    """``runs`` with the horse's last runs of earlier days, latest first, and the form score.
+
+    The runs of a day are gathered, carried through a window over the horse's days and dealt out again, so that no
+    join is needed: the ``long`` days before one hold as many runs at least. Runs without a date are no history."""
+    keys = ("horse_id", "race_date")
+    days = runs.groupBy(*keys).agg(F.collect_list(F.struct(*[c for c in runs.columns if c not in keys])).alias("_day"))
+    listed = F.transform("_day", lambda x: F.struct(P("race_date").alias("race_date"), *[x[c].alias(c) for c in ("race_id", "position", "course_id", "distance_f", "race_class")]))
     before = Window.partitionBy("horse_id").orderBy("race_date").rowsBetween(-long, -1)
-    days = days.withColumn("history", F.slice(F.sort_array(F.flatten(F.collect_list("day").over(before)), asc=False), 1, long))
-    recent = F.slice("history", 1, short)
+    earlier = F.collect_list(F.when(P("race_date").isNotNull(), listed)).over(before)
+    days = days.withColumn("_history", F.slice(F.sort_array(F.flatten(earlier), asc=False), 1, long))
+    recent = F.slice("_history", 1, short)
     shown = lambda rows, c: F.array_join(F.transform(rows, lambda x: x[c].cast("string")), ",", "-")
     tenths = F.array(*[F.lit(int(w * 10)) for w in FORM_WEIGHTS.values()])
     points = F.transform(recent, lambda x, i: form_points(x["position"]) * F.get(tenths, i))
-    score = F.when(F.size("history") > 0, F.round(F.aggregate(points, F.lit(0), lambda a, b: a + b) * 10.0 / (sum(FORM_WEIGHTS.values()) * 10), 2))
+    score = F.when(F.size("_history") > 0, F.round(F.aggregate(points, F.lit(0), lambda a, b: a + b) * 10.0 / (sum(FORM_WEIGHTS.values()) * 10), 2))
     texts = {f"last_5_{name}": shown(recent, c) for name, c in (("positions", "position"), ("dates", "race_date"), ("courses", "course_id"), ("distances", "distance_f"), ("classes", "race_class"))}
-    return days.select("horse_id", "race_date", *[v.alias(k) for k, v in texts.items()], shown(P("history"), "position").alias("last_10_positions"), score.alias("recent_form_score"))
+    texts |= {"last_10_positions": shown(P("_history"), "position"), "recent_form_score": score}
+    return days.select(*keys, *[v.alias(k) for k, v in texts.items()], "_day").select(*keys, *texts, F.inline("_day"))
+
+
+#: Columns that ``with_history`` adds.
+HISTORY = (*(f"last_5_{k}" for k in ("positions", "dates", "courses", "distances", "classes")), "last_10_positions", "recent_form_score")
 
 
 def feature_rows(runs: DataFrame, tolerance: float = 0.1, keep: Sequence[str] = ("race_date", "course_id", "region", "distance_f", "surface", "going", "race_class", "jockey_id", "trainer_id", "owner_id")) -> DataFrame:
@@ -72,7 +80,7 @@ def feature_rows(runs: DataFrame, tolerance: float = 0.1, keep: Sequence[str] =
 
     For the distance a run is counted under each distance of its horse that is within
     ``tolerance``, a few rows instead of pairs of runs."""
-    rows = runs.repartition("horse_id")
+    rows = with_history(runs.repartition("horse_id"))
     before = lambda *keys: Window.partitionBy("horse_id", *keys).orderBy(F.unix_date("race_date")).rangeBetween(Window.unboundedPreceding, -1)
     p, w = P("position"), before()
     out = {"total_races": F.count(F.lit(1)).over(w), "total_wins": F.count_if(p == 1).over(w), "total_seconds": F.count_if(p == 2).over(w), "total_thirds": F.count_if(p == 3).over(w), "avg_finish_position": F.round(F.avg(p).over(w), 2), "days_since_last_run": F.datediff(P("race_date"), F.max("race_date").over(w))}
@@ -82,7 +90,7 @@ def feature_rows(runs: DataFrame, tolerance: float = 0.1, keep: Sequence[str] =
     for name, keys in RELATIONS.items():
         out |= {f"{name}_runs": F.count(F.lit(1)).over(before(*keys)), f"{name}_wins": F.count_if(p == 1).over(before(*keys))}
     distances = F.collect_set("distance_f").over(Window.partitionBy("horse_id"))
-    wide = rows.select("race_id", "horse_id", "position", *keep, *[v.alias(k) for k, v in out.items()], distances.alias("_all"))
+    wide = rows.select("race_id", "horse_id", "position", *keep, *HISTORY, *[v.alias(k) for k, v in out.items()], distances.alias("_all"))
     near = F.filter("_all", lambda g: P("distance_f").between(g * (1 - tolerance), g * (1 + tolerance)))
     wide = wide.withColumn("_g", F.explode(F.array_union(near, F.array("distance_f")))).drop("_all")
     same = before("_g")
@@ -92,7 +100,7 @@ def feature_rows(runs: DataFrame, tolerance: float = 0.1, keep: Sequence[str] =
     wide = wide.withColumn("total_places", P("total_wins") + P("total_seconds") + P("total_thirds"))
     rates = {f"{n}_win_rate": rate(P(f"{n}_wins"), P(f"{n}_runs")) for n in (*HISTORY_CONTEXTS, "distance", *RELATIONS)}
     rates |= {"win_rate": rate(P("total_wins"), P("total_races")), "place_rate": rate(P("total_places"), P("total_races")), "has_form": P("total_races") > 0}
-    return wide.withColumns(rates).join(history_lists(rows), ["horse_id", "race_date"])
+    return wide.withColumns(rates)
 
 
 def feature_health(features: DataFrame, as_of: Column, keys: Sequence[str] = ("race_id", "horse_id", "jockey_id", "trainer_id")) -> DataFrame:

@@ -100,17 +100,17 @@ def _profile_sql(relation: str) -> str:
     )
 
 
-def _careers(v: Views) -> DataFrame:
-    return G.own_career(v.runs).withColumnRenamed("avg_position", "own_avg_position")
-
-
 for relation in ("sire", "dam", "damsire"):
-    query(f"profile_{relation}", _profile_sql(relation))(lambda v, r=relation: B.ancestor_profiles(v.lineage.where(P("relation") == r), _careers(v)))
+    query(f"profile_{relation}", _profile_sql(relation))(lambda v, r=relation: B.ancestor_profiles(B.horse_careers(v.runs), v.horses, f"{r}_id"))
     key = f"{relation}_id"
     query(
         f"all_progeny_{relation}",
         f"SELECT {key}, count(*) AS progeny, count(r) AS runners, coalesce(sum(r), 0)::BIGINT AS runs, coalesce(sum(w), 0)::BIGINT AS wins, coalesce(sum(pl), 0)::BIGINT AS places, round(sum(s)::DOUBLE / sum(f), 2) AS avg_position, CASE WHEN sum(r) > 0 THEN round(100.0::DOUBLE * sum(w) / sum(r), 2) END AS win_rate, CASE WHEN sum(r) > 0 THEN round(100.0::DOUBLE * sum(pl) / sum(r), 2) END AS place_rate FROM horses LEFT JOIN (SELECT horse_id, count(*) AS r, count(*) FILTER (WHERE position = 1) AS w, count(*) FILTER (WHERE position <= 3) AS pl, sum(position) AS s, count(position) AS f FROM runs GROUP BY 1) USING (horse_id) GROUP BY {key}",
     )(lambda v, k=key: B.all_progeny(v.horses, v.runs, k))
+query(
+    "career_and_progeny",
+    "SELECT h.horse_id, coalesce(o.r, 0) AS own_runs, coalesce(o.w, 0) AS own_wins, coalesce(o.p, 0) AS own_places, o.a AS own_avg_position, coalesce(k.progeny, 0) AS progeny, coalesce(k.runners, 0) AS progeny_runners, coalesce(k.runs, 0)::BIGINT AS progeny_runs, coalesce(k.wins, 0)::BIGINT AS progeny_wins, coalesce(k.places, 0)::BIGINT AS progeny_places, k.a AS progeny_avg_position FROM horses h LEFT JOIN (SELECT horse_id, count(*) AS r, count(*) FILTER (WHERE position = 1) AS w, count(*) FILTER (WHERE position <= 3) AS p, round(avg(position), 2) AS a FROM runs GROUP BY 1) o ON o.horse_id = h.horse_id LEFT JOIN (SELECT damsire_id, count(*) AS progeny, count(r) AS runners, sum(r) AS runs, sum(w) AS wins, sum(p) AS places, round(sum(s)::DOUBLE / sum(f), 2) AS a FROM horses LEFT JOIN (SELECT horse_id, count(*) AS r, count(*) FILTER (WHERE position = 1) AS w, count(*) FILTER (WHERE position <= 3) AS p, sum(position) AS s, count(position) AS f FROM runs GROUP BY 1) USING (horse_id) GROUP BY 1) k ON k.damsire_id = CAST(h.horse_id AS VARCHAR)",
+)(lambda v: B.career_and_progeny(B.horse_careers(v.runs), v.horses, B.all_progeny(v.horses, v.runs, "damsire_id"), "damsire_id"))
 query("top_ancestors", "SELECT relation, ancestor_id, wins FROM (SELECT *, row_number() OVER (PARTITION BY relation ORDER BY wins DESC, ancestor_id) AS r FROM (SELECT relation, ancestor_id, count(*) FILTER (WHERE position = 1) AS wins FROM lineage GROUP BY ALL)) WHERE r <= 5")(
     lambda v: W.top_by(v.lineage.groupBy("relation", "ancestor_id").agg(F.count_if(P("position") == 1).alias("wins")), ["relation"], [F.desc("wins"), P("ancestor_id")], 5)
 )
@@ -125,7 +125,7 @@ query("best_sires_by_rate", "SELECT ancestor_id, runs, win_rate FROM (SELECT anc
     lambda v: G.progeny_stats(v.lineage.where("relation = 'sire'")).where("runs >= 100").select("ancestor_id", "runs", "win_rate").orderBy(F.desc("win_rate"), "ancestor_id").limit(10)
 )
 query("good_on_track_and_as_producers", "SELECT ancestor_id, own_wins, wins FROM (SELECT ancestor_id, count(*) FILTER (WHERE position = 1) AS wins FROM lineage WHERE relation = 'damsire' GROUP BY 1) JOIN (SELECT CAST(horse_id AS VARCHAR) AS ancestor_id, count(*) FILTER (WHERE position = 1) AS own_wins FROM runs GROUP BY 1) USING (ancestor_id) WHERE own_wins > 0 AND wins > 0")(
-    lambda v: B.ancestor_profiles(v.lineage.where("relation = 'damsire'"), _careers(v)).where("own_wins > 0 and wins > 0").select("ancestor_id", "own_wins", "wins")
+    lambda v: B.ancestor_profiles(B.horse_careers(v.runs), v.horses, "damsire_id").where("own_wins > 0 and wins > 0").select("ancestor_id", "own_wins", "wins")
 )
 
 # -- performance ----------------------------------------------------------------------------------

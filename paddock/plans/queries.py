@@ -12,7 +12,7 @@ from ..operators import quality as Q
 from ..operators import windows as W
 from ..sources import sinks
 from ..streaming import live
-from . import feature_queries  # noqa: F401 - registers its queries
+from . import feature_queries, pedigree_queries  # noqa: F401 - they register their queries
 from .register import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -150,12 +150,6 @@ query("popular_sire_runners", "WITH top AS (SELECT ancestor_id FROM lineage WHER
     lambda v: v.lineage.where("relation = 'sire'").join(v.lineage.where("relation = 'sire'").groupBy("ancestor_id").agg(F.countDistinct("horse_id").alias("n")).orderBy(F.desc("n"), "ancestor_id").limit(1), "ancestor_id", "left_semi")
     .select("race_id", "horse_id", "race_date").orderBy(F.desc("race_date"), "race_id", "horse_id").limit(10)
 )
-query("inbred_runners", "SELECT a.race_id, a.horse_id, a.ancestor_id FROM lineage a JOIN lineage b ON a.race_id = b.race_id AND a.horse_id = b.horse_id AND a.ancestor_id = b.ancestor_id WHERE a.relation = 'sire' AND b.relation = 'damsire'")(
-    lambda v: G.inbred(v.lineage)
-)
-query("inbred_runners_lineage", "SELECT a.race_id, a.horse_id, a.ancestor_id FROM lineage a JOIN lineage b ON a.race_id = b.race_id AND a.horse_id = b.horse_id AND a.ancestor_id = b.ancestor_id WHERE a.relation = 'sire' AND b.relation = 'damsire'")(
-    lambda v: G.inbred(v.lineage)
-)
 query("descendants_of", "SELECT DISTINCT ancestor_id, horse_id, relation FROM lineage WHERE relation LIKE '%sire%'")(lambda v: G.descendants(v.lineage))
 
 # -- joins and sets -------------------------------------------------------------------------------

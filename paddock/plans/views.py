@@ -74,7 +74,21 @@ class Views:
     def lineage(self) -> DataFrame:
         from ..operators.pedigree import lineage
 
-        return lineage(self.runs.join(self.horses, "horse_id"))
+        return lineage(self.runs.join(self.horses, "horse_id"), unique=True)
+
+    @cached_property
+    def parents(self) -> DataFrame:
+        """Horses whose parents are horses of the table: sires by size, dams by halving the number, so
+        that lines meet again after some generations."""
+        k = F.col("p_partkey")
+        sire = F.when(k >= 64, F.col("p_size").cast("long")).when(k >= 4, F.expr("p_partkey div 4"))
+        return self.table("part").select(k.alias("horse_id"), sire.alias("sire_id"), F.when(k >= 8, F.expr("p_partkey div 2")).alias("dam_id"))
+
+    @cached_property
+    def ancestry(self) -> DataFrame:
+        from ..operators.pedigree import ancestry
+
+        return ancestry(self.parents)
 
 
 SQL = """races AS (
@@ -104,3 +118,13 @@ lineage AS (
   UNION ALL SELECT race_id, horse_id, 1, 'dam', dam_id, position, prize_won, race_date, race_class, surface, distance_f FROM runs JOIN horses USING (horse_id)
   UNION ALL SELECT race_id, horse_id, 2, 'damsire', damsire_id, position, prize_won, race_date, race_class, surface, distance_f FROM runs JOIN horses USING (horse_id))
 """
+#: Recursive, so it stands apart: put it before the other views and begin with WITH RECURSIVE.
+ANCESTRY_SQL = """parents AS (
+  SELECT p_partkey AS horse_id, CASE WHEN p_partkey >= 64 THEN p_size::BIGINT WHEN p_partkey >= 4 THEN p_partkey // 4 END AS sire_id, CASE WHEN p_partkey >= 8 THEN p_partkey // 2 END AS dam_id FROM part),
+steps AS (
+  SELECT * FROM (SELECT horse_id AS child, 'sire' AS step, sire_id AS parent FROM parents UNION ALL SELECT horse_id, 'dam', dam_id FROM parents) WHERE parent <> child),
+chains AS (
+  SELECT child AS horse_id, parent AS ancestor_id, 1 AS generation, step AS path, [child, parent] AS chain FROM steps
+  UNION ALL SELECT horse_id, parent, generation + 1, path || '.' || step, list_append(chain, parent) FROM chains JOIN steps ON ancestor_id = child
+  WHERE generation < 4 AND NOT list_contains(chain, parent)),
+ancestry AS (SELECT horse_id, ancestor_id, generation, path FROM chains)"""

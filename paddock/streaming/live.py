@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import upsert
+from ..sources.keyed_table import KeyedTable
 
 P = F.col
 
@@ -17,42 +16,25 @@ def stream_files(spark: SparkSession, path: str, schema, files_per_trigger: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def _versions(spark: SparkSession, target: str) -> list[int]:
-    try:
-        return sorted(r[0] for r in spark.read.parquet(target).select("version").distinct().collect())  # the last few
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
-        return []
-
-
-def live_upsert(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], updated: str):
-    """Merge every micro-batch into a table of versions below ``target``: each batch writes a new version
-    and readers take the highest, so a repeated batch rewrites the same version. Late rows replace
-    earlier ones if their time is later. With a new checkpoint the versions go on after those that the
-    target has; where they began is kept beside the checkpoint."""
-    spark = stream.sparkSession
-    begins = f"{checkpoint.rstrip('/')}-first-version"
-    try:
-        first = spark.read.json(begins).first()["first"]
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        first = max(_versions(spark, target), default=-1) + 1
-        spark.createDataFrame([(first,)], "first long").write.json(begins)
+def live_upsert(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], updated: str, compact_after: int = 8):
+    """Merge every micro-batch into the keyed table ``target``, which then holds the batch's rows as one more layer of
+    files. Late rows replace earlier ones if their time is later. A batch that is repeated after a failure is
+    known by the checkpoint's path and its number and merged once; with a new checkpoint the table goes on. Every
+    ``compact_after`` batches the buckets with most layers are folded."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        version = first + number
-        known = [v for v in _versions(batch.sparkSession, target) if v < version]
-        old = batch.sparkSession.read.parquet(f"{target}/version={known[-1]}") if known else batch.limit(0)
-        upsert(old, batch, keys, updated).write.mode("overwrite").parquet(f"{target}/version={version}")
+        table = KeyedTable(batch.sparkSession, target, keys, updated)
+        table.apply(batch, f"{checkpoint}#{number}")
+        if (number + 1) % compact_after == 0:
+            table.compact()
+            table.vacuum()
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest_version(spark: SparkSession, target: str) -> DataFrame:
-    """The highest version of a table that live_upsert writes."""
-    return spark.read.parquet(f"{target}/version={_versions(spark, target)[-1]}")
+    """The table that live_upsert keeps, as it is now."""
+    return KeyedTable(spark, target).read()
 
 
 def enrich_new(stream: DataFrame, known: str, checkpoint: str, key: str):
