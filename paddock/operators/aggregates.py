@@ -111,6 +111,30 @@ def completeness(counts: DataFrame, expected: int) -> DataFrame:
     return counts.select("year", "n", share.alias("percent"), F.when(share >= 90, "complete").when(share >= 50, "partial").otherwise("missing").alias("status"))
 
 
+def entity_view(dimension: DataFrame, runs: DataFrame, key: str, as_of: Column) -> DataFrame:
+    """Every row of ``dimension`` with lifetime counts and rates, recent form and last dates of its entity; counts and rates are zero where
+    there are no runs, dates are null. Lifetimes count all runs, recent form finished ones."""
+    stats = lifetime(runs, key).drop("seconds", "thirds").join(last_activity(runs, key, as_of).select(key, "last_run", "last_win"), key)
+    form = recent_form(runs, key, as_of).drop("win_rate_14d", "win_rate_30d")
+    out = dimension.join(stats, key, "left").join(form, key, "left")
+    return out.na.fill(0, [c for c in (*stats.columns, *form.columns) if c not in (key, "last_run", "last_win")])
+
+
+def arrival(runs: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """Races of the last ``days``: runners, results and whether all have come."""
+    recent = runs.where(P("race_date") >= F.date_sub(as_of, days))
+    return recent.groupBy("race_id", "race_date").agg(F.count(F.lit(1)).alias("runners"), F.count("position").alias("results"), (F.count("position") == F.count(F.lit(1))).alias("complete"))
+
+
+def table_coverage(tables: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+    """table_name, n, first_day, last_day of each table (name, rows, date column)."""
+    out = None
+    for name, df, date in tables:
+        row = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.to_date(F.min(date)).alias("first_day"), F.to_date(F.max(date)).alias("last_day"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def update_dimension(dim: DataFrame, stats: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Dimension rows with new statistics where there are some, else what they had."""
     new = stats.select(key, *[P(c).alias(f"_new_{c}") for c in columns])

@@ -7,21 +7,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .aggregates import outcome_counts, with_rates
+from ..functions.parsers import rate
 from .joins import match_names
 
 P = F.col
-#: Bookmakers and their kinds.
-BOOKMAKERS = {
-    "online": ("bet365", "william_hill", "ladbrokes", "coral", "paddy_power", "betfair_sportsbook", "skybet", "betvictor", "betfred", "888sport", "unibet", "betway", "boylesports"),
-    "exchange": ("betfair", "betdaq", "matchbook", "smarkets"),
-    "spread": ("spreadex", "sporting_index"),
-}
+#: Bookmakers with their names and kinds.
+BOOKMAKERS = (
+    ("bet365", "Bet365", "online"),
+    ("william_hill", "William Hill", "online"),
+    ("ladbrokes", "Ladbrokes", "online"),
+    ("coral", "Coral", "online"),
+    ("paddy_power", "Paddy Power", "online"),
+    ("betfair", "Betfair", "exchange"),
+    ("betfair_sportsbook", "Betfair Sportsbook", "online"),
+    ("skybet", "Sky Bet", "online"),
+    ("betvictor", "BetVictor", "online"),
+    ("betfred", "Betfred", "online"),
+    ("888sport", "888sport", "online"),
+    ("unibet", "Unibet", "online"),
+    ("betway", "Betway", "online"),
+    ("boylesports", "BoyleSports", "online"),
+    ("betdaq", "Betdaq", "exchange"),
+    ("matchbook", "Matchbook", "exchange"),
+    ("smarkets", "Smarkets", "exchange"),
+    ("spreadex", "Spreadex", "spread"),
+    ("sporting_index", "Sporting Index", "spread"),
+)
 
 
 def bookmakers(spark: SparkSession) -> DataFrame:
-    """id, kind of each bookmaker: 19 rows, to be broadcast."""
-    return spark.createDataFrame([(name, kind) for kind, names in BOOKMAKERS.items() for name in names], "id string, kind string")
+    """code, name, type, is_active of each bookmaker: 19 rows, to be broadcast."""
+    rows = spark.createDataFrame([(code, name, kind) for code, name, kind in BOOKMAKERS], "code string, name string, type string")
+    return rows.withColumn("is_active", F.lit(True))
+
+
+def regions(courses: DataFrame, code: str = "region_code", name: str = "region") -> DataFrame:
+    """code, name of the regions that courses name, one row a code: the largest of several names. Courses that lack
+    one of the two say nothing."""
+    known = courses.where((F.coalesce(code, F.lit("")) != "") & (F.coalesce(name, F.lit("")) != ""))
+    return known.groupBy(P(code).alias("code")).agg(F.max(name).alias("name"))
 
 
 def extract_entities(runs: DataFrame, kinds: dict[str, tuple[str, str]], order: Sequence[str] = ("race_date", "race_id", "horse_id")) -> DataFrame:
@@ -87,12 +111,24 @@ def match_places(places: DataFrame, file: DataFrame, id_col: str = "id", name_co
     return out.select(*places.columns, F.when(~missing, found["latitude"]).alias("latitude"), F.when(~missing, found["longitude"]).alias("longitude"), reason.alias("reason"))
 
 
-def entity_from_documents(documents: DataFrame, array: str, id_col: str, race: str = "race_id") -> DataFrame:
-    """Outcomes of each entity out of documents that nest their runners: the entity's own runner of
-    each race, the best placed if there are several, counts once."""
-    rows = documents.select(race, F.explode(array).alias("x")).select(race, P(f"x.{id_col}").alias(id_col), P("x.position").alias("position")).where(P(id_col).isNotNull())
-    one = rows.groupBy(id_col, race).agg(F.min("position").alias("position"))
-    return with_rates(one.groupBy(id_col).agg(*outcome_counts()))
+#: Texts of a position that mean a win.
+WON = ("1", "WON")
+
+
+def entity_from_documents(documents: DataFrame, array: str, id_col: str, as_of: Column, date: str = "race_date", days: Sequence[int] = (14, 30)) -> DataFrame:
+    """Record of each entity out of documents that nest their runners: runs, wins, last run and last win with the days since, and runs,
+    wins and win rate of the last ``days``. The entity's first own runner of a race's array is the one that counts.
+
+    A position wins if it is, as text without blanks around it, 1 or WON. The first runner is found
+    within the array, so that one shuffle by entity is all there is."""
+    own = lambda x: x[id_col]
+    first = F.filter(array, lambda x, i: own(x).isNotNull() & ~F.exists(F.slice(array, F.lit(1), i), lambda y: own(y) == own(x)))
+    rows = documents.select(P(date), F.explode(first).alias("x")).select(P(f"x.{id_col}").alias(id_col), P(date).alias("_d"), F.coalesce(F.trim(P("x.position").cast("string")).isin(*WON), F.lit(False)).alias("_won"))
+    inside = {d: P("_d") >= F.date_sub(as_of, d) for d in days}
+    recent = [x for d, c in inside.items() for x in (F.count_if(c).alias(f"runs_{d}d"), F.count_if(c & P("_won")).alias(f"wins_{d}d"))]
+    out = rows.groupBy(id_col).agg(F.count(F.lit(1)).alias("runs"), F.count_if("_won").alias("wins"), F.max("_d").alias("last_run"), F.max(F.when(P("_won"), P("_d"))).alias("last_win"), *recent)
+    since = {"days_since_run": F.datediff(as_of, "last_run"), "days_since_win": F.datediff(as_of, "last_win")}
+    return out.withColumns(since | {f"win_rate_{d}d": rate(P(f"wins_{d}d"), P(f"runs_{d}d")) for d in days})
 
 
 def races_without(rows: DataFrame, columns: Sequence[str], key: str = "race_id") -> DataFrame:

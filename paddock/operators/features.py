@@ -27,11 +27,12 @@ def _outcomes(name: str, condition: Column, window) -> dict[str, Column]:
     return {f"{name}_{k}": F.count_if(condition & P("position").between(a, b)).over(window) for k, (a, b) in OUTCOMES.items()}
 
 
-def runner_statistics(runs: DataFrame, as_of: Column, min_runs: int = 1) -> DataFrame:
+def runner_statistics(runs: DataFrame, as_of: Column, min_runs: int = 1, dealt: bool = False) -> DataFrame:
     """The horse's whole record beside each finished run: career, course, distance, going, surface,
     jockey, last ten runs, last twelve months, last run and win. Horses with fewer than
-    ``min_runs`` finished runs are left out."""
-    rows = runs.where(P("position").isNotNull()).repartition("horse_id")
+    ``min_runs`` finished runs are left out. ``dealt``: the runs come from a table in buckets by horse."""
+    rows = runs.where(P("position").isNotNull())
+    rows = rows if dealt else rows.repartition("horse_id")
     horse = Window.partitionBy("horse_id")
     rows = rows.withColumn("_nth", F.row_number().over(horse.orderBy(F.desc("race_date"), F.desc("race_id"))))
     yes, p = F.lit(True), P("position")
@@ -73,14 +74,15 @@ def with_history(runs: DataFrame, short: int = 5, long: int = 10) -> DataFrame:
 HISTORY = (*(f"last_5_{k}" for k in ("positions", "dates", "courses", "distances", "classes")), "last_10_positions", "recent_form_score")
 
 
-def feature_rows(runs: DataFrame, tolerance: float = 0.1, keep: Sequence[str] = ("race_date", "course_id", "region", "distance_f", "surface", "going", "race_class", "jockey_id", "trainer_id", "owner_id")) -> DataFrame:
+def feature_rows(runs: DataFrame, tolerance: float = 0.1, dealt: bool = False, keep: Sequence[str] = ("race_date", "course_id", "region", "distance_f", "surface", "going", "race_class", "jockey_id", "trainer_id", "owner_id")) -> DataFrame:
     """One row for each run with its race's columns and what the horse did on earlier days: career, the
     same course, surface, going, class and about the same distance, recent form, and the horse with
     its jockey and trainer.
 
     For the distance a run is counted under each distance of its horse that is within
-    ``tolerance``, a few rows instead of pairs of runs."""
-    rows = with_history(runs.repartition("horse_id"))
+    ``tolerance``, a few rows instead of pairs of runs. ``dealt``: the runs come from a table in
+    buckets by horse."""
+    rows = with_history(runs if dealt else runs.repartition("horse_id"))
     before = lambda *keys: Window.partitionBy("horse_id", *keys).orderBy(F.unix_date("race_date")).rangeBetween(Window.unboundedPreceding, -1)
     p, w = P("position"), before()
     out = {"total_races": F.count(F.lit(1)).over(w), "total_wins": F.count_if(p == 1).over(w), "total_seconds": F.count_if(p == 2).over(w), "total_thirds": F.count_if(p == 3).over(w), "avg_finish_position": F.round(F.avg(p).over(w), 2), "days_since_last_run": F.datediff(P("race_date"), F.max("race_date").over(w))}

@@ -59,6 +59,26 @@ def orphans(df: DataFrame, rules: Sequence[tuple[str, DataFrame, str]]) -> DataF
     return out
 
 
+def reference_report(rules: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """rule, n_references, n_orphans (rows), orphan_keys (distinct) of each rule (name, child, column, parent, key); null references
+    don't count.
+
+    All rules go through one shuffle: each child and parent table is read once for all of its rules, keys are
+    counted where they are read, and (rule, key) groups tell whether a parent has the key."""
+    tables: dict[int, tuple[DataFrame, list]] = {}
+    for name, child, column, parent, key in rules:
+        tables.setdefault(id(child), (child, []))[1].append((name, column, 1))
+        tables.setdefault(id(parent), (parent, []))[1].append((name, key, 0))
+    rows = None
+    for df, cells in tables.values():
+        each = F.array(*[F.struct(F.lit(rule).alias("rule"), P(c).cast("string").alias("key"), F.lit(n).cast("long").alias("n")) for rule, c, n in cells])
+        part = df.select(F.explode(each).alias("e")).select("e.*").where(P("key").isNotNull())
+        rows = part if rows is None else rows.unionByName(part)
+    keys = rows.groupBy("rule", "key").agg(F.sum("n").alias("n"), F.bool_or(P("n") == 0).alias("known"))
+    lost = ~P("known")
+    return keys.groupBy("rule").agg(F.sum("n").alias("n_references"), F.coalesce(F.sum(F.when(lost, P("n"))), F.lit(0)).alias("n_orphans"), F.count_if(lost).alias("orphan_keys"))
+
+
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than one row."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(P("n") > 1)
@@ -74,6 +94,40 @@ def freshness(df: DataFrame, date: str, as_of: Column, threshold_days: int) -> D
     return df.agg(F.max(date).alias("latest"), age.alias("age_days")).withColumn("state", F.when(P("age_days") <= threshold_days, "fresh").when(P("age_days") <= 1.5 * threshold_days, "warning").otherwise("stale"))
 
 
+def overall_freshness(tables: Sequence[tuple[str, DataFrame, str, int]], as_of: Column) -> DataFrame:
+    """table_name, latest, age_days, state of each table (name, rows, date column, threshold in days): fresh, warning up to one and a half times the
+    threshold, stale, or empty."""
+    out = None
+    for name, df, date, days in tables:
+        row = freshness(df, date, as_of, days).select(F.lit(name).alias("table_name"), "latest", "age_days", F.when(P("latest").isNull(), "empty").otherwise(P("state")).alias("state"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def health(states: DataFrame) -> DataFrame:
+    """How many tables are in each state, the share of fresh ones, and pass (75 at least), warning (50) or fail."""
+    kinds = [F.count_if(P("state") == s).alias(s) for s in ("fresh", "warning", "stale", "empty")]
+    out = states.agg(F.count(F.lit(1)).alias("tables"), *kinds)
+    share = F.when(P("tables") > 0, P("fresh") * 100.0 / P("tables")).otherwise(0.0)
+    return out.withColumns({"health_score": F.round(share, 1), "result": F.when(share >= 75, "pass").when(share >= 50, "warning").otherwise("fail")})
+
+
+def null_groups(population: DataFrame) -> DataFrame:
+    """Columns of which half or more is null (count blanks as null in ``population``): entirely, mostly (90 or more) and
+    partially (50 or more) null ones."""
+    share = P("missing") * 100.0 / P("n")
+    group = F.when(share == 100, "entirely").when(share >= 90, "mostly").when(share >= 50, "partially")
+    return population.select("column_name", "missing", "n", group.alias("null_group")).where(P("null_group").isNotNull())
+
+
+def latest_updates(log: DataFrame, tables: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The last log row of each of ``tables`` (one column ``key``); ``never_updated`` where there is none."""
+    last = log.groupBy(key).agg(F.max_by(F.struct(*[c for c in log.columns if c != key]), F.struct(*order)).alias("_l"))
+    out = tables.select(key).distinct().join(last, key, "left")
+    shown = [P(f"_l.{c}").alias(c) for c in log.columns if c not in (key, "status")]
+    return out.select(key, *shown, F.when(P("_l").isNull(), "never_updated").otherwise(P("_l.status")).alias("status"))
+
+
 def twin_columns(df: DataFrame, one: str, two: str) -> DataFrame:
     a, b = P(one).cast("string"), P(two).cast("string")
     return df.agg(F.count(one).alias("first_filled"), F.count(two).alias("second_filled"), F.count_if(a == b).alias("equal"), F.count_if(a != b).alias("different")).withColumn("advice", F.when(P("second_filled") == 0, "DROP").when(P("different") == 0, "MERGE").otherwise("KEEP"))
@@ -105,3 +159,8 @@ def pass_bands(population: DataFrame, passed: float = 90, warned: float = 50) ->
 def twin_samples(df: DataFrame, one: str, two: str, order: Sequence[str], n: int = 5) -> DataFrame:
     """The first rows whose twin columns are both filled and differ as text."""
     return df.where(P(one).cast("string") != P(two).cast("string")).select(*order, P(one).alias("first"), P(two).alias("second")).orderBy(*order).limit(n)
+
+
+def differing(stored: DataFrame, actual: DataFrame, key: str, one: str, two: str, tolerance: float = 0) -> DataFrame:
+    """Keys whose stored value differs from the actual one by more than ``tolerance``."""
+    return stored.select(key, one).join(actual.select(key, two), key).where(F.abs(P(one) - P(two)) > tolerance)

@@ -82,6 +82,22 @@ def context_stats(runs: DataFrame) -> DataFrame:
     return runs.select("race_id", "horse_id", *[v.alias(k) for k, v in out.items()])
 
 
+def form_before(runs: DataFrame, key: str, days: Sequence[int] = (14, 30)) -> DataFrame:
+    """Beside every run the finished runs and wins of its entity on earlier days: all of them, and those of the last ``days``.
+
+    For entities with very many runs (trainers): runs are summed up by entity and day first, the windows go over
+    an entity's days, which the calendar bounds, and the sums are joined back by entity and day. Runs without
+    the entity or a date have nulls."""
+    finished = runs.where(P(key).isNotNull() & P("race_date").isNotNull())
+    daily = finished.groupBy(key, "race_date").agg(F.count("position").alias("_n"), F.count_if(P("position") == 1).alias("_w"))
+    before = Window.partitionBy(key).orderBy(F.unix_date("race_date"))
+    frames = {"before": before.rangeBetween(Window.unboundedPreceding, -1)} | {f"{d}d": before.rangeBetween(-d, -1) for d in days}
+    sums = daily.select(P(key).alias("_key"), P("race_date").alias("_day"), *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{name}_{frame}") for frame, w in frames.items() for name, c in (("runs", "_n"), ("wins", "_w"))])
+    out = runs.select("race_id", "horse_id", key, "race_date").join(sums, (P(key) == P("_key")) & (P("race_date") == P("_day")), "left")
+    names = [f"{name}_{frame}" for frame in frames for name in ("runs", "wins")]
+    return out.select("race_id", "horse_id", key, *names, *[rate(P(f"wins_{frame}"), P(f"runs_{frame}")).alias(f"win_rate_{frame}") for frame in frames])
+
+
 def rolling(runs: DataFrame, key: str, days: int = 365) -> DataFrame:
     """Finished runs and wins of the ``days`` before each run."""
     w = Window.partitionBy(key).orderBy(F.unix_date("race_date")).rangeBetween(-days, -1)
@@ -93,3 +109,15 @@ def top_categories(rows: DataFrame, key: str, category: str, k: int = 3) -> Data
     counts = rows.groupBy(key, category).agg(F.count(F.lit(1)).alias("runs"), F.count_if(P("position") == 1).alias("wins"))
     out = top_by(counts, [key], [F.desc("wins"), P(category)], k, rank="rank")
     return out.withColumn("win_rate", rate(P("wins"), P("runs")))
+
+
+def upcoming(runs: DataFrame, entries: DataFrame, context: Sequence[str] = ("race_id", "race_date", "course_id", "race_class", "distance_f", "surface")) -> DataFrame:
+    """One row for each race of ``entries``: its context, how many runners, and their mean win rate and form score."""
+    wins = runs.groupBy("horse_id").agg(rate(F.count_if(P("position") == 1), F.count(F.lit(1))).alias("_w"))
+    out = entries.join(wins, "horse_id", "left").join(form_lines(runs).select("horse_id", "form_score"), "horse_id", "left")
+    return out.groupBy(*context).agg(F.count(F.lit(1)).alias("runners"), F.round(F.avg("_w"), 4).alias("mean_win_rate"), F.round(F.avg("form_score"), 4).alias("mean_form"))
+
+
+def history_array(runs: DataFrame, columns: Sequence[str] = ("race_date", "race_id", "position", "course_id", "distance_f")) -> DataFrame:
+    """horse_id, history: the horse's runs as an array, latest first."""
+    return runs.groupBy("horse_id").agg(F.sort_array(F.collect_list(F.struct(*columns)), asc=False).alias("history"))

@@ -181,9 +181,6 @@ query("match_places", "WITH f AS (SELECT s_suppkey AS id, upper(n_name) AS name,
         v.table("supplier").join(v.table("nation"), P("s_nationkey") == P("n_nationkey")).select(P("s_suppkey").alias("id"), F.upper("n_name").alias("name"), F.when(P("s_suppkey") % 5 > 0, P("s_acctbal")).alias("latitude"), P("s_acctbal").alias("longitude")),
     )
 )
-query("entity_from_documents", "SELECT jockey_id, count(*) AS runs, count(*) FILTER (WHERE p = 1) AS wins, count(*) FILTER (WHERE p <= 3) AS places FROM (SELECT jockey_id, race_id, min(position) AS p FROM runs GROUP BY ALL) GROUP BY 1")(
-    lambda v: E.entity_from_documents(v.runs.groupBy("race_id").agg(F.collect_list(F.struct("horse_id", "jockey_id", "position")).alias("runners")), "runners", "jockey_id").select("jockey_id", "runs", "wins", "places")
-)
 RATED = "SELECT race_id, horse_id, CASE WHEN race_id % 3 > 0 THEN position END AS ofr, CASE WHEN race_id % 5 > 0 THEN position END AS rpr FROM runs"
 query("races_without_ratings", f"SELECT DISTINCT race_id FROM ({RATED}) WHERE ofr IS NULL AND rpr IS NULL")(lambda v: E.races_without(rated(v), ["ofr", "rpr"]))
 query("ratings_from_results", f"SELECT race_id, horse_id, coalesce(ofr, position) AS ofr, coalesce(rpr, position * 2) AS rpr FROM ({RATED}) JOIN runs USING (race_id, horse_id)")(

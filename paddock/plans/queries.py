@@ -12,7 +12,7 @@ from ..operators import quality as Q
 from ..operators import windows as W
 from ..sources import sinks
 from ..streaming import live
-from . import feature_queries, pedigree_queries  # noqa: F401 - they register their queries
+from . import feature_queries, pedigree_queries, state_queries  # noqa: F401 - they register their queries
 from .register import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]

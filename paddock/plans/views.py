@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,17 @@ class Views:
             "race_date", "course_id", "region", "race_class", "going", "surface", "distance_f",
         )
 
+    @cached_property
+    def landed(self) -> DataFrame:
+        """``runs`` as a table by month and in buckets by horse, written when first asked for."""
+        from ..sources.landed import land
+        from ..sources.shared import shared_folder
+
+        name = f"runs_{zlib.crc32(self.folder.encode()):08x}"
+        if not self.spark.catalog.tableExists(name):
+            land(self.runs, name, shared_folder(self.spark, name), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        return self.spark.table(name)
+
     @cached_property
     def horses(self) -> DataFrame:
         return self.table("part").select(

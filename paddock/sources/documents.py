@@ -13,7 +13,7 @@ P = F.col
 RUNNER = "horse_id string, horse string, jockey_id string, jockey string, trainer_id string, trainer string, trainer_location string, owner_id string, owner string, number string, draw string, sire_id string, sire string, dam_id string, dam string, damsire_id string, damsire string, age string, sex string, form string, rpr string, comment string"
 RACE = "race_id string, course_id string, course string, region string, race_name string, date string, off_dt string, type string, surface string, going string, dist_m string, prize string, is_abandoned boolean"
 CARD_SCHEMA = f"{RACE}, off_time string, race_class string, distance string, distance_f string, runners array<struct<{RUNNER}, lbs string, ofr string, ts string, is_scratched boolean>>, _corrupt_record string"
-RESULT_SCHEMA = f"{RACE}, off string, class string, dist string, dist_f string, winning_time_detail string, runners array<struct<{RUNNER}, position string, btn string, ovr_btn string, sp string, sp_dec string, time string, `or` string, tsr string, weight_lbs string>>, _corrupt_record string"
+RESULT_SCHEMA = f"{RACE}, off string, class string, dist string, dist_f string, winning_time_detail string, runners array<struct<{RUNNER}, position string, btn string, ovr_btn string, sp string, sp_dec string, time string, `or` string, tsr string, weight_lbs string, weight string, headgear string, margin string, prize string, jockey_claim string, silk_url string>>, _corrupt_record string"
 
 
 COURSE_SCHEMA = "id string, course string, region_code string, region string, _corrupt_record string"
@@ -78,10 +78,19 @@ def normalise_runners(rows: DataFrame) -> list:
     ]
 
 
+def _result_columns() -> list:
+    """What results have beside the parsed outcome."""
+    place = S.position(P("position"))
+    return [
+        S.text(P("weight")).alias("weight_st_lbs"), P("headgear"), F.when(place != 0, place.cast("string")).alias("position_str"), S.decimal(P("ovr_btn")).alias("ovr_btn"), S.decimal(P("margin")).alias("margin"),
+        S.money(P("prize")).alias("prize_won"), S.text(P("comment")).alias("comment"), S.integer(P("jockey_claim")).alias("jockey_claim_lbs"), P("silk_url"),
+    ]
+
+
 def result_runners(docs: DataFrame, received: str | None = None) -> DataFrame:
-    """One row for each runner of results, with parsed outcomes and the race's context."""
+    """One row for each runner of results: race and date, identification, details, pedigree ids, parsed outcomes."""
     rows = docs.where(_ids("race_id").isNotNull()).select(_ids("race_id").alias("race_id"), P("date").try_cast("date").alias("race_date"), F.inline("runners"))
-    out = rows.where(_ids("horse_id").isNotNull()).select(P("race_date"), *_runner_columns("weight_lbs", "or", "tsr"), *normalise_runners(rows))
+    out = rows.where(_ids("horse_id").isNotNull()).select(P("race_date"), *_runner_columns("weight_lbs", "or", "tsr"), *normalise_runners(rows), *_result_columns())
     if received:
         out = out.withColumn("result_updated_at", F.when(P("position").isNotNull(), F.lit(received).cast("timestamp")))
     return out

@@ -111,4 +111,7 @@ def test_columns_are_filled_alone_or_together(spark):
     get = lambda **x: sorted(map(tuple, sinks.fill_missing(rows, other, "k", ["a", "b"], **x).collect()))
     assert get() == [(1, "A", "", "x"), (2, "a", "B", "y"), (3, "", "B", "z")]
     assert get(blank=True) == [(1, "A", "B", "x"), (2, "a", "B", "y"), (3, "A", "B", "z")]
-    assert get(blank=True, together=True) == [(1, "A", "B", "x"), (2, "a", None, "y"), (3, "A", "B", "z")]
+    assert get(blank=True, together=True) == [(1, "A", "B", "x"), (2, "A", "B", "y"), (3, "A", "B", "z")]
+    some = other.where("k < 3").withColumn("b", F.lit(None).cast("string"))
+    got = sinks.fill_missing(rows, some, "k", ["a", "b"], together=True).collect()
+    assert sorted(map(tuple, got)) == [(1, "A", None, "x"), (2, "A", None, "y"), (3, "", None, "z")]
