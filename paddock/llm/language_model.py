@@ -1,6 +1,6 @@
 """N-gram language model in an Elias-Fano trie whose levels are memory-mapped shard files.
 
-Level 1 holds the words' hashes in ascending order; a word's place is its number. Each further level
+Level 1 holds the words' hashes, by a key drawn for the model, in ascending order; a word's place is its number. Each further level
 holds, for every node of the level above (its context), the numbers of the words that follow: EF
 pointers to each context's range, EF successors made monotone by adding the last value of the range before,
 and quantised interpolated absolute-discounting probabilities. A lookup is a successor search
@@ -45,16 +45,17 @@ class Model(NamedTuple):
     levels: list[list[Part]]  # of each level, ascending
     sizes: list[int]  # nodes of each level
     tokens: int
+    key: int  # of the words' hashes
 
 
-def _blocks(batches: Iterator, column: int):
+def _blocks(batches: Iterator, column: int, key: int):
     """Yield (batch, first row, rows, keys of all tokens, tokens of each row) of some rows: words
     and one end token for each row."""
     for batch in batches:
         data, offsets = textnum.text_bytes(batch.column(column))
         held, first, n, rows = [], 0, 0, 0
         for i, j in textnum.chunks(offsets):
-            words, counts = textnum.word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            words, counts = textnum.word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], key)
             ends = np.cumsum(counts)
             keys = np.insert(words >> np.uint64(1), ends, np.uint64(END >> 1)).astype(np.int64)
             held.append((keys, counts + 1))
@@ -243,12 +244,12 @@ def _write_words(keys: np.ndarray, counts: np.ndarray) -> bytes:
 def train(texts: DataFrame, order: int = ORDER) -> Model:
     """Count all tokens of ``texts`` (one column) and write the trie, level by level."""
     spark = texts.sparkSession
-    folder, shards = shared_dir(spark, "lm"), shuffle_partitions(spark)
+    folder, shards, word_key = shared_dir(spark, "lm"), shuffle_partitions(spark), textnum.new_key()
 
     def unigrams(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for _, _, _, keys, _ in _blocks(batches, 0):
+        for _, _, _, keys, _ in _blocks(batches, 0, word_key):
             key, count = np.unique(keys, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(count.astype(np.int64))], ["w", "n"])
 
@@ -272,13 +273,13 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     levels.append(parts)
     sizes.append(total)
     for k in range(2, order + 1):
-        model = Model(levels, sizes, tokens)
+        model = Model(levels, sizes, tokens, word_key)
         contexts = sizes[k - 2] + (k == 2)
         levels, sizes = [*levels], [*sizes]
         parts, total = _parts(_train_level(texts, model, k, contexts, folder, shards))
         levels.append(parts)
         sizes.append(total)
-    return Model(levels, sizes, tokens)
+    return Model(levels, sizes, tokens, word_key)
 
 
 def _parts(manifest: DataFrame) -> tuple[list[Part], int]:
@@ -297,7 +298,7 @@ def _train_level(texts: DataFrame, model: Model, k: int, contexts: int, folder:
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for _, _, _, keys, counts in _blocks(batches, 0):
+        for _, _, _, keys, counts in _blocks(batches, 0, model.key):
             distinct, where = np.unique(keys, return_inverse=True)
             tokens = word_numbers(model.levels[0], distinct)[0][where]
             context = _contexts(model, tokens, counts, k)
@@ -371,7 +372,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         import pyarrow as pa
 
         scale = model.tokens + 0.5 * (model.sizes[0] + 1)
-        for batch, first, rows, keys, counts in _blocks(batches, 1):
+        for batch, first, rows, keys, counts in _blocks(batches, 1, model.key):
             distinct, where = np.unique(keys, return_inverse=True)
             number, count = word_numbers(model.levels[0], distinct)
             owner = np.repeat(np.arange(rows), counts)

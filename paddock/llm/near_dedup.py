@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import row_key, shuffle_partitions, stage, table
+from .textnum import KEY, new_key
 
 REGISTERS = 256
 MANTISSA_BITS = 10
@@ -35,7 +36,7 @@ FEW, MANY, BLOCK, STREAM, SPLITS = 16, 8_192, 1_024, 8_192, 2
 SUB_BANDS, SUB_REGISTERS, ORDERS = 24, 8, 16
 
 
-def _sets(array, k: int):
+def _sets(array, k: int, key: int = KEY):
     """Yield (first text, sorted distinct shingle hashes of some texts, how many each has)."""
     import numpy as np
 
@@ -44,7 +45,7 @@ def _sets(array, k: int):
     data, offsets = textnum.text_bytes(array)
     for i, j in textnum.chunks(offsets):
         part = offsets[i : j + 1] - offsets[i]
-        runs, sizes = textnum.shingle_hashes(*textnum.word_hashes(data[offsets[i] : offsets[j]], part), k)
+        runs, sizes = textnum.shingle_hashes(*textnum.word_hashes(data[offsets[i] : offsets[j]], part, key), k)
         ends = np.cumsum(sizes)
         for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
             runs[a:b].sort()
@@ -108,7 +109,7 @@ def _id_text() -> Column:
     return F.coalesce(F.col("_id").cast("string"), F.lit("\x00"))
 
 
-def fingerprints(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int, id_col: str, text_col: str, key: int = KEY) -> DataFrame:
     """_id, _k, n (set size), g, h (128 bits that name the set: equal sets, equal names), sketch."""
 
     def run(batches: Iterator) -> Iterator:
@@ -118,11 +119,11 @@ def fingerprints(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFra
         from . import textnum
 
         for batch in batches:
-            for i, runs, sizes in _sets(batch.column(2), k):
+            for i, runs, sizes in _sets(batch.column(2), k, key):
                 ends = np.cumsum(sizes)
                 names = []
-                for key in (0x632BE59BD9B4E019, 0xD6E8FEB86659FD93):
-                    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(textnum.mix(runs + np.uint64(key)))))
+                for name in (0x632BE59BD9B4E019, 0xD6E8FEB86659FD93):
+                    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(textnum.mix(runs + np.uint64(name)))))
                     names.append(pa.array(textnum.mix(total[ends] - total[ends - sizes] + sizes.astype(np.uint64)).astype(np.int64)))
                 rows = sketch(runs, sizes)
                 part = batch.slice(i, len(sizes))
@@ -235,7 +236,7 @@ def _common(full, runs, sizes):
     return np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full[at] == runs], minlength=len(sizes))
 
 
-def links_in_blocks(members: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def links_in_blocks(members: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, word_key: int = KEY) -> DataFrame:
     """Links (x, y) that join the components of a bucket's members.
 
     ``members``: b, c, label, main, outside (members that aren't in the main component), total. Those
@@ -260,7 +261,7 @@ def links_in_blocks(members: DataFrame, sets: DataFrame, docs: DataFrame, k: int
         for batch in batches:
             x, y = [], []
             b, block_no, part, kind, c, label = (batch.column(i).to_pylist() for i in range(6))
-            for i, runs, sizes in _sets(batch.column(6), k):
+            for i, runs, sizes in _sets(batch.column(6), k, word_key):
                 registers, ends = sketch(runs, sizes), np.cumsum(sizes)
                 for j in range(len(sizes)):
                     one, r = runs[ends[j] - sizes[j] : ends[j]], i + j
@@ -297,7 +298,7 @@ def links_in_blocks(members: DataFrame, sets: DataFrame, docs: DataFrame, k: int
     return dealt.mapInArrow(run, "x long, y long")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, key: int = KEY) -> DataFrame:
     """Of pairs (x, y) those with 100 * |intersection| >= percent * |union|, on full sets.
 
     Each x is a hub: its text goes once to every task that holds some of its y, which follow it
@@ -317,7 +318,7 @@ def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent:
         for batch in batches:
             x, y = [], []
             heads, kinds, names = (batch.column(i).to_pylist() for i in (0, 2, 3))
-            for i, runs, sizes in _sets(batch.column(4), k):
+            for i, runs, sizes in _sets(batch.column(4), k, key):
                 ends = np.cumsum(sizes)
                 for j, (a, b) in enumerate(zip((ends - sizes).tolist(), ends.tolist(), strict=True), i):
                     if kinds[j] == 0:
@@ -359,14 +360,15 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     name no component that has an id; in a component of null ids only, component_id is null and the
     rows of one text are kept. Repeated rows share a result. No rows give none."""
     threshold = percent / 100
-    rows = stage(fingerprints(docs, k, id_col, text_col), "fingerprints")
+    key = new_key()  # the same for all tasks of this run, and unknown to whoever wrote the texts
+    rows = stage(fingerprints(docs, k, id_col, text_col, key), "fingerprints")
     some = rows.where("n > 0").select("g", "h", _id_text().alias("_i"), "_k", "n", "sketch")
     first = some.groupBy("g", "h").agg(F.max(F.struct("_i", "_k")).alias("r")).select("g", "h", "r.*")
     # numbers of the sets, fixed once they are written
     sets = stage(some.join(first, ["g", "h", "_i", "_k"]).dropDuplicates(["g", "h"]).withColumn("c", F.monotonically_increasing_id()), "sets")
     held = stage(buckets(bands(sets)), "buckets")
     done = stage(held.where("c <> hub").select(F.col("hub").alias("x"), F.col("c").alias("y")).distinct(), "first-pairs")
-    links = stage(verify(stage(likely(done, sets, threshold), "pairs"), sets, docs, k, percent, id_col, text_col), "links")
+    links = stage(verify(stage(likely(done, sets, threshold), "pairs"), sets, docs, k, percent, id_col, text_col, key), "links")
     for turn in range(1, SPLITS + 2):
         labels = components(links)
         left = held.where("size > 2").join(labels, "c", "left").select("b", "c", F.coalesce("label", "c").alias("label"))
@@ -381,8 +383,8 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
         star = held.where("c <> hub").select(F.col("hub").alias("x"), F.col("c").alias("y")).distinct()
         pairs = cross.select("x", "y").union(star).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().join(done, ["x", "y"], "left_anti")
         pairs = stage(pairs, "pairs")
-        found = verify(stage(likely(pairs, sets, threshold), "likely"), sets, docs, k, percent, id_col, text_col)
-        found = found.union(links_in_blocks(left.where((F.col("outside") > FEW) & ~large), sets, docs, k, percent, id_col, text_col)).distinct()
+        found = verify(stage(likely(pairs, sets, threshold), "likely"), sets, docs, k, percent, id_col, text_col, key)
+        found = found.union(links_in_blocks(left.where((F.col("outside") > FEW) & ~large), sets, docs, k, percent, id_col, text_col, key)).distinct()
         links, done = links.unionByName(stage(found, "links")), done.unionByName(pairs)
         if not held.limit(1).count():
             break

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import secrets
+
 import numpy as np
 
 CHUNK_BYTES = 1 << 20
 #: Words of more bytes are hashed one by one.
 LONG_BYTES = 128
-_KEY, _STEP = np.uint64(0x8F1D3A6C5B79E204), np.uint64(0x9E3779B97F4A7C15)
+KEY, _STEP = 0x8F1D3A6C5B79E204, np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -17,6 +19,12 @@ SPACED = np.ones(256, bool)
 SPACED[[0x20, *range(0x09, 0x0E)]] = False
 
 
+def new_key() -> int:
+    """A key that nobody can know beforehand, for hashes that tell words apart: whoever knows the key can
+    make words that collide."""
+    return secrets.randbits(64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -64,19 +72,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = SPAC
     return start, end, np.diff(np.searchsorted(start, offsets))
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = LOWER) -> np.ndarray:
-    """A keyed 64-bit hash of each span of bytes, each byte read through ``table``.
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = LOWER, key: int = KEY) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, each byte read through ``table``, by a key.
 
-    Eight bytes at a time go through ``mix``, so that no algebra of the bytes makes two spans
-    collide; of v different spans about v * v / 2 ** 65 pairs do. Longer ones than LONG_BYTES take
-    blake2b."""
+    Eight bytes at a time go through ``mix``, which hides the key. With a key that the texts' authors don't
+    know, of v different spans about v * v / 2 ** 65 pairs collide; with a known one (the
+    default, for features of classifiers) collisions can be made. Longer ones than LONG_BYTES take keyed blake2b."""
     import hashlib
 
     size = end - start
     low = table[data]
     padded = np.concatenate((low, np.zeros(8, np.uint8)))
     eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
-    out = mix(size.astype(np.uint64) * _STEP + _KEY)
+    out = mix(size.astype(np.uint64) * _STEP + np.uint64(key))
     at = np.flatnonzero(size <= LONG_BYTES) if len(size) and size.max() > LONG_BYTES else slice(None)
     done, place, left, value = 0, start[at], size[at], out[at]
     todo = np.arange(len(size))[at]
@@ -88,14 +96,14 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.
         out[todo[~more]] = value[~more]
         todo, place, left, value, done = todo[more], place[more], left[more] - 8, value[more], done + 8
     for i in np.flatnonzero(size > LONG_BYTES).tolist():
-        out[i] = int.from_bytes(hashlib.blake2b(low[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+        out[i] = int.from_bytes(hashlib.blake2b(low[start[i] : end[i]].tobytes(), digest_size=8, key=key.to_bytes(8, "little")).digest(), "little")
     return out
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, key: int = KEY) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word between white space, A-Z as a-z; number of words of each text)."""
     start, end, counts = word_spans(data, offsets)
-    return span_hashes(data, start, end), counts
+    return span_hashes(data, start, end, key=key), counts
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -71,7 +71,7 @@ class WordTokenizer:
             self.model = self.tokenizer.model
             shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; others follow 255
             others = [b for b in range(256) if b not in shown]
-            self.signs = {b: 256 + i for i, b in enumerate(others) }
+            self.shown = "".join(chr(256 + others.index(b)) if b in others else chr(b) for b in range(256))
         self.memory = Memory()
         self.words = self.nothing()  # ids of all words, where each word's start, how many it has
         self.older = {}, self.nothing()  # what was remembered before
@@ -111,12 +111,13 @@ class WordTokenizer:
     def _parts(self, parts: list[str]):
         """The same for lower-case words of letters and single signs, by the library's model."""
         import numpy as np
+        from codecs import charmap_decode
 
-        ids, size = [], []
+        ids, size, tokenize, shown = [], [], self.model.tokenize, self.shown
         for part in parts:  # the library's tokens are dropped at once
-            some = [x.id for x in self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(self.signs))]
-            ids += some
+            some = tokenize(part if part.isascii() else charmap_decode(part.encode(), "strict", shown)[0])
             size.append(len(some))
+            ids.extend([x.id for x in some])
         return np.array(ids, np.uint32), np.array(size, np.int64)
 
     def _learn(self, words: list[str]) -> None:
@@ -376,6 +377,10 @@ class Shard:
         """All symbols of the sequence."""
         return unpack_bits(self.words, self.width, 0, self.n_seq)
 
+    def all(self):
+        """The ids of all documents, one after the other."""
+        return gather(self.flat, self.start, self.size, self.seq)
+
     def document(self, i: int, first: int = 0, count: int | None = None):
         """Ids ``first`` to ``first + count`` of document ``i``."""
         import numpy as np
@@ -460,8 +465,9 @@ def read_shards(manifest: DataFrame, id_type: str = "long") -> DataFrame:
         for batch in batches:
             for uri, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = Shard(read_bytes(uri))
-                crc = [zlib.crc32(shard.document(i).astype("<u4").tobytes()) for i in range(len(shard.doc_ids))]
-                starts = start + np.cumsum(shard.n_tokens) - shard.n_tokens
+                whole, ends = memoryview(shard.all().astype("<u4")).cast("B"), np.cumsum(shard.n_tokens)
+                crc = [zlib.crc32(whole[4 * a : 4 * b]) for a, b in zip((ends - shard.n_tokens).tolist(), ends.tolist(), strict=True)]
+                starts = start + ends - shard.n_tokens
                 ids = pa.array(shard.doc_ids, pa.int64() if id_type == "long" else pa.string())
                 yield pa.RecordBatch.from_arrays([ids, pa.array(starts), pa.array(shard.n_tokens), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
