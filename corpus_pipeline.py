@@ -40,15 +40,16 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: shingles of five words, similarity of
-    0.8 or more. Of rows that repeat id and text one stays."""
+    0.8 or more. Of rows that repeat id and text one stays, that whose other columns are the smallest as JSON text."""
     found = stage(near_dedup.near_dedup(docs, k=5, percent=80).where("kept").groupBy("_id", "_k").agg(F.count(F.lit(1)).alias("copies")), "near-kept")
-    kept = _only(docs, found.select("_id", "_k"))
     repeated = found.where("copies > 1").select("_id", "_k")
     if not repeated.limit(1).count():
-        return kept
+        return _only(docs, found.select("_id", "_k"))
     single = _only(docs, found.where("copies = 1").select("_id", "_k"))
-    again = _only(docs, repeated).withColumn("_same", F.coalesce("text", F.lit("")))
-    return single.unionByName(again.dropDuplicates(["doc_id", "_same"]).drop("_same"))
+    again = _only(docs, repeated).select(F.struct("*").alias("row"))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    least = F.min_by("row", F.to_json("row", {"ignoreNullFields": "false"}))
+    return single.unionByName(again.groupBy(F.col("row.doc_id").alias("_id"), text.alias("_t")).agg(least.alias("row")).select("row.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
