@@ -83,6 +83,14 @@ def pairs(runs: DataFrame, first: str, second: str, min_runs: int = 5) -> DataFr
     return with_rates(rows.groupBy(first, second).agg(*outcome_counts()).where(P("runs") >= min_runs))
 
 
+def all_pairs(runs: DataFrame, kinds: Sequence[tuple[str, str]]) -> DataFrame:
+    """pair_type, first_id, second_id (as text), runs, wins of all pairs of all ``kinds``, in one aggregation; runs that lack one of a kind's two ids
+    don't count for it."""
+    cells = F.array(*[F.struct(F.lit(f"{a.removesuffix('_id')}_{b.removesuffix('_id')}").alias("pair_type"), P(a).cast("string").alias("first_id"), P(b).cast("string").alias("second_id")) for a, b in kinds])
+    rows = runs.select("position", F.inline(cells)).where(P("first_id").isNotNull() & P("second_id").isNotNull())
+    return rows.groupBy("pair_type", "first_id", "second_id").agg(F.count(F.lit(1)).alias("runs"), F.count_if(P("position") == 1).alias("wins"))
+
+
 def combinations(runs: DataFrame, keys: Sequence[str], min_runs: int = 2) -> DataFrame:
     """Outcomes of several entities together under a composite key, with first and last date."""
     out = runs.groupBy(*keys).agg(*outcome_counts(), F.min("race_date").alias("first_seen"), F.max("race_date").alias("last_seen"))

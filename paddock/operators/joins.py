@@ -87,10 +87,10 @@ def add_coordinates(courses: DataFrame, coordinates: DataFrame, keys: Sequence[C
     return out.withColumns({"latitude": F.when(blank, P("_lat")).otherwise(P("latitude")), "longitude": F.when(blank, P("_lon")).otherwise(P("longitude"))}).select(*courses.columns)
 
 
-def calendar_gaps(df: DataFrame, date: str) -> DataFrame:
-    """Dates between the first and the last without a row."""
-    days = df.agg(F.explode(F.sequence(F.min(date), F.max(date))).alias("day"))
-    return days.join(df.select(P(date).alias("day")).distinct(), "day", "left_anti")
+def calendar_gaps(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFrame:
+    """Dates between the first and the last without a row; with ``by`` of each key by itself."""
+    days = df.groupBy(*by).agg(F.explode(F.sequence(F.min(date), F.max(date))).alias("day"))
+    return days.join(df.select(*by, P(date).alias("day")).distinct(), [*by, "day"], "left_anti")
 
 
 def month_chunks(start: str, end: str, spark) -> DataFrame:

@@ -151,6 +151,14 @@ def descendants_by_generation(closure: DataFrame, like: str = "%sire%") -> DataF
     return rows.groupBy("ancestor_id", "generation").agg(F.countDistinct("horse_id").alias("descendants"), F.count(F.lit(1)).alias("lines"))
 
 
+def multipliers_by_path(closure: DataFrame, careers: DataFrame, totals: DataFrame, digits: int = 2) -> DataFrame:
+    """ancestor_id, path, progeny_wins, own_wins, multiplier of ancestors that won themselves and whose descendants on that path
+    did."""
+    own = careers.where(P("own_wins") > 0).select(P("horse_id").alias("ancestor_id"), "own_wins")
+    progeny = progeny_by_path(closure, totals).where(P("wins") > 0).select("ancestor_id", "path", P("wins").alias("progeny_wins"))
+    return progeny.join(own, "ancestor_id").withColumn("multiplier", F.round(P("progeny_wins") / P("own_wins"), digits))
+
+
 def proven_producers(closure: DataFrame, careers: DataFrame, totals: DataFrame, path: str = "dam") -> DataFrame:
     """Ancestors on ``path`` that won themselves and whose progeny did: ancestor_id, own_runs, own_wins, progeny, wins,
     multiplier (progeny wins over own wins), most first."""

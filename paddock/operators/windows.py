@@ -82,6 +82,11 @@ def context_stats(runs: DataFrame) -> DataFrame:
     return runs.select("race_id", "horse_id", *[v.alias(k) for k, v in out.items()])
 
 
+def with_context_rates(stats: DataFrame) -> DataFrame:
+    """Win rates beside the counts of ``context_stats``; null where there were no runs."""
+    return stats.withColumns({f"{k}_win_rate": rate(P(f"{k}_wins"), P(f"{k}_runs")) for k in ("career", *STAT_CONTEXTS)})
+
+
 def form_before(runs: DataFrame, key: str, days: Sequence[int] = (14, 30)) -> DataFrame:
     """Beside every run the finished runs and wins of its entity on earlier days: all of them, and those of the last ``days``.
 

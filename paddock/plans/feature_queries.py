@@ -13,6 +13,7 @@ from ..operators import joins as J
 from ..operators import pedigree as G
 from ..operators import profiles as B
 from ..operators import quality as Q
+from ..operators import reports as R
 from ..operators import windows as W
 from ..sources import sinks
 from .register import query
@@ -111,9 +112,7 @@ query(
     "career_and_progeny",
     "SELECT h.horse_id, coalesce(o.r, 0) AS own_runs, coalesce(o.w, 0) AS own_wins, coalesce(o.p, 0) AS own_places, o.a AS own_avg_position, coalesce(k.progeny, 0) AS progeny, coalesce(k.runners, 0) AS progeny_runners, coalesce(k.runs, 0)::BIGINT AS progeny_runs, coalesce(k.wins, 0)::BIGINT AS progeny_wins, coalesce(k.places, 0)::BIGINT AS progeny_places, k.a AS progeny_avg_position FROM horses h LEFT JOIN (SELECT horse_id, count(*) AS r, count(*) FILTER (WHERE position = 1) AS w, count(*) FILTER (WHERE position <= 3) AS p, round(avg(position), 2) AS a FROM runs GROUP BY 1) o ON o.horse_id = h.horse_id LEFT JOIN (SELECT damsire_id, count(*) AS progeny, count(r) AS runners, sum(r) AS runs, sum(w) AS wins, sum(p) AS places, round(sum(s)::DOUBLE / sum(f), 2) AS a FROM horses LEFT JOIN (SELECT horse_id, count(*) AS r, count(*) FILTER (WHERE position = 1) AS w, count(*) FILTER (WHERE position <= 3) AS p, sum(position) AS s, count(position) AS f FROM runs GROUP BY 1) USING (horse_id) GROUP BY 1) k ON k.damsire_id = CAST(h.horse_id AS VARCHAR)",
 )(lambda v: B.career_and_progeny(B.horse_careers(v.runs), v.horses, B.all_progeny(v.horses, v.runs, "damsire_id"), "damsire_id"))
-query("top_ancestors", "SELECT relation, ancestor_id, wins FROM (SELECT *, row_number() OVER (PARTITION BY relation ORDER BY wins DESC, ancestor_id) AS r FROM (SELECT relation, ancestor_id, count(*) FILTER (WHERE position = 1) AS wins FROM lineage GROUP BY ALL)) WHERE r <= 5")(
-    lambda v: W.top_by(v.lineage.groupBy("relation", "ancestor_id").agg(F.count_if(P("position") == 1).alias("wins")), ["relation"], [F.desc("wins"), P("ancestor_id")], 5)
-)
+query("top_ancestors", "SELECT relation, ancestor_id, wins FROM (SELECT *, row_number() OVER (PARTITION BY relation ORDER BY wins DESC, ancestor_id) AS r FROM (SELECT relation, ancestor_id, count(*) FILTER (WHERE position = 1) AS wins FROM lineage GROUP BY ALL)) WHERE r <= 5")(lambda v: W.top_by(R.wins_of_ancestors(v.lineage), ["relation"], [F.desc("wins"), P("ancestor_id")], 5))
 query("pedigree_listing", "SELECT race_id, horse_id, generation, relation, ancestor_id FROM lineage ORDER BY race_id, horse_id, generation, relation")(
     lambda v: v.lineage.select("race_id", "horse_id", "generation", "relation", "ancestor_id").orderBy("race_id", "horse_id", "generation", "relation")
 )
@@ -138,10 +137,7 @@ query(
 query("performance_venue_trainer", "SELECT trainer_id, course_id, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins, count(*) FILTER (WHERE position <= 3) AS places, round((count(*) FILTER (WHERE position = 1)) / sum(1 / sp_decimal), 2) AS ae_index FROM runs WHERE position IS NOT NULL GROUP BY ALL HAVING count(*) >= 5")(
     lambda v: A.performance(v.runs, ["trainer_id", "course_id"]).select("trainer_id", "course_id", "runs", "wins", "places", "ae_index")
 )
-query("distance_bands_of_entities", "SELECT jockey_id, CASE WHEN distance_f * 220 < 1400 THEN 'sprint' WHEN distance_f * 220 < 1800 THEN 'mile' WHEN distance_f * 220 < 2400 THEN 'middle' ELSE 'staying' END AS band, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins FROM runs GROUP BY ALL")(
-    lambda v: v.runs.groupBy("jockey_id", S.distance_band(P("distance_f") * 220).alias("band")).agg(F.count(F.lit(1)).alias("runs"), F.count_if(P("position") == 1).alias("wins"))
-)
-
+query("distance_bands_of_entities", "SELECT jockey_id, CASE WHEN distance_f * 220 < 1400 THEN 'sprint' WHEN distance_f * 220 < 1800 THEN 'mile' WHEN distance_f * 220 < 2400 THEN 'middle' ELSE 'staying' END AS band, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins FROM runs GROUP BY ALL")(lambda v: R.outcomes_by(v.runs, "jockey_id", S.distance_band(P("distance_f") * 220).alias("band")))
 # -- entities -------------------------------------------------------------------------------------
 
 KINDS = {"jockey": ("jockey_id", "jockey_name"), "owner": ("owner_id", "owner_name"), "horse": ("horse_id", "horse_name"), "trainer": ("trainer_id", "trainer_name")}
@@ -247,12 +243,8 @@ query("incremental_merge", "SELECT s_suppkey AS jockey_id, coalesce(a.runs, o.ru
 query("lifetime_with_defaults", "SELECT s_suppkey AS jockey_id, count(race_id) AS runs, count(*) FILTER (WHERE position = 1) AS wins, count(*) FILTER (WHERE position <= 3) AS places, CASE WHEN count(race_id) > 0 THEN round(100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(race_id), 2) ELSE 0 END AS win_rate, CASE WHEN count(race_id) > 0 THEN round(100.0::DOUBLE * count(*) FILTER (WHERE position <= 3) / count(race_id), 2) ELSE 0 END AS place_rate FROM supplier LEFT JOIN runs ON jockey_id = s_suppkey AND course_id = 3 GROUP BY s_suppkey")(
     lambda v: v.table("supplier").select(P("s_suppkey").alias("jockey_id")).join(A.lifetime(v.runs.where("course_id = 3"), "jockey_id").drop("seconds", "thirds"), "jockey_id", "left").na.fill(0)
 )
-query("upcoming_form", "SELECT u.race_id, count(*) AS runners, round(avg(score), 4) AS mean_form FROM (SELECT race_id, horse_id FROM runs, ended WHERE race_date = d) u LEFT JOIN (SELECT horse_id, round(sum(CASE position WHEN 1 THEN 10 WHEN 2 THEN 7 WHEN 3 THEN 5 WHEN 4 THEN 3 ELSE 1 END * CASE r WHEN 1 THEN 2.0 WHEN 2 THEN 1.5 WHEN 3 THEN 1.2 ELSE 1.0 END::DOUBLE) / 67 * 100, 2) AS score FROM (SELECT *, row_number() OVER (PARTITION BY horse_id ORDER BY race_date DESC, race_id DESC) AS r FROM runs WHERE position IS NOT NULL) WHERE r <= 5 GROUP BY 1) USING (horse_id) GROUP BY u.race_id")(
-    lambda v: v.runs.where(P("race_date") == v.as_of).select("race_id", "horse_id").join(W.form_lines(v.runs).select("horse_id", "form_score"), "horse_id", "left").groupBy("race_id").agg(F.count(F.lit(1)).alias("runners"), F.round(F.avg("form_score"), 4).alias("mean_form"))
-)
-query("update_days", "SELECT event_type, count(*) AS n, min(ts)::DATE AS first_day, max(ts)::DATE AS last_day, count(DISTINCT ts::DATE) AS days FROM events GROUP BY 1", False)(
-    lambda v: v.table("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.to_date(F.min("ts")).alias("first_day"), F.to_date(F.max("ts")).alias("last_day"), F.countDistinct(F.to_date("ts")).alias("days"))
-)
+query("upcoming_form", "SELECT u.race_id, count(*) AS runners, round(avg(score), 4) AS mean_form FROM (SELECT race_id, horse_id FROM runs, ended WHERE race_date = d) u LEFT JOIN (SELECT horse_id, round(sum(CASE position WHEN 1 THEN 10 WHEN 2 THEN 7 WHEN 3 THEN 5 WHEN 4 THEN 3 ELSE 1 END * CASE r WHEN 1 THEN 2.0 WHEN 2 THEN 1.5 WHEN 3 THEN 1.2 ELSE 1.0 END::DOUBLE) / 67 * 100, 2) AS score FROM (SELECT *, row_number() OVER (PARTITION BY horse_id ORDER BY race_date DESC, race_id DESC) AS r FROM runs WHERE position IS NOT NULL) WHERE r <= 5 GROUP BY 1) USING (horse_id) GROUP BY u.race_id")(lambda v: R.upcoming_form(W.form_lines(v.runs), v.runs.where(P("race_date") == v.as_of)))
+query("update_days", "SELECT event_type, count(*) AS n, min(ts)::DATE AS first_day, max(ts)::DATE AS last_day, count(DISTINCT ts::DATE) AS days FROM events GROUP BY 1", False)(lambda v: R.update_days(v.table("events"), "event_type", "ts"))
 query("distinct_ids", " UNION ALL ".join(f"SELECT DISTINCT '{k}' AS entity_type, CAST({i} AS VARCHAR) AS entity_id FROM runs" for k, (i, _) in KINDS.items()))(
     lambda v: A.unpivot_entities(v.runs, {k: i for k, (i, _) in KINDS.items()}, []).distinct()
 )

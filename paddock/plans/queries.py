@@ -9,6 +9,7 @@ from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import pedigree as G
 from ..operators import quality as Q
+from ..operators import reports as R
 from ..operators import windows as W
 from ..sources import sinks
 from ..streaming import live
@@ -91,16 +92,13 @@ query("going_breakdown", "SELECT jockey_id, string_agg(going || '=' || n, ';' OR
 query("top_at_distance", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY distance_f ORDER BY win_rate DESC, runs DESC, jockey_id)::INT AS rank FROM (SELECT jockey_id, distance_f, count(*) AS runs, round(100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*), 2) AS win_rate FROM runs WHERE position IS NOT NULL GROUP BY ALL HAVING count(*) >= 10)) WHERE rank <= 3")(
     lambda v: W.top_by(A.performance(v.runs, ["jockey_id", "distance_f"], 10).select("jockey_id", "distance_f", "runs", "win_rate"), ["distance_f"], [F.desc("win_rate"), F.desc("runs"), P("jockey_id")], 3, rank="rank")
 )
-query("top_pairs", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id")(
-    lambda v: v.runs.groupBy("jockey_id", "horse_id").agg(F.count(F.lit(1)).alias("runs")).orderBy(F.desc("runs"), "jockey_id", "horse_id")
-)
-query("top_pairs_all", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id")(
-    lambda v: v.runs.groupBy("jockey_id", "horse_id").agg(F.count(F.lit(1)).alias("runs")).orderBy(F.desc("runs"), "jockey_id", "horse_id")
-)
-query("distance_bands", "SELECT CASE WHEN y < 1400 THEN 'sprint' WHEN y < 1800 THEN 'mile' WHEN y < 2400 THEN 'middle' ELSE 'staying' END AS band, count(*) AS n FROM (SELECT distance_f * 220 AS y FROM races) GROUP BY 1")(
-    lambda v: v.races.select(S.distance_band(S.yards(F.concat(P("distance_f").cast("string"), F.lit("f")))).alias("band")).groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-)
-
+query("top_pairs", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id")(lambda v: R.runs_of_pairs(v.runs, "jockey_id", "horse_id"))
+PAIRS = (("jockey_id", "horse_id"), ("trainer_id", "horse_id"), ("owner_id", "horse_id"), ("jockey_id", "trainer_id"))
+query(
+    "top_pairs_all",
+    "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{a[:-3]}_{b[:-3]}' AS pair_type, CAST({a} AS VARCHAR) AS first_id, CAST({b} AS VARCHAR) AS second_id, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins FROM runs GROUP BY ALL" for a, b in PAIRS) + ") ORDER BY runs DESC, pair_type, first_id, second_id",
+)(lambda v: A.all_pairs(v.runs, PAIRS).orderBy(F.desc("runs"), "pair_type", "first_id", "second_id"))
+query("distance_bands", "SELECT CASE WHEN y < 1400 THEN 'sprint' WHEN y < 1800 THEN 'mile' WHEN y < 2400 THEN 'middle' ELSE 'staying' END AS band, count(*) AS n FROM (SELECT distance_f * 220 AS y FROM races) GROUP BY 1")(lambda v: R.counts_by(v.races, S.distance_band(S.yards(F.concat(P("distance_f").cast("string"), F.lit("f")))).alias("band")))
 # -- pedigree -------------------------------------------------------------------------------------
 
 CLASSES = ", ".join(f"count(*) FILTER (WHERE position = 1 AND race_class = {c}) AS class_{c}_wins" for c in range(1, 8))
@@ -117,9 +115,7 @@ query("own_career", f"SELECT horse_id, {OWN} FROM runs GROUP BY horse_id")(lambd
 query("lineage_edges", "SELECT race_id, horse_id, generation, relation, ancestor_id, concat_ws('_', race_id, horse_id, generation, relation) AS lineage_id FROM lineage")(
     lambda v: v.lineage.select("race_id", "horse_id", "generation", "relation", "ancestor_id", "lineage_id")
 )
-query("lineage_summary", "SELECT generation, relation, count(*) AS n, count(DISTINCT ancestor_id) AS ancestors, count(DISTINCT horse_id) AS horses FROM lineage GROUP BY ALL")(
-    lambda v: v.lineage.groupBy("generation", "relation").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ancestor_id").alias("ancestors"), F.countDistinct("horse_id").alias("horses"))
-)
+query("lineage_summary", "SELECT generation, relation, count(*) AS n, count(DISTINCT ancestor_id) AS ancestors, count(DISTINCT horse_id) AS horses FROM lineage GROUP BY ALL")(lambda v: R.lineage_summary(v.lineage))
 query("lineage_duplicates", "SELECT horse_id, relation, count(*) AS n FROM lineage GROUP BY ALL HAVING count(*) > 1")(lambda v: Q.duplicates(v.lineage, ["horse_id", "relation"]))
 query("ancestor_with_own_career", f"SELECT h.horse_id, coalesce(own_runs, 0) AS own_runs, coalesce(own_wins, 0) AS own_wins, coalesce(progeny, 0) AS progeny FROM horses h LEFT JOIN (SELECT horse_id, {OWN} FROM runs GROUP BY 1) o ON o.horse_id = h.horse_id LEFT JOIN (SELECT ancestor_id, count(DISTINCT horse_id) AS progeny FROM lineage WHERE relation = 'damsire' GROUP BY 1) p ON p.ancestor_id = CAST(h.horse_id AS VARCHAR)")(
     lambda v: v.horses.select("horse_id").join(G.own_career(v.runs).select("horse_id", "own_runs", "own_wins"), "horse_id", "left")
@@ -137,9 +133,7 @@ query("sire_class_index", "SELECT sire_id, count(*) AS runs, round(count(*) FILT
 query("sire_distance_index", "SELECT sire_id, count(*) AS runs, round(count(*) FILTER (WHERE position = 1) * 100.0::DOUBLE / sum(CASE WHEN distance_f <= 7 THEN 0.12 WHEN distance_f <= 10 THEN 0.13 WHEN distance_f <= 14 THEN 0.12 ELSE 0.11 END::DOUBLE), 3) AS ae_index FROM runs JOIN horses USING (horse_id) GROUP BY ALL")(
     lambda v: G.expected_index(v.runs.join(v.horses, "horse_id"), "sire_id", G.distance_rate(P("distance_f")))
 )
-query("sire_quality_score", "SELECT ancestor_id, round(CASE WHEN bp IS NOT NULL THEN 0.6 ELSE 0 END + CASE WHEN lw IS NOT NULL THEN 0.4 ELSE 0 END, 2)::DOUBLE AS score FROM (SELECT ancestor_id, min(position) AS bp, max(race_date) FILTER (WHERE position = 1) AS lw FROM lineage WHERE relation = 'damsire' GROUP BY 1)")(
-    lambda v: v.lineage.where("relation = 'damsire'").groupBy("ancestor_id").agg(F.min("position").alias("bp"), F.max(F.when(P("position") == 1, P("race_date"))).alias("lw")).select("ancestor_id", G.completeness_score({"bp": 0.6, "lw": 0.4}).alias("score"))
-)
+query("sire_quality_score", "SELECT ancestor_id, round(CASE WHEN bp IS NOT NULL THEN 0.6 ELSE 0 END + CASE WHEN lw IS NOT NULL THEN 0.4 ELSE 0 END, 2)::DOUBLE AS score FROM (SELECT ancestor_id, min(position) AS bp, max(race_date) FILTER (WHERE position = 1) AS lw FROM lineage WHERE relation = 'damsire' GROUP BY 1)")(lambda v: R.best_of_progeny(v.lineage.where("relation = 'damsire'")).select("ancestor_id", G.completeness_score({"bp": 0.6, "lw": 0.4}).alias("score")))
 query("top_sires", "SELECT ancestor_id, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins FROM lineage WHERE relation = 'sire' GROUP BY 1 HAVING count(*) >= 100 ORDER BY wins DESC, ancestor_id LIMIT 10")(
     lambda v: G.progeny_stats(v.lineage.where("relation = 'sire'")).where("runs >= 100").select("ancestor_id", "runs", "wins").orderBy(F.desc("wins"), "ancestor_id").limit(10)
 )
@@ -177,23 +171,18 @@ query("course_coordinates", "SELECT n_nationkey AS course_id, n_name AS name, r_
 query("calendar_gaps", "SELECT day FROM (SELECT unnest(generate_series(min(race_date), max(race_date), INTERVAL 1 DAY))::DATE AS day FROM races) WHERE day NOT IN (SELECT race_date FROM races)")(
     lambda v: J.calendar_gaps(v.races, "race_date")
 )
-query("calendar_gaps_all", "SELECT day FROM (SELECT unnest(generate_series(min(race_date), max(race_date), INTERVAL 1 DAY))::DATE AS day FROM races) WHERE day NOT IN (SELECT race_date FROM races)")(
-    lambda v: J.calendar_gaps(v.races, "race_date")
-)
+query(
+    "calendar_gaps_all",
+    "WITH x AS (SELECT region, min(race_date) AS a, max(race_date) AS b FROM races GROUP BY 1), y AS (SELECT region, unnest(generate_series(a, b, INTERVAL 1 DAY))::DATE AS day FROM x) SELECT region, day FROM y WHERE (region, day) NOT IN (SELECT region, race_date FROM races)",
+)(lambda v: J.calendar_gaps(v.races, "race_date", by=["region"]))
 query("month_chunks", "SELECT greatest(m, d0)::DATE AS chunk_start, least(last_day(m), d1)::DATE AS chunk_end FROM (SELECT min(race_date) AS d0, max(race_date) AS d1, unnest(generate_series(date_trunc('month', min(race_date)), max(race_date)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM races)")(
     lambda v: (lambda r: J.month_chunks(str(r[0]), str(r[1]), v.spark))(v.races.agg(F.min("race_date"), F.max("race_date")).first())
 )
 query("distinct_entities", f"SELECT DISTINCT entity_type, entity_id FROM ({UNPIVOT})")(lambda v: A.unpivot_entities(v.runs, ENTITIES, []).distinct())
-query("multi_race_days", "SELECT horse_id, race_date, count(*) AS n, string_agg(race_id, ',' ORDER BY race_id) AS races FROM runs GROUP BY ALL HAVING count(*) > 1")(
-    lambda v: v.runs.groupBy("horse_id", "race_date").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.sort_array(F.collect_list("race_id")), lambda x: x.cast("string")), ",").alias("races")).where("n > 1")
-)
-query("runners_per_race", "SELECT round(avg(n), 4) AS mean_runners, count(*) FILTER (WHERE n = 0) AS without FROM (SELECT race_id, count(horse_id) AS n FROM races LEFT JOIN runs USING (race_id) GROUP BY race_id)")(
-    lambda v: v.races.select("race_id").join(v.runs.select("race_id", "horse_id"), "race_id", "left").groupBy("race_id").agg(F.count("horse_id").alias("n")).agg(F.round(F.avg("n"), 4).alias("mean_runners"), F.count_if(P("n") == 0).alias("without"))
-)
-query("entity_ratios", "SELECT round(count(*)::DOUBLE / count(DISTINCT race_id), 4) AS runners_per_race, round(count(DISTINCT horse_id)::DOUBLE / count(DISTINCT race_id), 4) AS horses_per_race FROM runs")(
-    lambda v: v.runs.agg(F.round(F.count(F.lit(1)) / F.countDistinct("race_id"), 4).alias("runners_per_race"), F.round(F.countDistinct("horse_id") / F.countDistinct("race_id"), 4).alias("horses_per_race"))
-)
-query("region_filter", "SELECT region, count(*) AS n FROM races WHERE lower(region) IN ('europe', 'asia') GROUP BY region")(lambda v: v.races.where(S.in_region(P("region"), ("europe", "asia"))).groupBy("region").agg(F.count(F.lit(1)).alias("n")))
+query("multi_race_days", "SELECT horse_id, race_date, count(*) AS n, string_agg(race_id, ',' ORDER BY race_id) AS races FROM runs GROUP BY ALL HAVING count(*) > 1")(lambda v: R.busy_days(v.runs))
+query("runners_per_race", "SELECT round(avg(n), 4) AS mean_runners, count(*) FILTER (WHERE n = 0) AS without FROM (SELECT race_id, count(horse_id) AS n FROM races LEFT JOIN runs USING (race_id) GROUP BY race_id)")(lambda v: R.mean_runners(R.runners_by_race(v.races, v.runs)))
+query("entity_ratios", "SELECT round(count(*)::DOUBLE / count(DISTINCT race_id), 4) AS runners_per_race, round(count(DISTINCT horse_id)::DOUBLE / count(DISTINCT race_id), 4) AS horses_per_race FROM runs")(lambda v: R.entity_ratios(v.runs))
+query("region_filter", "SELECT region, count(*) AS n FROM races WHERE lower(region) IN ('europe', 'asia') GROUP BY region")(lambda v: R.counts_by(v.races.where(S.in_region(P("region"), ("europe", "asia"))), "region"))
 query("region_name_filter", "SELECT DISTINCT course_id FROM races WHERE regexp_matches(region, '(?i)amer|afr') OR coalesce(region, '') = ''")(
     lambda v: v.races.where(S.in_country(P("region"), ("amer", "afr")) | (F.coalesce("region", F.lit("")) == "")).select("course_id").distinct()
 )
@@ -227,17 +216,13 @@ def _record_sql(before: bool) -> str:
 query("runner_record", _record_sql(False))(lambda v: W.runner_record(v.runs))
 query("runner_record_before_race", _record_sql(True))(lambda v: W.runner_record(v.runs, before_race=True))
 query("rolling_year", "SELECT race_id, horse_id, count(position) OVER w AS runs_window, count(CASE WHEN position = 1 THEN 1 END) OVER w AS wins_window FROM runs WINDOW w AS (PARTITION BY horse_id ORDER BY race_date RANGE BETWEEN INTERVAL 365 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)")(lambda v: W.rolling(v.runs, "horse_id"))
-query("last_price_in_group", "SELECT jockey_id, distance_f, arg_max(sp_decimal, (race_date, race_id, horse_id)) AS last_price FROM runs GROUP BY ALL")(
-    lambda v: v.runs.groupBy("jockey_id", "distance_f").agg(F.max_by("sp_decimal", F.struct("race_date", "race_id", "horse_id")).alias("last_price"))
-)
+query("last_price_in_group", "SELECT jockey_id, distance_f, arg_max(sp_decimal, (race_date, race_id, horse_id)) AS last_price FROM runs GROUP BY ALL")(lambda v: R.latest_value(v.runs, ["jockey_id", "distance_f"], "sp_decimal", "last_price"))
 query("sample_by_region", "SELECT region, race_id FROM (SELECT region, race_id, row_number() OVER (PARTITION BY region ORDER BY race_id) AS r FROM races) WHERE r <= 3")(lambda v: W.top_by(v.races.select("region", "race_id"), ["region"], [P("race_id")], 3))
 CONTEXT_STATS = {"course": "b.course_id = a.course_id", "surface": "b.surface = a.surface", "going": "b.going = a.going", "class": "b.race_class = a.race_class", "jockey": "b.jockey_id = a.jockey_id", "trainer": "b.trainer_id = a.trainer_id"}
 query("ml_context_stats", "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id")(lambda v: W.context_stats(v.runs))
-query("ml_context_stats_all", "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id")(lambda v: W.context_stats(v.runs))
-query("upcoming_summary", "SELECT r.race_id, count(*) AS runners, round(avg(w), 4) AS mean_win_rate FROM (SELECT race_id, horse_id FROM runs, ended WHERE race_date = d) r JOIN (SELECT horse_id, 100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*) AS w FROM runs GROUP BY 1) USING (horse_id) GROUP BY r.race_id")(
-    lambda v: v.runs.where(P("race_date") == v.as_of).select("race_id", "horse_id").join(v.runs.groupBy("horse_id").agg((F.count_if(P("position") == 1) * 100.0 / F.count(F.lit(1))).alias("w")), "horse_id").groupBy("race_id").agg(F.count(F.lit(1)).alias("runners"), F.round(F.avg("w"), 4).alias("mean_win_rate"))
-)
-
+CONTEXT_RATES = ", ".join(f"CASE WHEN {k}_runs > 0 THEN round(100.0::DOUBLE * {k}_wins / {k}_runs, 2) END AS {k}_win_rate" for k in ("career", *CONTEXT_STATS))
+query("ml_context_stats_all", f"SELECT *, {CONTEXT_RATES} FROM (" + "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id" + ")")(lambda v: W.with_context_rates(W.context_stats(v.runs)))
+query("upcoming_summary", "SELECT r.race_id, count(*) AS runners, round(avg(w), 4) AS mean_win_rate FROM (SELECT race_id, horse_id FROM runs, ended WHERE race_date = d) r JOIN (SELECT horse_id, 100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*) AS w FROM runs GROUP BY 1) USING (horse_id) GROUP BY r.race_id")(lambda v: R.upcoming_win_rates(v.runs, v.runs.where(P("race_date") == v.as_of)))
 # -- sources, sinks, parsers ----------------------------------------------------------------------
 
 query("payload_field", "SELECT event_id, CASE WHEN regexp_matches(json_extract_string(props, '$.k'), '^[0-9]+$') THEN try_cast(json_extract_string(props, '$.k') AS INT) END AS k FROM events", False)(
@@ -256,9 +241,7 @@ query("out_of_region_dry_run", "SELECT region, race_id FROM (SELECT region, race
 query("merge_twins", "SELECT l_orderkey, l_linenumber, coalesce(CASE WHEN l_linenumber > 3 THEN l_tax END, l_discount) AS tax FROM lineitem", False)(
     lambda v: sinks.merge_twins(v.table("lineitem").select("l_orderkey", "l_linenumber", F.when(P("l_linenumber") > 3, P("l_tax")).alias("tax"), P("l_discount").alias("tax2")), {"tax": "tax2"})
 )
-query("parsed_positions", "SELECT position_raw, count(*) AS n, count(*) FILTER (WHERE position = 1) AS winners, count(*) FILTER (WHERE position_raw IN ('PU', 'F')) AS dnf FROM runs GROUP BY position_raw")(
-    lambda v: v.runs.groupBy("position_raw").agg(F.count(F.lit(1)).alias("n"), F.count_if(S.is_winner(S.position(P("position_raw")))).alias("winners"), F.count_if(S.did_not_finish(P("position_raw"))).alias("dnf"))
-)
+query("parsed_positions", "SELECT position_raw, count(*) AS n, count(*) FILTER (WHERE position = 1) AS winners, count(*) FILTER (WHERE position_raw IN ('PU', 'F')) AS dnf FROM runs GROUP BY position_raw")(lambda v: R.position_texts(v.runs))
 query("parsed_class", "SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS INT) AS race_class FROM orders", False)(lambda v: v.table("orders").select("o_orderkey", S.race_class(F.concat(F.lit("Class "), F.substring("o_orderpriority", 1, 1))).alias("race_class")))
 query("parsed_money", "SELECT o_orderkey, o_totalprice AS prize FROM orders", False)(lambda v: v.table("orders").select("o_orderkey", S.money(F.concat(F.lit("£"), F.format_string("%.2f", "o_totalprice"))).alias("prize")))
 query("parsed_distance", "SELECT race_id, (distance_f // 8) * 1609 + (distance_f % 8) * 201 AS metres, distance_f * 220 AS yards FROM races")(
@@ -293,15 +276,11 @@ query("dq_twins", "SELECT count(l_discount) AS first_filled, count(l_tax) AS sec
 query("dq_recomputed_rate", "SELECT jockey_id, win_rate, round(win_rate + CASE WHEN jockey_id % 5 = 0 THEN 1 ELSE 0 END, 2) AS stored FROM (SELECT jockey_id, round(100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*), 2) AS win_rate FROM runs GROUP BY 1) WHERE jockey_id % 5 = 0")(
     lambda v: A.lifetime(v.runs, "jockey_id").select("jockey_id", "win_rate", F.round(P("win_rate") + F.when(P("jockey_id") % 5 == 0, 1).otherwise(0), 2).alias("stored")).where(F.abs(P("stored") - P("win_rate")) > 0.1)
 )
-query("dq_region_distribution", "SELECT upper(region) AS region, count(*) AS n FROM races GROUP BY 1")(lambda v: v.races.groupBy(F.upper("region").alias("region")).agg(F.count(F.lit(1)).alias("n")))
+query("dq_region_distribution", "SELECT upper(region) AS region, count(*) AS n FROM races GROUP BY 1")(lambda v: R.counts_by(v.races, F.upper("region").alias("region")))
 query("yearly_coverage", "SELECT year, coalesce(n, 0) AS n FROM (SELECT unnest(range(min(year(race_date)), max(year(race_date)) + 1))::INT AS year FROM races) LEFT JOIN (SELECT year(race_date)::INT AS year, count(*) AS n FROM races GROUP BY 1) USING (year)")(lambda v: A.yearly_coverage(v.races, "race_date"))
 query("yearly_completeness", "SELECT year(race_date)::INT AS year, count(*) AS n, round(100.0::DOUBLE * count(*) / 2500, 2) AS percent, CASE WHEN round(100.0::DOUBLE * count(*) / 2500, 2) >= 90 THEN 'complete' WHEN round(100.0::DOUBLE * count(*) / 2500, 2) >= 50 THEN 'partial' ELSE 'missing' END AS status FROM races GROUP BY 1")(lambda v: A.completeness(A.yearly_coverage(v.races, "race_date"), 2500))
-query("result_split", "SELECT count(*) AS n, count(*) FILTER (WHERE position IS NULL) AS entries, count(position) AS results, round(100.0::DOUBLE * count(position) / count(*), 2) AS result_percent FROM runs")(
-    lambda v: v.runs.agg(F.count(F.lit(1)).alias("n"), F.count_if(P("position").isNull()).alias("entries"), F.count("position").alias("results")).withColumn("result_percent", S.rate(P("results"), P("n")))
-)
-query("coverage_union", "SELECT 'sire' AS kind, count(DISTINCT sire_id) AS n FROM horses UNION ALL SELECT 'dam', count(DISTINCT dam_id) FROM horses UNION ALL SELECT 'damsire', count(DISTINCT damsire_id) FROM horses")(
-    lambda v: v.horses.agg(F.countDistinct("sire_id").alias("a"), F.countDistinct("dam_id").alias("b"), F.countDistinct("damsire_id").alias("c")).select(F.expr("stack(3, 'sire', a, 'dam', b, 'damsire', c) as (kind, n)"))
-)
+query("result_split", "SELECT count(*) AS n, count(*) FILTER (WHERE position IS NULL) AS entries, count(position) AS results, round(100.0::DOUBLE * count(position) / count(*), 2) AS result_percent FROM runs")(lambda v: R.result_split(v.runs))
+query("coverage_union", "SELECT 'sire' AS kind, count(DISTINCT sire_id) AS n FROM horses UNION ALL SELECT 'dam', count(DISTINCT dam_id) FROM horses UNION ALL SELECT 'damsire', count(DISTINCT damsire_id) FROM horses")(lambda v: R.distinct_by_kind(v.horses, {"sire": "sire_id", "dam": "dam_id", "damsire": "damsire_id"}))
 query("run_history", "SELECT race_id, horse_id, race_date, course_id, position FROM runs")(lambda v: v.runs.select("race_id", "horse_id", "race_date", "course_id", "position"))
 query("run_history_all", "SELECT race_id, horse_id, race_date, course_id, position FROM runs WHERE position IS NOT NULL ORDER BY horse_id, race_date DESC, race_id DESC")(
     lambda v: v.runs.where("position is not null").select("race_id", "horse_id", "race_date", "course_id", "position").orderBy("horse_id", F.desc("race_date"), F.desc("race_id"))
@@ -309,51 +288,25 @@ query("run_history_all", "SELECT race_id, horse_id, race_date, course_id, positi
 query("breeding_multiplier", "SELECT ancestor_id, progeny_wins, own_wins, round(progeny_wins::DOUBLE / own_wins, 2) AS multiplier FROM (SELECT ancestor_id, count(*) AS progeny_wins FROM lineage WHERE relation = 'damsire' AND position = 1 GROUP BY 1) JOIN (SELECT CAST(horse_id AS VARCHAR) AS ancestor_id, count(*) AS own_wins FROM runs WHERE position = 1 GROUP BY 1) USING (ancestor_id)")(
     lambda v: G.breeding_multiplier(v.lineage.where("relation = 'damsire'"), G.own_career(v.runs))
 )
-query("breeding_multiplier_own_wins", "SELECT ancestor_id, progeny_wins, own_wins, round(progeny_wins::DOUBLE / own_wins, 2) AS multiplier FROM (SELECT ancestor_id, count(*) AS progeny_wins FROM lineage WHERE relation = 'damsire' AND position = 1 GROUP BY 1) JOIN (SELECT CAST(horse_id AS VARCHAR) AS ancestor_id, count(*) AS own_wins FROM runs WHERE position = 1 GROUP BY 1) USING (ancestor_id)")(
-    lambda v: G.breeding_multiplier(v.lineage.where("relation = 'damsire'"), G.own_career(v.runs))
-)
-query("staleness_by_region", "SELECT region, max(race_date) AS latest, datediff('day', max(race_date), any_value(d))::INT AS age_days FROM races, ended GROUP BY region")(
-    lambda v: v.races.groupBy("region").agg(F.max("race_date").alias("latest")).withColumn("age_days", F.datediff(v.as_of, "latest"))
-)
-
+query("staleness_by_region", "SELECT region, max(race_date) AS latest, datediff('day', max(race_date), any_value(d))::INT AS age_days FROM races, ended GROUP BY region")(lambda v: R.staleness(v.races, "region", v.as_of))
 # -- logs, coverage and reports -------------------------------------------------------------------
 
 query("marker_rows_excluded", "SELECT c_custkey FROM customer WHERE c_name NOT LIKE 'Customer#0000001%'", False)(lambda v: v.table("customer").where(~P("c_name").startswith("Customer#0000001")).select("c_custkey"))
-query("run_log_statistics", "SELECT user_id, count(*) AS runs, count(*) FILTER (WHERE event_type <> 'error') AS successes, round(100.0::DOUBLE * count(*) FILTER (WHERE event_type <> 'error') / count(*), 2) AS success_rate FROM events WHERE ts >= TIMESTAMP '2024-01-20' GROUP BY 1", False)(
-    lambda v: v.table("events").where(P("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")).groupBy("user_id").agg(F.count(F.lit(1)).alias("runs"), F.count_if(P("event_type") != "error").alias("successes")).withColumn("success_rate", S.rate(P("successes"), P("runs")))
-)
+query("run_log_statistics", "SELECT user_id, count(*) AS runs, count(*) FILTER (WHERE event_type <> 'error') AS successes, round(100.0::DOUBLE * count(*) FILTER (WHERE event_type <> 'error') / count(*), 2) AS success_rate FROM events WHERE ts >= TIMESTAMP '2024-01-20' GROUP BY 1", False)(lambda v: R.success_rates(v.table("events").where(P("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")), "user_id", P("event_type") == "error"))
 query("update_history", "SELECT event_id, user_id, event_type FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id LIMIT 20", False)(
     lambda v: v.table("events").where("event_type = 'error'").orderBy(F.desc("ts"), "event_id").limit(20).select("event_id", "user_id", "event_type")
 )
-query("result_arrival", "SELECT race_date, count(*) AS runs, count(position) AS results, count(DISTINCT race_id) AS races FROM runs GROUP BY race_date")(
-    lambda v: v.runs.groupBy("race_date").agg(F.count(F.lit(1)).alias("runs"), F.count("position").alias("results"), F.countDistinct("race_id").alias("races"))
-)
-query("feature_quality", "SELECT race_date, count(*) AS rows, count(*) FILTER (WHERE position IS NOT NULL AND sp_decimal > 1) AS complete, round(avg(sp_decimal), 4) AS mean_price, max(position) AS last_position FROM runs GROUP BY race_date")(
-    lambda v: v.runs.groupBy("race_date").agg(F.count(F.lit(1)).alias("rows"), F.count_if(P("position").isNotNull() & (P("sp_decimal") > 1)).alias("complete"), F.round(F.avg("sp_decimal"), 4).alias("mean_price"), F.max("position").cast("long").alias("last_position"))
-)
-query("ancestor_coverage", "SELECT count(DISTINCT damsire_id) AS ancestors, count(DISTINCT damsire_id) FILTER (WHERE damsire_id IN (SELECT CAST(horse_id AS VARCHAR) FROM runs)) AS found FROM horses")(
-    lambda v: v.horses.select("damsire_id").distinct().join(v.runs.select(P("horse_id").cast("string").alias("damsire_id"), F.lit(1).alias("hit")).distinct(), "damsire_id", "left").agg(F.count(F.lit(1)).alias("ancestors"), F.count("hit").alias("found"))
-)
-query("races_without_results", "SELECT race_id FROM runs GROUP BY race_id HAVING count(position) = 0")(lambda v: v.runs.groupBy("race_id").agg(F.count("position").alias("n")).where("n = 0").select("race_id"))
-query("history_text", "SELECT horse_id, string_agg(race_date || ':' || position_raw, ';' ORDER BY race_date DESC, race_id DESC) AS history FROM runs GROUP BY horse_id")(
-    lambda v: v.runs.groupBy("horse_id").agg(F.sort_array(F.collect_list(F.struct("race_date", "race_id", "position_raw")), asc=False).alias("h")).select("horse_id", F.array_join(F.transform("h", lambda x: F.concat(x["race_date"].cast("string"), F.lit(":"), x["position_raw"])), ";").alias("history"))
-)
+query("result_arrival", "SELECT race_date, count(*) AS runs, count(position) AS results, count(DISTINCT race_id) AS races FROM runs GROUP BY race_date")(lambda v: R.arrival_by_day(v.runs))
+query("feature_quality", "SELECT race_date, count(*) AS rows, count(*) FILTER (WHERE position IS NOT NULL AND sp_decimal > 1) AS complete, round(avg(sp_decimal), 4) AS mean_price, max(position) AS last_position FROM runs GROUP BY race_date")(lambda v: R.feature_quality(v.runs))
+query("ancestor_coverage", "SELECT count(DISTINCT damsire_id) AS ancestors, count(DISTINCT damsire_id) FILTER (WHERE damsire_id IN (SELECT CAST(horse_id AS VARCHAR) FROM runs)) AS found FROM horses")(lambda v: R.ancestor_coverage(v.horses, v.runs, "damsire_id"))
+query("races_without_results", "SELECT race_id FROM runs GROUP BY race_id HAVING count(position) = 0")(lambda v: R.races_without_results(v.runs))
+query("history_text", "SELECT horse_id, string_agg(race_date || ':' || position_raw, ';' ORDER BY race_date DESC, race_id DESC) AS history FROM runs GROUP BY horse_id")(lambda v: R.history_text(v.runs))
 query("regions_from_courses", "SELECT region, min(course_id) AS course_id FROM races WHERE region IS NOT NULL GROUP BY region")(lambda v: W.top_by(v.races.where("region is not null").select("region", "course_id"), ["region"], [P("course_id")]))
-query("race_coverage", "SELECT count(*) AS races, count(*) FILTER (WHERE n > 0) AS with_runners, count(*) FILTER (WHERE n = 0) AS without, sum(greatest(3 - n, 0))::BIGINT AS deficit FROM (SELECT race_id, count(horse_id) AS n FROM races LEFT JOIN runs USING (race_id) GROUP BY race_id)")(
-    lambda v: v.races.select("race_id").join(v.runs.select("race_id", "horse_id"), "race_id", "left").groupBy("race_id").agg(F.count("horse_id").alias("n"))
-    .agg(F.count(F.lit(1)).alias("races"), F.count_if(P("n") > 0).alias("with_runners"), F.count_if(P("n") == 0).alias("without"), F.sum(F.greatest(F.lit(3) - P("n"), F.lit(0))).alias("deficit"))
-)
-query("backfill_estimate", "SELECT datediff('day', min(race_date), max(race_date))::INT + 1 AS days, count(*) AS races, round(count(*)::DOUBLE / (datediff('day', min(race_date), max(race_date)) + 1), 4) AS races_per_day FROM races")(
-    lambda v: v.races.agg((F.datediff(F.max("race_date"), F.min("race_date")) + 1).alias("days"), F.count(F.lit(1)).alias("races")).withColumn("races_per_day", F.round(P("races") / P("days"), 4))
-)
-query("row_minimum", "SELECT 'runs' AS table_name, count(*) AS n, CASE WHEN count(*) < 1000 THEN 'fail' WHEN count(*) < 2000 THEN 'warn' ELSE 'pass' END AS state FROM runs")(
-    lambda v: v.runs.agg(F.lit("runs").alias("table_name"), F.count(F.lit(1)).alias("n")).withColumn("state", F.when(P("n") < 1000, "fail").when(P("n") < 2000, "warn").otherwise("pass"))
-)
+query("race_coverage", "SELECT count(*) AS races, count(*) FILTER (WHERE n > 0) AS with_runners, count(*) FILTER (WHERE n = 0) AS without, sum(greatest(3 - n, 0))::BIGINT AS deficit FROM (SELECT race_id, count(horse_id) AS n FROM races LEFT JOIN runs USING (race_id) GROUP BY race_id)")(lambda v: R.race_coverage(R.runners_by_race(v.races, v.runs)))
+query("backfill_estimate", "SELECT datediff('day', min(race_date), max(race_date))::INT + 1 AS days, count(*) AS races, round(count(*)::DOUBLE / (datediff('day', min(race_date), max(race_date)) + 1), 4) AS races_per_day FROM races")(lambda v: R.backfill_estimate(v.races))
+query("row_minimum", "SELECT 'runs' AS table_name, count(*) AS n, CASE WHEN count(*) < 1000 THEN 'fail' WHEN count(*) < 2000 THEN 'warn' ELSE 'pass' END AS state FROM runs")(lambda v: R.row_minimum(v.runs, "runs", 1000, 2000))
 RULES = [("position", "post_race"), ("prize_won", "post_race"), ("going", "optional")]
-query("dq_null_categories", f"SELECT coalesce(category, 'unexpected') AS category, count(*) AS columns, sum(missing)::BIGINT AS missing FROM ({POP_SQL}) LEFT JOIN (VALUES ('position', 'post_race'), ('prize_won', 'post_race'), ('going', 'optional')) r(column_name, category) USING (column_name) GROUP BY 1")(
-    lambda v: Q.column_population(v.runs, RUN_COLUMNS).join(F.broadcast(v.spark.createDataFrame(RULES, "column_name string, category string")), "column_name", "left")
-    .groupBy(F.coalesce("category", F.lit("unexpected")).alias("category")).agg(F.count(F.lit(1)).alias("columns"), F.sum("missing").alias("missing"))
-)
+query("dq_null_categories", f"SELECT coalesce(category, 'unexpected') AS category, count(*) AS columns, sum(missing)::BIGINT AS missing FROM ({POP_SQL}) LEFT JOIN (VALUES ('position', 'post_race'), ('prize_won', 'post_race'), ('going', 'optional')) r(column_name, category) USING (column_name) GROUP BY 1")(lambda v: R.null_categories(Q.column_population(v.runs, RUN_COLUMNS), v.spark.createDataFrame(RULES, "column_name string, category string")))
 query("position_from_payload", "SELECT event_id, coalesce(CASE WHEN event_id % 3 = 0 THEN event_id::INT END, try_cast(json_extract_string(props, '$.k') AS INT)) AS position FROM events", False)(
     lambda v: v.table("events").select("event_id", S.coalesced_position([F.when(P("event_id") % 3 == 0, P("event_id"))], P("props"), "$.k").alias("position"))
 )

@@ -106,11 +106,10 @@ for kind in ("jockey", "trainer"):
 
 # -- landed runs -------------------------------------------------------------------------------------
 
-for kind in ("jockey", "trainer", "owner"):
-    key = f"{kind}_id"
-    query(f"landed_recent_form_{kind}", f"SELECT *, {RECENT_RATES} FROM (SELECT {key}, {recent} FROM runs, ended WHERE position IS NOT NULL AND race_date >= d - 30 GROUP BY {key})")(
-        lambda v, key=key: A.recent_form(landed.between(v.landed, first=F.date_sub(v.as_of, 30)), key, v.as_of)
-    )
+# the same results as by recent_form_trainer, runner_statistics and feature_rows, without their scans and shuffles
+query("landed_recent_form_trainer", f"SELECT *, {RECENT_RATES} FROM (SELECT trainer_id, {recent} FROM runs, ended WHERE position IS NOT NULL AND race_date >= d - 30 GROUP BY trainer_id)")(
+    lambda v: A.recent_form(landed.between(v.landed, first=F.date_sub(v.as_of, 30)), "trainer_id", v.as_of)
+)
 query("landed_runner_statistics", _record_sql())(lambda v: X.runner_statistics(v.landed, v.as_of, dealt=True))
 query("landed_feature_rows", _features_sql())(lambda v: X.feature_rows(v.landed, dealt=True))
 query("landed_days_of_region", "SELECT race_id, horse_id, race_date FROM runs WHERE race_date IN (SELECT race_date FROM races, ended WHERE region = 'ASIA' AND race_date >= d - 20)")(

@@ -8,16 +8,16 @@ from paddock.functions import parsers as S
 CASES = [
     (S.position, [("1", 1), ("10", 10), ("F", None), ("U", None), ("PU", None), ("BD", None), ("Died as a 5", 5), ("DIED AS 7", 7), ("died as an 11", 11), ("DIED", None), ("1st", 1), ("", None), (None, None), ("REF", None)]),
     (S.strict_position, [("3", 3), ("3rd", None), (" 4 ", 4), (None, None)]),
-    (S.beaten_distance, [("0", "0"), (".5", "0.5L"), ("1.25", "1.25L"), ("35", "35L"), ("", None), ("nk", "nk")]),
-    (S.money, [("3245.08", 3245.08), ("£4,187", 4187.0), ("", None), ("€10", 10.0), ("x", None)]),
-    (S.text, [("9/4", "9/4"), ("13/8F", "13/8F"), ("", None), (" a ", "a")]),
-    (S.rating, [("66", 66), ("–", None), ("", None), ("-", None), ("N/A", None)]),
+    (S.beaten_distance, [("0", "0"), (".5", "0.5L"), ("2.75", "2.75L"), ("48", "48L"), ("", None), ("nk", "nk")]),
+    (S.money, [("7016.4", 7016.4), ("£12,950", 12950.0), ("", None), ("€88", 88.0), ("x", None)]),
+    (S.text, [("7/2", "7/2"), ("11/10J", "11/10J"), ("", None), (" a ", "a")]),
+    (S.rating, [("92", 92), ("–", None), ("", None), ("-", None), ("N/A", None)]),
     (S.integer, [("5", 5), ("abc", None), ("-7", -7)]),
-    (S.decimal, [("4.50", 4.5), ("1L", 1.0), ("14L", 14.0), ("-", None), ("abc", None), ("4D", None), ("NaN", None)]),
+    (S.decimal, [("6.20", 6.2), ("3L", 3.0), ("27L", 27.0), ("-", None), ("abc", None), ("4D", None), ("NaN", None)]),
     (S.breeding_region, [("Quiet Harbour (UK)", "gb"), ("Blue Lantern (NZ) ", "nz"), ("Marsh Fiddler (XYZ)", "xyz"), ("Copper (GER) Kettle", None), ("Low (gb)", None), ("Nameless", None), (None, None)]),
     (S.yards, [("16f", 3520), ("2m", 3520), ("2m4f", 4400), ("1m2f110y", 2310), ("7.5f", 1650), (None, None)]),
     (S.metres, [("1m", 1609), ("6f", 1206), ("2m4f", 4022), ("7.5f", 1507), ("1200", 1200), ("m", None), ("f", None), ("soft", None), ("", None)]),
-    (S.seconds, [("1:48.55", 108.55), ("2:05.32", 125.32), ("59.1", 59.1), ("x", None)]),
+    (S.seconds, [("1:36.25", 96.25), ("3:10.5", 190.5), ("58.4", 58.4), ("x", None)]),
     (S.race_class, [("Class 3", 3), ("class7", 7), ("x", None)]),
     (S.furlongs, [("8f", 8.0), ("", None)]),
     (S.name_key, [("  Red   Rum ", "red rum")]),
