@@ -105,6 +105,20 @@ def feature_rows(runs: DataFrame, tolerance: float = 0.1, dealt: bool = False, k
     return wide.withColumns(rates)
 
 
+#: What documents say about a runner and its people, beside the race's outcome.
+DETAILS = ("number", "draw", "age", "sex", "weight_lbs", "headgear", "ofr", "rpr", "ts", "horse_name", "jockey_name", "trainer_name", "owner_name", "comment")
+
+
+def with_runner_details(rows: DataFrame, runners: DataFrame, columns: Sequence[str] = DETAILS) -> DataFrame:
+    """Feature rows with what the runners' documents carry (draw, ratings, names ...); null where there is no document. Ids
+    are compared as text; of several rows of a runner the one with the largest columns counts."""
+    keys = ("race_id", "horse_id")
+    known = [c for c in columns if c in runners.columns]
+    one = runners.groupBy(*[P(k).cast("string").alias(f"_{k}") for k in keys]).agg(F.max(F.struct(*known)).alias("_d"))
+    out = rows.join(one, (P("race_id").cast("string") == P("_race_id")) & (P("horse_id").cast("string") == P("_horse_id")), "left")
+    return out.select(*rows.columns, *[P(f"_d.{c}").alias(c) for c in known])
+
+
 def feature_health(features: DataFrame, as_of: Column, keys: Sequence[str] = ("race_id", "horse_id", "jockey_id", "trainer_id")) -> DataFrame:
     """One row about a table of features: rows, latest date and its age with a state, share with form, missing
     keys, mean depth of the history, shares with a form score and with each kind of context."""

@@ -149,12 +149,71 @@ def result_documents(v: Views) -> DataFrame:
     return races.select(F.from_json(line, documents.RESULT_SCHEMA).alias("d")).select("d.*")
 
 
+def detailed_documents(v: Views) -> DataFrame:
+    """Results that carry draw, ratings and names; every fourth race has none."""
+    text = lambda c: P(c).cast("string")
+    runner = F.struct(
+        text("horse_id").alias("horse_id"), F.concat(F.lit("Horse "), text("horse_id")).alias("horse"), F.concat(F.lit("J "), text("jockey_id")).alias("jockey"), (P("horse_id") % 16).cast("string").alias("draw"),
+        F.when(P("horse_id") % 3 == 0, "–").otherwise((40 + P("horse_id") % 60).cast("string")).alias("or"), (50 + P("horse_id") % 50).cast("string").alias("rpr"), F.lit("9-2").alias("weight"), F.lit("128").alias("weight_lbs"), F.when(P("horse_id") % 5 == 0, "b").alias("headgear"),
+    )
+    races = v.runs.where("race_id % 4 > 0").groupBy("race_id", "race_date").agg(F.collect_list(runner).alias("runners"))
+    line = F.to_json(F.struct(text("race_id").alias("race_id"), text("race_date").alias("date"), "runners"))
+    return races.select(F.from_json(line, documents.RESULT_SCHEMA).alias("d")).select("d.*")
+
+
+HAS = "race_id % 4 > 0"
+query(
+    "feature_details",
+    f"SELECT race_id, horse_id, count(*) OVER (PARTITION BY horse_id ORDER BY race_date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING) AS total_races, CASE WHEN {HAS} THEN (horse_id % 16)::VARCHAR END AS draw, CASE WHEN {HAS} AND horse_id % 3 > 0 THEN (40 + horse_id % 60)::INT END AS ofr, CASE WHEN {HAS} THEN (50 + horse_id % 50)::INT END AS rpr, CASE WHEN {HAS} THEN 128 END AS weight_lbs, CASE WHEN {HAS} AND horse_id % 5 = 0 THEN 'b' END AS headgear, CASE WHEN {HAS} THEN 'Horse ' || horse_id END AS horse_name, CASE WHEN {HAS} THEN 'J ' || jockey_id END AS jockey_name FROM runs",
+)(
+    lambda v: X.with_runner_details(X.feature_rows(v.runs).select("race_id", "horse_id", "total_races"), documents.result_runners(detailed_documents(v)), ("draw", "ofr", "rpr", "weight_lbs", "headgear", "horse_name", "jockey_name"))
+)
 query("documents_result_races", "SELECT race_id::VARCHAR AS race_id, race_date, 2 AS race_class, 2011 AS distance_m, count(*) AS field_size, max(CASE WHEN position = 1 THEN '1:01.5' END) AS winning_time FROM runs GROUP BY race_id, race_date")(
     lambda v: documents.result_races(result_documents(v)).select("race_id", "race_date", "race_class", "distance_m", "field_size", "winning_time")
 )
 query("documents_result_runners", "SELECT race_id::VARCHAR AS race_id, race_date, horse_id::VARCHAR AS horse_id, jockey_id::VARCHAR AS jockey_id, NULL::VARCHAR AS owner_id, position, position::VARCHAR AS position_str, position IS NULL AS did_not_finish, sp_decimal AS starting_price_decimal, 60.5 + coalesce(position, 9) AS time_seconds, prize_won FROM runs")(
     lambda v: documents.result_runners(result_documents(v)).select("race_id", "race_date", "horse_id", "jockey_id", "owner_id", "position", "position_str", "did_not_finish", "starting_price_decimal", "time_seconds", "prize_won")
 )
+def card_documents(v: Views) -> DataFrame:
+    """The runs nested by race as pre-race documents; every tenth horse and every ninth race has a blank id."""
+    text = lambda c: P(c).cast("string")
+    runner = F.struct(F.when(P("horse_id") % 10 == 0, " ").otherwise(text("horse_id")).alias("horse_id"), text("jockey_id").alias("jockey_id"), F.lit("").alias("trainer_id"), F.lit("126").alias("lbs"), (P("horse_id") % 9).cast("string").alias("age"), F.lit("–").alias("ofr"), (P("horse_id") % 2 == 0).alias("is_scratched"))
+    races = v.runs.groupBy("race_id", "race_date", "distance_f", "going").agg(F.sort_array(F.collect_list(runner)).alias("runners"))
+    line = F.to_json(F.struct(F.when(P("race_id") % 9 == 0, "").otherwise(text("race_id")).alias("race_id"), text("race_date").alias("date"), F.lit("Class 4").alias("race_class"), F.concat(text("distance_f"), F.lit("f")).alias("distance"), text("distance_f").alias("distance_f"), "going", F.lit("£9,300").alias("prize"), "runners"))
+    return races.select(F.from_json(line, documents.CARD_SCHEMA).alias("d")).select("d.*")
+
+
+query("documents_card_races", "SELECT race_id::VARCHAR AS race_id, race_date, 4 AS race_class, distance_f::DOUBLE AS distance_f, (distance_f * 201)::INT AS distance_m, going, 9300.0::DOUBLE AS prize, count(*) AS field_size, false AS has_result FROM runs WHERE race_id % 9 > 0 GROUP BY race_id, race_date, distance_f, going")(
+    lambda v: documents.card_races(card_documents(v)).select("race_id", "race_date", "race_class", "distance_f", "distance_m", "going", "prize", "field_size", "has_result")
+)
+query("documents_card_runners", "SELECT race_id::VARCHAR AS race_id, horse_id::VARCHAR AS horse_id, jockey_id::VARCHAR AS jockey_id, NULL::VARCHAR AS trainer_id, 126 AS weight_lbs, (horse_id % 9)::INT AS age, NULL::INT AS ofr, horse_id % 2 = 0 AS is_scratched FROM runs WHERE race_id % 9 > 0 AND horse_id % 10 > 0")(
+    lambda v: documents.card_runners(card_documents(v)).select("race_id", "horse_id", "jockey_id", "trainer_id", "weight_lbs", "age", "ofr", "is_scratched")
+)
+query("documents_courses", "SELECT n_nationkey::VARCHAR AS id, n_name || '-AW' AS name, r_name AS region, CASE WHEN n_nationkey % 3 > 0 THEN n_nationkey + 0.5 END AS latitude, CASE WHEN n_nationkey % 3 > 0 THEN -n_nationkey - 0.5 END AS longitude FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey % 7 > 0", False)(
+    lambda v: (lambda n: documents.course_rows(
+        n.select(F.from_json(F.to_json(F.struct(F.when(P("n_nationkey") % 7 == 0, " ").otherwise(P("n_nationkey").cast("string")).alias("id"), F.concat("n_name", F.lit("-AW")).alias("course"), P("r_name").alias("region"))), documents.COURSE_SCHEMA).alias("d")).select("d.*"),
+        n.where("n_nationkey % 3 > 0").select(P("n_name").alias("name"), F.lower("r_name").alias("region"), (P("n_nationkey") + 0.5).alias("latitude"), (-P("n_nationkey") - 0.5).alias("longitude")),
+    ).select("id", "name", "region", "latitude", "longitude"))(v.table("nation").join(v.table("region"), P("n_regionkey") == P("r_regionkey")))
+)
+#: Raw texts of six kinds, dealt out by race, and what the parsers make of them.
+TEXTS = {
+    "strict_position": (S.strict_position, ("3rd", " 4 ", "PU", "7", "", "+2"), ("NULL", "4", "NULL", "7", "NULL", "2"), "INT"),
+    "beaten": (S.beaten_distance, ("0", ".5", "2.75", "48", "nk", ""), ("'0'", "'0.5L'", "'2.75L'", "'48L'", "'nk'", "NULL"), "VARCHAR"),
+    "price": (S.text, (" 7/2 ", "11/10J", "", "Evs", "  ", "4/1"), ("'7/2'", "'11/10J'", "NULL", "'Evs'", "NULL", "'4/1'"), "VARCHAR"),
+    "rating": (S.rating, ("92", "–", "-", "N/A", "", " 70 "), ("92", "NULL", "NULL", "NULL", "NULL", "70"), "INT"),
+    "decimal": (S.decimal, ("6.20", "3L", "27L", "-", "abc", "NaN"), ("6.2", "3", "27", "NULL", "NULL", "NULL"), "DOUBLE"),
+    "seconds": (S.seconds, ("1:36.25", "3:10.5", "58.4", "x", "", "2:00"), ("96.25", "190.5", "58.4", "NULL", "NULL", "120"), "DOUBLE"),
+    "furlongs": (S.furlongs, ("8f", "6.5f", "", "f", "12f", "7"), ("8", "6.5", "NULL", "NULL", "12", "7"), "DOUBLE"),
+}
+query(
+    "parsed_runner_texts",
+    "SELECT race_id, horse_id, " + ", ".join(f"([{', '.join(want)}]::{kind}[])[race_id % 6 + 1] AS {name}" for name, (_, _, want, kind) in TEXTS.items()) + ", position AS placed, CASE WHEN horse_id % 40 = 0 THEN '0' WHEN horse_id % 4 = 0 THEN (horse_id % 40 // 4) || 'L' ELSE (horse_id % 40 / 4.0)::DOUBLE || 'L' END AS margin FROM runs",
+)(
+    lambda v: v.runs.select(
+        "race_id", "horse_id", *[parse(F.element_at(F.array(*map(F.lit, texts)), (P("race_id") % 6 + 1).cast("int"))).alias(name) for name, (parse, texts, _, _) in TEXTS.items()],
+        S.strict_position(P("position_raw")).alias("placed"), S.beaten_distance((P("horse_id") % 40 / 4).cast("string")).alias("margin"),
+    )
+)
 FIRST = "SELECT jockey_id, race_date, position_raw, row_number() OVER (PARTITION BY race_id, jockey_id ORDER BY horse_id) AS nth FROM runs"
 query(
     "entity_from_documents",

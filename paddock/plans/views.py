@@ -65,9 +65,10 @@ class Views:
         from ..sources.landed import land
         from ..sources.shared import shared_folder
 
-        name = f"runs_{zlib.crc32(self.folder.encode()):08x}"
+        name = f"runs_{zlib.crc32(f'{self.spark.sparkContext.applicationId} {self.folder}'.encode()):08x}"
         if not self.spark.catalog.tableExists(name):
-            land(self.runs, name, shared_folder(self.spark, name), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+            fit = self.table("lineitem").count() // 500_000  # from the files' footers; a bucket has a file in each month
+            land(self.runs, name, shared_folder(self.spark, name), max(4, min(fit, int(self.spark.conf.get("spark.sql.shuffle.partitions")))))
         return self.spark.table(name)
 
     @cached_property
