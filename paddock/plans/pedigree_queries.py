@@ -49,6 +49,6 @@ for relation in ("sire", "dam"):
         f"SELECT ancestor_id, own_runs, own_wins, progeny, wins, round(wins::DOUBLE / own_wins, 2) AS multiplier FROM {PATHS} JOIN (SELECT horse_id AS ancestor_id, count(*) AS own_runs, count(*) FILTER (WHERE position = 1) AS own_wins FROM runs GROUP BY 1) USING (ancestor_id) WHERE path = '{relation}' AND wins > 0 AND own_wins > 0",
     )(lambda v, r=relation: G.proven_producers(v.ancestry, G.own_career(v.runs), G.horse_totals(v.runs), r))
 closure_query(
-    "breeding_multiplier_own_wins",
+    "multipliers_by_path",
     f"SELECT ancestor_id, path, progeny_wins, own_wins, round(progeny_wins::DOUBLE / own_wins, 2) AS multiplier FROM (SELECT ancestor_id, path, wins AS progeny_wins FROM {PATHS} WHERE wins > 0) JOIN (SELECT horse_id AS ancestor_id, count(*) FILTER (WHERE position = 1) AS own_wins FROM runs GROUP BY 1) USING (ancestor_id) WHERE own_wins > 0",
 )(lambda v: G.multipliers_by_path(v.ancestry, G.own_career(v.runs), G.horse_totals(v.runs)))

@@ -94,8 +94,11 @@ query("top_at_distance", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION
 )
 query("top_pairs", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id")(lambda v: R.runs_of_pairs(v.runs, "jockey_id", "horse_id"))
 PAIRS = (("jockey_id", "horse_id"), ("trainer_id", "horse_id"), ("owner_id", "horse_id"), ("jockey_id", "trainer_id"))
+query("top_pairs_all", "SELECT jockey_id, horse_id, count(*) AS runs FROM runs GROUP BY ALL ORDER BY runs DESC, jockey_id, horse_id")(
+    lambda v: v.runs.groupBy("jockey_id", "horse_id").agg(F.count(F.lit(1)).alias("runs")).orderBy(F.desc("runs"), "jockey_id", "horse_id")
+)
 query(
-    "top_pairs_all",
+    "top_pairs_of_all_kinds",
     "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{a[:-3]}_{b[:-3]}' AS pair_type, CAST({a} AS VARCHAR) AS first_id, CAST({b} AS VARCHAR) AS second_id, count(*) AS runs, count(*) FILTER (WHERE position = 1) AS wins FROM runs GROUP BY ALL" for a, b in PAIRS) + ") ORDER BY runs DESC, pair_type, first_id, second_id",
 )(lambda v: A.all_pairs(v.runs, PAIRS).orderBy(F.desc("runs"), "pair_type", "first_id", "second_id"))
 query("distance_bands", "SELECT CASE WHEN y < 1400 THEN 'sprint' WHEN y < 1800 THEN 'mile' WHEN y < 2400 THEN 'middle' ELSE 'staying' END AS band, count(*) AS n FROM (SELECT distance_f * 220 AS y FROM races) GROUP BY 1")(lambda v: R.counts_by(v.races, S.distance_band(S.yards(F.concat(P("distance_f").cast("string"), F.lit("f")))).alias("band")))
@@ -171,8 +174,11 @@ query("course_coordinates", "SELECT n_nationkey AS course_id, n_name AS name, r_
 query("calendar_gaps", "SELECT day FROM (SELECT unnest(generate_series(min(race_date), max(race_date), INTERVAL 1 DAY))::DATE AS day FROM races) WHERE day NOT IN (SELECT race_date FROM races)")(
     lambda v: J.calendar_gaps(v.races, "race_date")
 )
+query("calendar_gaps_all", "SELECT day FROM (SELECT unnest(generate_series(min(race_date), max(race_date), INTERVAL 1 DAY))::DATE AS day FROM races) WHERE day NOT IN (SELECT race_date FROM races)")(
+    lambda v: J.calendar_gaps(v.races, "race_date")
+)
 query(
-    "calendar_gaps_all",
+    "calendar_gaps_by_region",
     "WITH x AS (SELECT region, min(race_date) AS a, max(race_date) AS b FROM races GROUP BY 1), y AS (SELECT region, unnest(generate_series(a, b, INTERVAL 1 DAY))::DATE AS day FROM x) SELECT region, day FROM y WHERE (region, day) NOT IN (SELECT region, race_date FROM races)",
 )(lambda v: J.calendar_gaps(v.races, "race_date", by=["region"]))
 query("month_chunks", "SELECT greatest(m, d0)::DATE AS chunk_start, least(last_day(m), d1)::DATE AS chunk_end FROM (SELECT min(race_date) AS d0, max(race_date) AS d1, unnest(generate_series(date_trunc('month', min(race_date)), max(race_date)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM races)")(
@@ -221,7 +227,8 @@ query("sample_by_region", "SELECT region, race_id FROM (SELECT region, race_id,
 CONTEXT_STATS = {"course": "b.course_id = a.course_id", "surface": "b.surface = a.surface", "going": "b.going = a.going", "class": "b.race_class = a.race_class", "jockey": "b.jockey_id = a.jockey_id", "trainer": "b.trainer_id = a.trainer_id"}
 query("ml_context_stats", "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id")(lambda v: W.context_stats(v.runs))
 CONTEXT_RATES = ", ".join(f"CASE WHEN {k}_runs > 0 THEN round(100.0::DOUBLE * {k}_wins / {k}_runs, 2) END AS {k}_win_rate" for k in ("career", *CONTEXT_STATS))
-query("ml_context_stats_all", f"SELECT *, {CONTEXT_RATES} FROM (" + "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id" + ")")(lambda v: W.with_context_rates(W.context_stats(v.runs)))
+query("ml_context_stats_all", "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id")(lambda v: W.context_stats(v.runs))
+query("ml_context_rates", f"SELECT *, {CONTEXT_RATES} FROM (" + "SELECT a.race_id, a.horse_id, count(b.horse_id) AS career_runs, count(*) FILTER (WHERE b.position = 1) AS career_wins, round(avg(b.position), 4) AS avg_finish, datediff('day', max(b.race_date), any_value(a.race_date))::INT AS days_since, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}_runs, count(*) FILTER (WHERE {c} AND b.position = 1) AS {k}_wins" for k, c in CONTEXT_STATS.items()) + " FROM runs a LEFT JOIN runs b ON a.horse_id = b.horse_id AND b.race_date < a.race_date GROUP BY a.race_id, a.horse_id" + ")")(lambda v: W.with_context_rates(W.context_stats(v.runs)))
 query("upcoming_summary", "SELECT r.race_id, count(*) AS runners, round(avg(w), 4) AS mean_win_rate FROM (SELECT race_id, horse_id FROM runs, ended WHERE race_date = d) r JOIN (SELECT horse_id, 100.0::DOUBLE * count(*) FILTER (WHERE position = 1) / count(*) AS w FROM runs GROUP BY 1) USING (horse_id) GROUP BY r.race_id")(lambda v: R.upcoming_win_rates(v.runs, v.runs.where(P("race_date") == v.as_of)))
 # -- sources, sinks, parsers ----------------------------------------------------------------------
 
@@ -288,6 +295,9 @@ query("run_history_all", "SELECT race_id, horse_id, race_date, course_id, positi
 query("breeding_multiplier", "SELECT ancestor_id, progeny_wins, own_wins, round(progeny_wins::DOUBLE / own_wins, 2) AS multiplier FROM (SELECT ancestor_id, count(*) AS progeny_wins FROM lineage WHERE relation = 'damsire' AND position = 1 GROUP BY 1) JOIN (SELECT CAST(horse_id AS VARCHAR) AS ancestor_id, count(*) AS own_wins FROM runs WHERE position = 1 GROUP BY 1) USING (ancestor_id)")(
     lambda v: G.breeding_multiplier(v.lineage.where("relation = 'damsire'"), G.own_career(v.runs))
 )
+query("breeding_multiplier_own_wins", "SELECT ancestor_id, progeny_wins, own_wins, round(progeny_wins::DOUBLE / own_wins, 2) AS multiplier FROM (SELECT ancestor_id, count(*) AS progeny_wins FROM lineage WHERE relation = 'damsire' AND position = 1 GROUP BY 1) JOIN (SELECT CAST(horse_id AS VARCHAR) AS ancestor_id, count(*) AS own_wins FROM runs WHERE position = 1 GROUP BY 1) USING (ancestor_id)")(
+    lambda v: G.breeding_multiplier(v.lineage.where("relation = 'damsire'"), G.own_career(v.runs))
+)
 query("staleness_by_region", "SELECT region, max(race_date) AS latest, datediff('day', max(race_date), any_value(d))::INT AS age_days FROM races, ended GROUP BY region")(lambda v: R.staleness(v.races, "region", v.as_of))
 # -- logs, coverage and reports -------------------------------------------------------------------
 
