@@ -13,14 +13,19 @@ import hashlib
 import re
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, text_slices
 
 #: Distinct pre-tokens that a Python worker remembers; beyond it the memory starts anew.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 300_000
+#: Bytes of text that a worker encodes before it hands the rows on; a longer text is taken in pieces.
+STEP_BYTES = 2 << 20
+#: New pre-tokens that are encoded together, which bounds the arrays of their queue.
+STEP_TOKENS = 100_000
 #: Pre-tokens up to so many bytes share one queue; each longer one has the queue to itself and
 #: isn't remembered.
 SHORT_BYTES = 64
@@ -280,9 +285,9 @@ class Codec:
         import regex
 
         self.ranks = load_ranks(path)
-        self.find = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
         latin = latin_pattern(pattern)
-        self.find_latin = re.compile(latin).findall if latin else self.find
+        self.latin = re.compile(latin) if latin else self.pattern
         size = max(self.ranks.values()) + 1
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         words: list[bytes] = [b""] * size
@@ -328,23 +333,43 @@ class Codec:
         self.size, self.data = np.concatenate((self.size, size)), np.concatenate((self.data, data))
         memory.pending = []
 
+    def pieces(self, text: str) -> Iterator[list[str]]:
+        """The pre-tokens of a text, those of a long one in several lists."""
+        try:
+            text.encode("latin-1")
+            pattern = self.latin
+        except UnicodeEncodeError:
+            pattern = self.pattern
+        if len(text) <= STEP_BYTES:
+            yield pattern.findall(text)
+            return
+        found = (x.group() for x in pattern.finditer(text))
+        while some := list(islice(found, STEP_TOKENS)):
+            yield some
+
     def encode(self, texts: list[str]) -> list:
         """Ids of each text as numpy arrays."""
         import numpy as np
 
-        if len(self.memory) > CACHE_ENTRIES or len(self.data) > 16 * CACHE_ENTRIES:
-            self.forget()
-        number, rows = self.memory.__getitem__, []
-        for text in texts:
-            try:
-                text.encode("latin-1")
-                tokens = self.find_latin(text)
-            except UnicodeEncodeError:
-                tokens = self.find(text)
-            rows.append(np.fromiter(map(number, tokens), np.uint32, len(tokens)))
-        if self.memory.pending:
-            self.learn()
-        return [gather(self.data, self.start, self.size, row) for row in rows]
+        out: list[list] = [[] for _ in texts]
+        rows: list = []
+
+        def settle():
+            if self.memory.pending:
+                self.learn()
+            for i, row in rows:
+                out[i].append(gather(self.data, self.start, self.size, row))
+            rows.clear()
+            if len(self.memory) > CACHE_ENTRIES or len(self.data) > 16 * CACHE_ENTRIES:
+                self.forget()
+
+        for i, text in enumerate(texts):
+            for tokens in self.pieces(text):
+                rows.append((i, np.fromiter(map(self.memory.__getitem__, tokens), np.uint32, len(tokens))))
+                if len(self.memory.pending) >= STEP_TOKENS or len(tokens) >= STEP_TOKENS:
+                    settle()
+        settle()
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
 
     def decode(self, ids) -> bytes:
         return self.words.join(ids)
@@ -375,7 +400,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
         import pyarrow as pa
 
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole, 1, STEP_BYTES)):
             out: dict[str, list] = {"n": [], "ids_sha": [], "dec_sha": []} | ({"ids": []} if with_ids else {})
             for ids in c.encode([x or "" for x in batch.column(1).to_pylist()]):
                 out["n"].append(len(ids))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,19 @@ def same_row(left: DataFrame, right: DataFrame, on: tuple[str, ...] = ("_id", "_
     return cond
 
 
+def text_slices(batch, column: int, size: int) -> Iterator:
+    """An Arrow batch in parts of at most ``size`` bytes of text in that column, or of one row."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
