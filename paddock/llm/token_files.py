@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import Memory, gather
-from .common import shared_dir, stage, table
+from .common import shared_dir, stage, table, text_slices
 from .sharedfs import AtomicWriter, read_bytes
 
 END_ID = 1
@@ -28,7 +28,11 @@ SHARD_BYTES = 8 << 20
 #: of rarer pairs make all symbols wider, and files are hardly smaller.
 MIN_COUNT = 16
 #: Words that a worker remembers, in two halves, the older of which is dropped when the newer is full.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
+#: Bytes of text that a worker encodes at once.
+STEP_BYTES = 2 << 20
+#: Symbols of a shard that are looked up or expanded at once.
+STEP_SYMBOLS = 1 << 18
 MAGIC = b"PDKTOK2\0"
 
 
@@ -208,11 +212,14 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
 
     none, end = np.iinfo(np.int32).max, np.uint32(1 << 31)
     seq, rules, n_rules, turn = ids | ends.astype(np.uint32) << np.uint32(31), [], 0, 0  # the top bit marks a document's end
-    some = np.flatnonzero(seq[:-1] < end)
+    keys = lambda places: seq[places].astype(np.uint64) << np.uint64(32) | (seq[places + 1] & ~end)
+    some = np.flatnonzero(seq[:-1] < end).astype(np.int32)
     while len(some):
         turn += 1
-        key = seq[some].astype(np.uint64) << np.uint64(32) | (seq[some + 1] & ~end)
-        order = np.sort(key)
+        order = np.empty(len(some), np.uint64)
+        for a in range(0, len(some), STEP_SYMBOLS):
+            order[a : a + STEP_SYMBOLS] = keys(some[a : a + STEP_SYMBOLS])
+        order.sort()
         head = np.flatnonzero(np.concatenate(([True], order[1:] != order[:-1])))
         count = np.diff(np.append(head, len(order)))
         often = np.flatnonzero(count >= min_count)
@@ -220,25 +227,31 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
             break
         often = often[np.argsort(-count[often], kind="stable")]
         pairs = order[head[often]]
+        del order, head, count
         bits = np.uint64(60 - max(16, len(pairs).bit_length() + 3))
         # a table of the frequent pairs; of those in one slot the rarer ones wait for another hash
         slot = lambda k: ((k ^ k >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15 + (turn << 20)) << np.uint64(4) >> np.uint64(4) >> bits).astype(np.int32)  # noqa: B023, E731
         at, held, number = slot(pairs), np.zeros(1 << (60 - int(bits)), np.uint64), np.full(1 << (60 - int(bits)), none, np.int32)
         held[at[::-1]], number[at[::-1]] = pairs[::-1], np.arange(len(pairs), dtype=np.int32)[::-1]
-        at = slot(key)
-        rank = number[at]
-        maybe = np.flatnonzero(rank < none)
         left = np.zeros(len(seq), bool)
-        left[some[maybe]] = True
-        same = maybe[held[at[maybe]] == key[maybe]]
         place = np.full(len(seq) + 2, none, np.int32)  # shifted by one, with a border at either side
-        here, there = some[same], rank[same]
+        here, there = [], []
+        for a in range(0, len(some), STEP_SYMBOLS):
+            part = some[a : a + STEP_SYMBOLS]
+            key = keys(part)
+            at = slot(key)
+            maybe = np.flatnonzero(number[at] < none)
+            left[part[maybe]] = True
+            same = maybe[held[at[maybe]] == key[maybe]]
+            here.append(part[same])
+            there.append(number[at[same]])
+        here, there = np.concatenate(here), np.concatenate(there)
         place[here + 1] = there
         lowest = (there <= place[here]) & (there <= place[here + 2])
         least, there = here[lowest], there[lowest]
         lead = np.ones(len(least), bool)  # of a run such as aaaa every other place is taken
         lead[1:] = (np.diff(least) > 1) | (there[1:] != there[:-1])
-        step = np.arange(len(least))
+        step = np.arange(len(least), dtype=np.int32)
         every = (step - np.maximum.accumulate(np.where(lead, step, 0))) % 2 == 0
         take, there = least[every], there[every]
         worth = np.bincount(there, minlength=len(pairs)) >= (min_count + 1) // 2
@@ -251,9 +264,8 @@ def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
         left[np.maximum(take, 1) - 1] = True
         keep = np.ones(len(seq), bool)
         keep[take + 1] = False
-        kept = np.flatnonzero(keep)
-        seq, left = seq[kept], left[kept]
-        some = np.flatnonzero(left[:-1] & (seq[:-1] < end))
+        seq, left = seq[keep], left[keep]
+        some = np.flatnonzero(left[:-1] & (seq[:-1] < end)).astype(np.int32)
     return seq & ~end, seq >= end, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
@@ -379,7 +391,11 @@ class Shard:
 
     def all(self):
         """The ids of all documents, one after the other."""
-        return gather(self.flat, self.start, self.size, self.seq)
+        import numpy as np
+
+        steps = range(0, self.n_seq, STEP_SYMBOLS)
+        parts = [gather(self.flat, self.start, self.size, unpack_bits(self.words, self.width, a, min(a + STEP_SYMBOLS, self.n_seq))) for a in steps]
+        return np.concatenate(parts) if parts else self.flat[:0]
 
     def document(self, i: int, first: int = 0, count: int | None = None):
         """Ids ``first`` to ``first + count`` of document ``i``."""
@@ -437,8 +453,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id"
 
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for part in text_slices(batch, 1, STEP_BYTES):
                 for doc_id, ids in zip(part.column(0).to_pylist(), tokenizer.encode(part.column(1).to_pylist()), strict=True):
                     held_docs.append(doc_id)
                     held.append(np.concatenate((ids, end)))

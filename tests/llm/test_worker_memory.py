@@ -3,10 +3,11 @@
 import random
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from paddock.llm import bpe
+from paddock.llm import bpe, token_files
 from paddock.llm.common import text_slices
 
 
@@ -54,3 +55,14 @@ def test_long_texts_are_encoded_in_pieces(monkeypatch, sign):
     monkeypatch.setattr(c.shared, "merge", lambda pieces: most.append(len(pieces)) or merge(pieces))
     assert [x.tolist() for x in c.encode(texts)] == want
     assert max(most) <= 14
+
+
+def test_a_shard_is_packed_and_read_in_little_memory():
+    r = np.random.default_rng(7)
+    ids = [(r.zipf(1.2, n) % 40_000).astype(np.uint32) for n in r.integers(1, 4000, 500)]
+    total = sum(map(len, ids))
+    data, peak = peak_mb(lambda: token_files.pack_shard([*range(500)], ids, 40_000))
+    assert peak * 1e6 < 60 * total
+    shard = token_files.Shard(data)
+    read, peak = peak_mb(shard.all)
+    assert np.array_equal(read, np.concatenate(ids)) and peak * 1e6 < 25 * total
