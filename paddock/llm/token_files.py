@@ -27,7 +27,7 @@ SHARD_BYTES = 8 << 20
 #: A pair that occurs less often isn't replaced. A rule takes some 6 bytes and each use saves 2; rules
 #: of rarer pairs make all symbols wider, and files are hardly smaller.
 MIN_COUNT = 16
-#: Words that a worker remembers, in two halves, the older of which is dropped when the newer is full.
+#: Pieces of text that a worker remembers, in two halves, the older of which is dropped when the newer is full.
 CACHE_WORDS = 500_000
 #: Bytes of text that a worker encodes at once.
 STEP_BYTES = 2 << 20
@@ -38,10 +38,15 @@ MAGIC = b"PDKTOK2\0"
 
 #: Stands between words in one call of the library; a word that holds it is encoded alone.
 MARK = "\x01"
-#: How a pre-tokenizer that keeps runs of letters together says so, in JSON.
-LETTERS = r"[\\p{L}]+"
-#: Signs that follow a word in one run; an apostrophe may belong to the word.
-SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The pre-tokens of a tokenizer whose texts are cut here as it would cut them.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+BLANK, LETTER, DIGIT, SIGN, OTHER = range(5)
+#: Kinds of bytes in UTF-8; OTHER starts or goes on a character beyond ASCII.
+KINDS = bytes(OTHER if b > 127 else LETTER if chr(b).isalpha() else DIGIT if 48 <= b <= 57 else BLANK if b in b"\t\n\v\f\r " else SIGN for b in range(256))
+#: The same for a tokenizer that is only known not to look beyond white space.
+WHOLE = bytes(BLANK if b in b"\n " else OTHER for b in range(256))
+LOWER = bytes(range(256)).lower()
 
 
 def _longer(table, ids, size):
@@ -54,12 +59,12 @@ def _longer(table, ids, size):
 
 class WordTokenizer:
     """A lower-casing tokenizer of the ``tokenizers`` library that drops white space and tells
-    letters from other signs before its merges, applied word by word.
+    letters from digits and other signs before its merges, applied piece by piece.
 
-    Words between blanks and line feeds are encoded by the library once and remembered: no rule
-    of such a tokenizer looks beyond white space. Words of Latin letters, perhaps with signs
-    at the end, are known to be lower-cased and parted from these; each such part goes to the
-    library's model once, whatever words it stands in."""
+    A piece is a run of letters, a digit or a run of signs, in lower case. Distinct pieces are
+    encoded by the library once and remembered. Words between blanks that hold other characters
+    than ASCII and the letters from À to ÿ, or a special token, are pieces as a whole, in their own case: no
+    rule of such a tokenizer looks beyond white space."""
 
     def __init__(self, path: str):
         import json
@@ -70,16 +75,21 @@ class WordTokenizer:
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         config = json.loads(self.tokenizer.to_str())
+        steps = json.dumps(config["pre_tokenizer"])
         self.model = None
-        if config["model"]["type"] == "BPE" and "Lowercase" in json.dumps(config["normalizer"]) and LETTERS in json.dumps(config["pre_tokenizer"]) and "ByteLevel" in json.dumps(config["pre_tokenizer"]):
+        self.special = [x["content"].encode() for x in config["added_tokens"]]
+        apart = all({LETTER, SIGN} <= set(x.translate(KINDS)) and BLANK not in x.translate(KINDS) for x in self.special)
+        if config["model"]["type"] == "BPE" and "Lowercase" in json.dumps(config["normalizer"]) and json.dumps(WORDS) in steps and "ByteLevel" in steps and apart and not any(x["normalized"] for x in config["added_tokens"]):
             self.model = self.tokenizer.model
             shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; others follow 255
             others = [b for b in range(256) if b not in shown]
             self.shown = "".join(chr(256 + others.index(b)) if b in others else chr(b) for b in range(256))
+        self.forget()
+
+    def forget(self) -> None:
         self.memory = Memory()
-        self.words = self.nothing()  # ids of all words, where each word's start, how many it has
+        self.words = self.nothing()  # ids of all pieces, where each piece's start, how many it has
         self.older = {}, self.nothing()  # what was remembered before
-        self.forget_parts()
 
     @staticmethod
     def nothing():
@@ -87,11 +97,57 @@ class WordTokenizer:
 
         return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def forget_parts(self) -> None:
+    def pieces(self, data: bytes):
+        """(pieces as an Arrow array, where each starts) of texts that each end in a line feed."""
+        import numpy as np
+        import pyarrow as pa
+
+        raw = np.frombuffer(data, np.uint8)
+        if self.model is None:
+            kind, low = np.frombuffer(data.translate(WHOLE), np.uint8), raw
+        else:
+            kind, low = (np.frombuffer(bytearray(data.translate(x)), np.uint8) for x in (KINDS, LOWER))
+            self._beyond_ascii(data, raw, kind, low)
+        edge = kind[1:] != kind[:-1]  # between a byte and the next
+        edge |= (kind[1:] == DIGIT) & (kind[:-1] == DIGIT)
+        # a lone apostrophe before letters may make a pre-token with them: it stays in the word
+        at = np.flatnonzero((raw == ord("'")) & (kind == SIGN))
+        at = at[(kind[at - 1] != SIGN) & (kind[at + 1] == LETTER)]
+        edge[at] = False
+        edge[at[kind[at - 1] == LETTER] - 1] = False
+        bounds = np.concatenate(([0], np.flatnonzero(edge) + 1, [len(raw)]))
+        start, size = bounds[:-1], np.diff(bounds)
+        shown = kind[start] != BLANK
+        start, size = start[shown], size[shown]
+        offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(low[kind != BLANK])]), start
+
+    def _beyond_ascii(self, data: bytes, raw, kind, low) -> None:
+        """Mark letters from À to ÿ as such; words with other characters or special tokens stay whole."""
         import numpy as np
 
-        self.parts = {"": 0}
-        self.known = _longer(self.nothing(), np.zeros(0, np.uint32), np.zeros(1, np.int64))  # as ``words``, of parts
+        if not data.isascii():
+            at = np.flatnonzero(raw == 0xC3)
+            second = raw[at + 1]
+            letter = (second != 0x97) & (second != 0xB7)  # signs of multiplication and division
+            at, second = at[letter], second[letter]
+            kind[at] = kind[at + 1] = LETTER
+            low[at[second < 0x9F] + 1] += 32
+        for token in self.special:
+            place = data.find(token)
+            while place >= 0:
+                kind[place] = OTHER
+                place = data.find(token, place + 1)
+        others = np.flatnonzero(kind == OTHER)
+        if len(others):
+            blank = np.concatenate(([-1], np.flatnonzero(kind == BLANK)))
+            word = np.unique(np.searchsorted(blank, others))
+            step = np.zeros(len(raw), np.int8)
+            step[blank[word - 1] + 1] = 1
+            step[blank[word]] = -1
+            whole = np.cumsum(step, dtype=np.int8).view(bool)
+            kind[whole] = OTHER
+            low[whole] = raw[whole]
 
     def _plain(self, words: list[str]):
         """(ids, how many each word has), by the library's own steps. A mark stands between words."""
@@ -113,7 +169,7 @@ class WordTokenizer:
         return np.concatenate(found), np.concatenate(sizes)
 
     def _parts(self, parts: list[str]):
-        """The same for lower-case words of letters and single signs, by the library's model."""
+        """The same for lower-case words of letters and runs of signs, by the library's model."""
         import numpy as np
         from codecs import charmap_decode
 
@@ -124,60 +180,41 @@ class WordTokenizer:
             ids.extend([x.id for x in some])
         return np.array(ids, np.uint32), np.array(size, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember words; those that the older memory has aren't encoded again."""
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Remember pieces; those that the older memory has aren't encoded again."""
         import numpy as np
 
         memory, table = self.older
-        number = np.array([memory.get(w, -1) for w in words], np.int64)
-        new = number < 0
-        number[new] = np.arange(len(table[1]), len(table[1]) + int(new.sum()))
-        table = _longer(table, *self._encoded([w for w, x in zip(words, new.tolist(), strict=True) if x]))
+        number = np.array([memory.get(x, -1) for x in pieces], np.int64)
+        new = np.flatnonzero(number < 0)
+        number[new] = np.arange(len(table[1]), len(table[1]) + len(new))
+        table = _longer(table, *self._encoded([pieces[i] for i in new.tolist()]))
         self.words = _longer(self.words, gather(*table, number), table[2][number])
 
-    def _encoded(self, words: list[str]):
-        """(ids, how many each word has), part by part."""
+    def _encoded(self, pieces: list[bytes]):
+        """(ids, how many each piece has), by the library's model where a piece is one pre-token for certain."""
         import numpy as np
 
-        if len(self.parts) > CACHE_WORDS // 2:
-            self.forget_parts()
-        known, fresh, others, first, second = self.parts, [], [], [], []
-        latin = self.model is not None
-        for word in words:
-            if latin and word and (word.isascii() or max(word) <= "\xff"):
-                low = word.lower()
-                if low.isalpha():
-                    second.append(0)
-                else:
-                    sign, low = low, low.rstrip(SIGNS)
-                    sign = sign[len(low) :]
-                    if low.isalpha():
-                        n = known.get(sign)
-                        if n is None:
-                            n = known[sign] = len(known)
-                            fresh.append(sign)
-                        second.append(n)
-                    else:
-                        low = None
-            else:
-                low = None
-            if low is None:
-                others.append(word)
-                first.append(-1)
-                second.append(0)
-                continue
-            n = known.get(low)
-            if n is None:
-                n = known[low] = len(known)
-                fresh.append(low)
-            first.append(n)
-        if fresh:
-            self.known = _longer(self.known, *self._parts(fresh))
-        plain, size = self._plain(others)
-        data, start, sizes = _longer(self.known, plain, size)  # for once, the other words follow the parts
-        both = np.array((first, second), np.int64).T
-        both[both[:, 0] < 0, 0] = np.arange(len(known), len(known) + len(others))
-        return gather(data, start, sizes, both.ravel()), sizes[both].sum(axis=1)
+        parts, others, place = [], [], []
+        for piece in pieces:
+            word = piece.decode()
+            if self.model is not None:
+                if piece.isalpha() or not piece.strip(SIGNS):
+                    place.append(len(parts))
+                    parts.append(word)
+                    continue
+                if word.isalpha() and max(word) <= "\xff":
+                    place.append(len(parts))
+                    parts.append(word.lower())
+                    continue
+            place.append(-1 - len(others))
+            others.append(word)
+        table = _longer(self.nothing(), *self._plain(others))
+        if parts:
+            table = _longer(table, *self._parts(parts))
+        number = np.array(place, np.int64)
+        number = np.where(number < 0, -1 - number, number + len(others))
+        return gather(*table, number), table[2][number]
 
     def encode(self, texts: list[str]) -> list:
         """Ids of each text as numpy arrays."""
@@ -185,20 +222,35 @@ class WordTokenizer:
 
         if len(self.memory) > CACHE_WORDS // 2 or len(self.words[0]) > 8 * CACHE_WORDS:
             self.older, self.memory, self.words = (self.memory, self.words), Memory(), self.nothing()
-        number = self.memory.__getitem__
-        rows = []
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            rows.append(np.fromiter(map(number, words), np.uint32, len(words)))
+        if not texts:
+            return []
+        rows = [text.encode() for text in texts]
+        pieces, start = self.pieces(b"\n".join([*rows, b""]))
+        coded = pieces.dictionary_encode()
+        number = np.fromiter(map(self.memory.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
         if self.memory.pending:
             self._learn(self.memory.pending)
             self.memory.pending = []
-        return [gather(*self.words, row) for row in rows]
+        row = number[coded.indices.to_numpy()]
+        last = np.searchsorted(start, np.cumsum([len(x) + 1 for x in rows]))
+        ends = np.concatenate(([0], np.cumsum(self.words[2][row])))[last]
+        ids = np.split(gather(*self.words, row), ends[:-1])
+        if len(self.memory) > CACHE_WORDS or len(self.words[0]) > 16 * CACHE_WORDS:
+            self.forget()  # a worker doesn't keep the pieces of one very long text
+        return ids
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
+def tokenizer_of(path: str) -> WordTokenizer:
+    """The one that this Python worker keeps. Tasks call it by name: a closure that named the dictionary
+    itself would be sent a copy of it, and each task would start with nothing."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
+
+
 def repair(ids, ends, base: int, min_count: int = MIN_COUNT):
     """Re-Pair over a shard.
 
@@ -434,9 +486,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id"
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        if path not in _tokenizers:
-            _tokenizers[path] = WordTokenizer(path)
-        tokenizer = _tokenizers[path]
+        tokenizer = tokenizer_of(path)
         base = max(tokenizer.tokenizer.get_vocab_size(), end_id + 1)
         held_docs, held, n, seq = [], [], 0, 0
 
