@@ -1,16 +1,19 @@
 """Wide rows for each run: the horse's record in every context, and features from earlier runs only.
 
-All windows lie within one horse, so the runs are dealt out by horse once and every window sorts
-within its partition; no run meets another in a join."""
+All windows lie within one horse, so the runs are dealt out by horse once; the record's windows sort
+within their partition, features take one sort by day; no run meets another in a join."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.parsers import AW_SURFACES, FORM_WEIGHTS, JUMP_SURFACES, form_points, going_is, rate, surface_is
+from .earlier import earlier_runs
 
 P = F.col
 #: What must be equal for a run of the horse to count.
@@ -49,60 +52,35 @@ def runner_statistics(runs: DataFrame, as_of: Column, min_runs: int = 1, dealt:
     return wide.withColumns({"career_win_percent": rate(P("career_wins"), P("career_runs")), "career_place_percent": rate(P("career_places"), P("career_runs"))})
 
 
-def with_history(runs: DataFrame, short: int = 5, long: int = 10) -> DataFrame:
-    """``runs`` with the horse's last runs of earlier days, latest first, and the form score.
-
-    The runs of a day are gathered, carried through a window over the horse's days and dealt out again, so that no
-    join is needed: the ``long`` days before one hold as many runs at least. Runs without a date are no history."""
-    keys = ("horse_id", "race_date")
-    days = runs.groupBy(*keys).agg(F.collect_list(F.struct(*[c for c in runs.columns if c not in keys])).alias("_day"))
-    listed = F.transform("_day", lambda x: F.struct(P("race_date").alias("race_date"), *[x[c].alias(c) for c in ("race_id", "position", "course_id", "distance_f", "race_class")]))
-    before = Window.partitionBy("horse_id").orderBy("race_date").rowsBetween(-long, -1)
-    earlier = F.collect_list(F.when(P("race_date").isNotNull(), listed)).over(before)
-    days = days.withColumn("_history", F.slice(F.sort_array(F.flatten(earlier), asc=False), 1, long))
-    recent = F.slice("_history", 1, short)
-    shown = lambda rows, c: F.array_join(F.transform(rows, lambda x: x[c].cast("string")), ",", "-")
-    tenths = F.array(*[F.lit(int(w * 10)) for w in FORM_WEIGHTS.values()])
-    points = F.transform(recent, lambda x, i: form_points(x["position"]) * F.get(tenths, i))
-    score = F.when(F.size("_history") > 0, F.round(F.aggregate(points, F.lit(0), lambda a, b: a + b) * 10.0 / (sum(FORM_WEIGHTS.values()) * 10), 2))
-    texts = {f"last_5_{name}": shown(recent, c) for name, c in (("positions", "position"), ("dates", "race_date"), ("courses", "course_id"), ("distances", "distance_f"), ("classes", "race_class"))}
-    texts |= {"last_10_positions": shown(P("_history"), "position"), "recent_form_score": score}
-    return days.select(*keys, *[v.alias(k) for k, v in texts.items()], "_day").select(*keys, *texts, F.inline("_day"))
-
-
-#: Columns that ``with_history`` adds.
+#: Columns with the last runs of earlier days, latest first, and the form score.
 HISTORY = (*(f"last_5_{k}" for k in ("positions", "dates", "courses", "distances", "classes")), "last_10_positions", "recent_form_score")
 
 
 def feature_rows(runs: DataFrame, tolerance: float = 0.1, dealt: bool = False, keep: Sequence[str] = ("race_date", "course_id", "region", "distance_f", "surface", "going", "race_class", "jockey_id", "trainer_id", "owner_id")) -> DataFrame:
     """One row for each run with its race's columns and what the horse did on earlier days: career, the
-    same course, surface, going, class and about the same distance, recent form, and the horse with
-    its jockey and trainer.
-
-    For the distance a run is counted under each distance of its horse that is within
-    ``tolerance``, a few rows instead of pairs of runs. ``dealt``: the runs come from a table in
-    buckets by horse."""
-    rows = with_history(runs if dealt else runs.repartition("horse_id"))
-    before = lambda *keys: Window.partitionBy("horse_id", *keys).orderBy(F.unix_date("race_date")).rangeBetween(Window.unboundedPreceding, -1)
-    p, w = P("position"), before()
-    out = {"total_races": F.count(F.lit(1)).over(w), "total_wins": F.count_if(p == 1).over(w), "total_seconds": F.count_if(p == 2).over(w), "total_thirds": F.count_if(p == 3).over(w), "avg_finish_position": F.round(F.avg(p).over(w), 2), "days_since_last_run": F.datediff(P("race_date"), F.max("race_date").over(w))}
-    for name, keys in HISTORY_CONTEXTS.items():
-        known = P(keys[0]).isNotNull()
-        out |= {f"{name}_runs": F.count_if(known).over(before(*keys)), f"{name}_wins": F.count_if(known & (p == 1)).over(before(*keys)), f"{name}_places": F.count_if(known & (p <= 3)).over(before(*keys))}
-    for name, keys in RELATIONS.items():
-        out |= {f"{name}_runs": F.count(F.lit(1)).over(before(*keys)), f"{name}_wins": F.count_if(p == 1).over(before(*keys))}
-    distances = F.collect_set("distance_f").over(Window.partitionBy("horse_id"))
-    wide = rows.select("race_id", "horse_id", "position", *keep, *HISTORY, *[v.alias(k) for k, v in out.items()], distances.alias("_all"))
-    near = F.filter("_all", lambda g: P("distance_f").between(g * (1 - tolerance), g * (1 + tolerance)))
-    wide = wide.withColumn("_g", F.explode(F.array_union(near, F.array("distance_f")))).drop("_all")
-    same = before("_g")
-    known = P("_g").isNotNull()
-    wide = wide.withColumns({"distance_runs": F.count_if(known).over(same), "distance_wins": F.count_if(known & (p == 1)).over(same), "distance_places": F.count_if(known & (p <= 3)).over(same)})
-    wide = wide.where(P("_g").eqNullSafe(P("distance_f"))).drop("_g", "position")
-    wide = wide.withColumn("total_places", P("total_wins") + P("total_seconds") + P("total_thirds"))
+    same course, surface, going, class and about the same distance (within ``tolerance``), recent form, and the
+    horse with its jockey and trainer. Runs without a date are no history.
+
+    Runs are numbered within their horse by date, which sorts them once, and pass through the sums of ``earlier_runs`` in that order.
+    ``dealt``: the runs come from a table in buckets by horse."""
+    horse = Window.partitionBy("horse_id").orderBy("race_date", "race_id", "position", "course_id", "distance_f", "race_class")
+    contexts = HISTORY_CONTEXTS | RELATIONS
+    used = dict.fromkeys(("race_id", "horse_id", *keep, "position", "race_date", "distance_f", "race_class", *itertools.chain(*contexts.values())))
+    rows = (runs if dealt else runs.repartition("horse_id")).select(*used, F.row_number().over(horse).alias("_nth"))
+    texts = {"positions": "position", "dates": "race_date", "courses": "course_id", "distances": "distance_f", "classes": "race_class"}
+    shown = {f"_{k}": F.coalesce(P(c).cast("string"), F.lit("-")) for k, c in texts.items()}
+    known = P("horse_id").isNotNull() & P("race_date").isNotNull()
+    rows = rows.withColumns(shown | {"_day": F.unix_date("race_date"), "_known": known, "_position": P("position").cast("double"), "_distance": P("distance_f").cast("double"), "_points": form_points(P("position"))})
+    last = {f"last_5_{k}": (f"_{k}", 5) for k in texts} | {"last_10_positions": ("_positions", 10)}
+    sums = ["total_races", "total_wins", "total_seconds", "total_thirds", "total_places", "_finished", "_places", *[f"{n}_{k}" for n in (*HISTORY_CONTEXTS, "distance") for k in ("runs", "wins", "places")], *[f"{n}_{k}" for n in RELATIONS for k in ("runs", "wins")]]
+    schema = StructType([rows.schema[c] for c in dict.fromkeys(("race_id", "horse_id", *keep))] + [StructField(c, StringType()) for c in last] + [StructField(c, LongType()) for c in (*sums, "_score")] + [StructField("days_since_last_run", IntegerType())])
+    tenths = [int(w * 10) for w in FORM_WEIGHTS.values()]
+    wide = rows.mapInArrow(earlier_runs(contexts, "_distance", tolerance, last, tenths, schema.names), schema)
+    # rounded as the SQL does, by the double times 100: the mean of 40 places can be 4.725, which as a double lies below the half
+    wide = wide.withColumns({"avg_finish_position": F.floor(F.try_divide("_places", "_finished") * 100 + 0.5) / 100, "recent_form_score": F.round(P("_score") * 10.0 / (sum(FORM_WEIGHTS.values()) * 10), 2)})
     rates = {f"{n}_win_rate": rate(P(f"{n}_wins"), P(f"{n}_runs")) for n in (*HISTORY_CONTEXTS, "distance", *RELATIONS)}
     rates |= {"win_rate": rate(P("total_wins"), P("total_races")), "place_rate": rate(P("total_places"), P("total_races")), "has_form": P("total_races") > 0}
-    return wide.withColumns(rates)
+    return wide.select("race_id", "horse_id", *keep, *HISTORY, *[c for c in sums if c[0] != "_"], "avg_finish_position", "days_since_last_run", *[v.alias(k) for k, v in rates.items()])
 
 
 #: What documents say about a runner and its people, beside the race's outcome.
