@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -43,18 +43,18 @@ class Views:
         s = self.table("supplier").select("s_suppkey", "s_nationkey")
         joined = line.join(s, line.l_suppkey == s.s_suppkey).join(self.races, line.l_orderkey == F.col("race_id"))
         code = F.expr("case when l_linenumber = 7 then 'PU' when l_linenumber = 6 and l_returnflag = 'R' then 'F' end")
-        # a race's few lines are gathered once: conditions on the race reach the scans, and one shuffle by race does
-        entry = F.struct(F.col("l_partkey").alias("part"), (-F.col("l_extendedprice")).alias("less"), F.col("l_suppkey").alias("supp"), F.col("l_linenumber").alias("line"), code.alias("code"), F.col("s_nationkey").alias("nation"), F.col("l_quantity").alias("quantity"))
-        same = ("owner_id", "course_id", "region", "race_class", "going", "surface", "distance_f", "prize")
-        races = joined.groupBy("race_id", "race_date").agg(F.sort_array(F.collect_list(entry)).alias("lines"), *[F.first(c).alias(c) for c in same])
-        first = F.filter("lines", lambda x, i: (i == 0) | (x["part"] != F.get("lines", i - 1)["part"]))  # the dearest line of a horse
-        ranked = F.sort_array(F.transform(first, lambda x: F.struct(x["code"].isNotNull().alias("out"), x["less"].alias("less"), x["part"].alias("part"), x["supp"].alias("supp"), x["line"].alias("line"), x["code"].alias("code"), x["nation"].alias("nation"), x["quantity"].alias("quantity"))))
-        rows = races.select("race_id", "race_date", *same, F.posexplode(ranked).alias("rank", "x")).withColumn("rank", F.col("rank") + 1)
-        place = F.when(F.col("x.code").isNull(), F.col("rank"))
+        # both windows lie within a race and its date: conditions on the date reach the scans, and one shuffle by race does
+        race = Window.partitionBy("race_id", "race_date")
+        by_horse = race.orderBy("l_partkey", F.desc("l_extendedprice"), "l_suppkey", "l_linenumber")
+        lines = joined.select(*joined.columns, code.alias("code"), F.row_number().over(by_horse).alias("nth"), F.lag("l_partkey").over(by_horse).alias("before"))
+        first = lines.where((F.col("nth") == 1) | ~F.col("l_partkey").eqNullSafe(F.col("before")))  # the dearest line of a horse
+        ranked = race.orderBy(F.col("code").isNotNull(), F.desc("l_extendedprice"), F.asc_nulls_last("l_partkey"), "l_suppkey", "l_linenumber")
+        rows = first.withColumn("rank", F.row_number().over(ranked))
+        place = F.when(F.col("code").isNull(), F.col("rank"))
         share = F.when(place == 1, 2).when(place == 2, 4).when(place == 3, 8)
         return rows.select(
-            "race_id", F.col("x.part").alias("horse_id"), F.col("x.supp").alias("jockey_id"), F.col("x.nation").alias("trainer_id"), "owner_id",
-            (1 + F.col("x.quantity") / 4).alias("sp_decimal"), F.coalesce("x.code", F.col("rank").cast("string")).alias("position_raw"), place.alias("position"),
+            "race_id", F.col("l_partkey").alias("horse_id"), F.col("l_suppkey").alias("jockey_id"), F.col("s_nationkey").alias("trainer_id"), "owner_id",
+            (1 + F.col("l_quantity") / 4).alias("sp_decimal"), F.coalesce("code", F.col("rank").cast("string")).alias("position_raw"), place.alias("position"),
             F.coalesce(F.floor(F.col("prize") / share), F.lit(0)).cast("double").alias("prize_won"),
             "race_date", "course_id", "region", "race_class", "going", "surface", "distance_f",
         )
